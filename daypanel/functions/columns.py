@@ -42,6 +42,15 @@ def clip(column: Column, lower: float, upper: float) -> Column:
     return F.when(column < lower, F.lit(float(lower))).when(column > upper, F.lit(float(upper))).otherwise(column)
 
 
+def stable_round(column: Column, decimals: int) -> Column:
+    """Rounding that does not depend on the order in which a sum was formed.
+
+    The last bits of a distributed float sum vary; rounding a few digits finer first keeps a
+    value that lies on a rounding edge on the same side in every run.
+    """
+    return F.round(F.round(column, decimals + 6), decimals)
+
+
 def normal_name(column: Column) -> Column:
     """Lower case without blanks, hyphens as underscores."""
     return F.translate(F.replace(F.lower(column), F.lit(" "), F.lit("")), "-", "_")

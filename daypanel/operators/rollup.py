@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from daypanel.constants import HIGH_RISK_DAYS, RISK_RULES, Rule
 from daypanel.functions.calendar import days_in_month, week_end
-from daypanel.functions.columns import capped_coverage, count_where, numeric_columns, present
+from daypanel.functions.columns import capped_coverage, count_where, numeric_columns, present, stable_round
 from daypanel.functions.rules import any_breach
 from daypanel.operators.order_stats import exact_quantiles
 
@@ -32,7 +32,7 @@ def hours_to_days(
     The SQL preset drops null hours first and does not round.
     """
     rows = hourly.where(F.col(value).isNotNull()) if drop_nulls else hourly
-    shown = (lambda c: c) if decimals is None else (lambda c: F.round(c, decimals))
+    shown = (lambda c: c) if decimals is None else (lambda c: stable_round(c, decimals))
     return rows.groupBy(entity, F.to_date(timestamp).alias("date")).agg(
         shown(F.avg(value)).alias("visibility_mean"),
         shown(F.min(value)).alias("visibility_min"),
@@ -41,7 +41,7 @@ def hours_to_days(
 
 
 def _share(part: Column, total: Column, decimals: int) -> Column:
-    return F.round(part * 100.0 / total, decimals)
+    return stable_round(part * 100.0 / total, decimals)
 
 
 def _month_keys(entity: str, date: str) -> list[Column]:
@@ -65,18 +65,18 @@ def _core_measures(min_days: int) -> list[Column]:
         F.sum("risk_precip").alias("precip_risk_days"),
         F.sum("risk_snow").alias("snow_risk_days"),
         F.sum("risk_visibility").alias("visibility_risk_days"),
-        F.round(F.avg("temperature_2m_mean"), 2).alias("temp_mean"),
-        F.round(F.max("temperature_2m_max"), 2).alias("temp_max"),
-        F.round(F.min("temperature_2m_min"), 2).alias("temp_min"),
-        F.round(F.stddev_samp("temperature_2m_mean"), 2).alias("temp_std"),
-        F.round(F.avg("wind_speed_10m_max"), 2).alias("wind_mean"),
-        F.round(F.max("wind_speed_10m_max"), 2).alias("wind_max"),
-        F.round(F.stddev_samp("wind_speed_10m_max"), 2).alias("wind_std"),
-        F.round(F.sum("precipitation_sum"), 2).alias("precip_total"),
-        F.round(F.avg("precipitation_sum"), 2).alias("precip_daily_avg"),
-        F.round(F.max("precipitation_sum"), 2).alias("precip_max"),
-        F.round(F.avg("visibility_mean"), 1).alias("vis_mean_avg"),
-        F.round(F.min("visibility_min"), 1).alias("vis_min_worst"),
+        stable_round(F.avg("temperature_2m_mean"), 2).alias("temp_mean"),
+        stable_round(F.max("temperature_2m_max"), 2).alias("temp_max"),
+        stable_round(F.min("temperature_2m_min"), 2).alias("temp_min"),
+        stable_round(F.stddev_samp("temperature_2m_mean"), 2).alias("temp_std"),
+        stable_round(F.avg("wind_speed_10m_max"), 2).alias("wind_mean"),
+        stable_round(F.max("wind_speed_10m_max"), 2).alias("wind_max"),
+        stable_round(F.stddev_samp("wind_speed_10m_max"), 2).alias("wind_std"),
+        stable_round(F.sum("precipitation_sum"), 2).alias("precip_total"),
+        stable_round(F.avg("precipitation_sum"), 2).alias("precip_daily_avg"),
+        stable_round(F.max("precipitation_sum"), 2).alias("precip_max"),
+        stable_round(F.avg("visibility_mean"), 1).alias("vis_mean_avg"),
+        stable_round(F.min("visibility_min"), 1).alias("vis_min_worst"),
     ]
 
 
@@ -88,10 +88,10 @@ def monthly_summary(
         *_core_measures(min_days),
         F.sum("risk_wave").alias("wave_risk_days"),
         F.sum("risk_fog_min").alias("severe_fog_days"),
-        F.round(F.sum("hdd"), 1).alias("hdd_total"),
-        F.round(F.sum("cdd"), 1).alias("cdd_total"),
-        F.round(F.avg("wave_height"), 2).alias("wave_mean"),
-        F.round(F.max("wave_height"), 2).alias("wave_max"),
+        stable_round(F.sum("hdd"), 1).alias("hdd_total"),
+        stable_round(F.sum("cdd"), 1).alias("cdd_total"),
+        stable_round(F.avg("wave_height"), 2).alias("wave_mean"),
+        stable_round(F.max("wave_height"), 2).alias("wave_max"),
     )
 
 
@@ -101,16 +101,16 @@ def preset_monthly_summary(
     """Monthly table of the SQL preset: gusts, dry days, snow, pressure, humidity, fog."""
     return daily.groupBy(*_month_keys(entity, date)).agg(
         *_core_measures(min_days),
-        F.round(F.avg("wind_gusts_10m_max"), 2).alias("gust_mean"),
-        F.round(F.max("wind_gusts_10m_max"), 2).alias("gust_max"),
+        stable_round(F.avg("wind_gusts_10m_max"), 2).alias("gust_mean"),
+        stable_round(F.max("wind_gusts_10m_max"), 2).alias("gust_max"),
         count_where(F.col("precipitation_sum") == 0).alias("dry_days"),
-        F.round(F.sum("snowfall_sum"), 2).alias("snow_total"),
-        F.round(F.max("snowfall_sum"), 2).alias("snow_max"),
-        F.round(F.avg("surface_pressure_mean"), 2).alias("pressure_mean"),
-        F.round(F.stddev_samp("surface_pressure_mean"), 2).alias("pressure_std"),
-        F.round(F.min("surface_pressure_mean"), 2).alias("pressure_min"),
-        F.round(F.avg("relative_humidity_2m_mean"), 2).alias("humidity_mean"),
-        F.round(F.max("relative_humidity_2m_mean"), 2).alias("humidity_max"),
+        stable_round(F.sum("snowfall_sum"), 2).alias("snow_total"),
+        stable_round(F.max("snowfall_sum"), 2).alias("snow_max"),
+        stable_round(F.avg("surface_pressure_mean"), 2).alias("pressure_mean"),
+        stable_round(F.stddev_samp("surface_pressure_mean"), 2).alias("pressure_std"),
+        stable_round(F.min("surface_pressure_mean"), 2).alias("pressure_min"),
+        stable_round(F.avg("relative_humidity_2m_mean"), 2).alias("humidity_mean"),
+        stable_round(F.max("relative_humidity_2m_mean"), 2).alias("humidity_max"),
         count_where(F.col("visibility_hours_below_1km") >= 4).alias("sustained_fog_days"),
     )
 
@@ -203,7 +203,7 @@ def null_audit(df: DataFrame, columns: Sequence[str] | None = None, group: Seque
         *group,
         "_p.column_name",
         "_p.nulls",
-        F.round(F.try_divide(F.col("_p.nulls") * 100.0, F.col("rows")), 2).alias("null_pct"),
+        stable_round(F.try_divide(F.col("_p.nulls") * 100.0, F.col("rows")), 2).alias("null_pct"),
     )
 
 
@@ -212,7 +212,7 @@ def shares(df: DataFrame, label: str, output: str = "n", decimals: int = 1) -> D
     total = df.agg(F.count(F.lit(1))).scalar()
     return df.groupBy(label).agg(
         F.count(F.lit(1)).alias(output),
-        F.round(F.count(F.lit(1)) * 100.0 / F.any_value(total), decimals).alias("pct"),
+        stable_round(F.count(F.lit(1)) * 100.0 / F.any_value(total), decimals).alias("pct"),
     )
 
 
@@ -267,7 +267,7 @@ def month_coverage(df: DataFrame, entity: str = "city", date: str = "date", deci
     month = F.trunc(date, "month")
     per_month = df.groupBy(entity, month.alias("month_start")).agg(F.count(F.lit(1)).alias("days"))
     share = capped_coverage(F.col("days"), days_in_month(F.col("month_start")))
-    return per_month.withColumn("coverage_pct", F.round(share, decimals))
+    return per_month.withColumn("coverage_pct", stable_round(share, decimals))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 60, group: Sequence[str] = ("city",)) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from daypanel.functions.columns import count_where
+from daypanel.functions.columns import count_where, stable_round
+from daypanel.operators.clean import dedupe
 from daypanel.operators.quality import out_of_range
 from daypanel.sources.tables import upsert_path
 
@@ -21,8 +22,8 @@ def hours_to_days_stream(
         hourly.withWatermark(timestamp, tolerance)
         .groupBy(entity, day.alias("_day"))
         .agg(
-            F.round(F.avg(value), 1).alias("visibility_mean"),
-            F.round(F.min(value), 1).alias("visibility_min"),
+            stable_round(F.avg(value), 1).alias("visibility_mean"),
+            stable_round(F.min(value), 1).alias("visibility_min"),
             count_where(F.col(value) < threshold).alias("visibility_hours_below_1km"),
         )
         .select(entity, F.to_date("_day.start").alias("date"), "visibility_mean", "visibility_min", "visibility_hours_below_1km")
@@ -39,6 +40,7 @@ def upsert_stream(rows: DataFrame, path: str, checkpoint: str, keys: list[str])
 
     def merge(batch: DataFrame, number: int) -> None:
         spark: SparkSession = batch.sparkSession
-        upsert_path(spark, path, batch.dropDuplicates(keys), keys, number)
+        rest = [F.col(c) for c in batch.columns if c not in keys]
+        upsert_path(spark, path, dedupe(batch, keys, rest, keep="last"), keys, number)
 
     return rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
