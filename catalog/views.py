@@ -6,6 +6,8 @@ means do not depend on the order of summation and both engines agree to the last
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,23 @@ FETCH = {
 START = "2001-09-01"
 
 
+_PLANS: dict[tuple, object] = {}
+
+
+def planned(build):
+    """Keeps the lazy plan of a view per session and folder. No data is kept."""
+
+    @functools.wraps(build)
+    def lookup(spark: SparkSession, *where):
+        key = (spark.sparkContext.applicationId, build.__name__, *where)
+        if key not in _PLANS:
+            _PLANS[key] = build(spark, *where)
+        return _PLANS[key]
+
+    return lookup
+
+
+@planned
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -41,6 +60,7 @@ def _with_region(df: DataFrame, spark: SparkSession, sf: str, nation_key: str, k
     )
 
 
+@planned
 def lines(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines with the region of their supplier.
 
@@ -146,16 +166,19 @@ FORECAST_COLUMNS = [
 block("forecast", "open_days", f"SELECT city, date, {', '.join(FORECAST_COLUMNS)} FROM open_days")
 
 
+@planned
 def weather(spark: SparkSession, sf: str) -> DataFrame:
     return _by_day(lines(spark, sf)).select(*_measures())
 
 
+@planned
 def forecast(spark: SparkSession, sf: str) -> DataFrame:
     """A second opinion on the same days: the open lines only."""
     days = _by_day(lines(spark, sf).where(F.col("s") == "O")).select(*_measures())
     return days.select("city", "date", *FORECAST_COLUMNS)
 
 
+@planned
 def orders(spark: SparkSession, sf: str) -> DataFrame:
     place = _with_region(table(spark, sf, "customer"), spark, sf, "c_nationkey", "c_custkey")
     return table(spark, sf, "orders").join(place, F.col("o_custkey") == F.col("c_custkey")).select(
@@ -164,6 +187,7 @@ def orders(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@planned
 def visibility(spark: SparkSession, sf: str) -> DataFrame:
     """Last and first order of the day stand for its mean and its minimum."""
     order = F.struct("o", "p")
@@ -195,36 +219,44 @@ block(
 )
 
 
+@planned
 def caps(spark: SparkSession) -> DataFrame:
     return clean.caps_table(spark, CAPS)
 
 
+@planned
 def fetch(spark: SparkSession) -> DataFrame:
     return long_fetch_table(spark, FETCH)
 
 
+@planned
 def joined(spark: SparkSession, sf: str) -> DataFrame:
     return layers.join_visibility(weather(spark, sf), visibility(spark, sf))
 
 
+@planned
 def staging(spark: SparkSession, sf: str) -> DataFrame:
     return layers.clean_to_staging(weather(spark, sf), visibility(spark, sf), caps(spark))
 
 
+@planned
 def daily(spark: SparkSession, sf: str) -> DataFrame:
     return layers.analytics_daily(staging(spark, sf), fetch(spark))
 
 
+@planned
 def monthly(spark: SparkSession, sf: str) -> DataFrame:
     from daypanel.operators.rollup import monthly_summary
 
     return monthly_summary(daily(spark, sf))
 
 
+@planned
 def preset(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return layers.preset_layers(weather(spark, sf), visibility(spark, sf))
 
 
+@planned
 def hourly(spark: SparkSession, sf: str) -> DataFrame:
     """Events as an hourly series; the value in cents keeps sums exact."""
     return table(spark, sf, "events").select(
@@ -235,6 +267,7 @@ def hourly(spark: SparkSession, sf: str) -> DataFrame:
 block("hourly", "", "SELECT event_type AS city, ts AS datetime, round(value*100) AS visibility FROM events")
 
 
+@planned
 def marine(spark: SparkSession, sf: str) -> DataFrame:
     """Each event as a marine row: zeros, unknown values and all three components occur."""
     k = F.get_json_object("props", "$.k").try_cast("double")
@@ -258,6 +291,7 @@ block(
 )
 
 
+@planned
 def scored(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as scored rows: the label is a closed order, the score its relative price."""
     return table(spark, sf, "orders").select(

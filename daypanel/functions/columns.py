@@ -4,9 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A driver-side table as a local relation: Spark knows its size and can broadcast it."""
+    fields = T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(fields)
+    columns = [pa.array([row[i] for row in rows], type=f.type) for i, f in enumerate(arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow))
 
 
 def present(df: DataFrame, columns: Iterable[str]) -> list[str]:

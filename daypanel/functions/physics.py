@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daypanel.constants import DEFAULT_FETCH_KM, FETCH_KM, SECTORS
-from daypanel.functions.columns import clip
+from daypanel.functions.columns import clip, small_table
 
 GRAVITY = 9.81
 
@@ -24,18 +24,25 @@ def daily_range(high: str, low: str) -> Column:
     return F.round(F.col(high) - F.col(low), 2)
 
 
-def sector(degrees: Column) -> Column:
-    """Compass sector of a bearing; eight sectors of 45 degrees centred on N, NE, ..."""
+def sector_index(degrees: Column) -> Column:
+    """0..7 for the compass sector of a bearing: 45 degrees each, centred on N, NE, ..."""
     bearing = F.pmod(F.coalesce(degrees, F.lit(0.0)) + 22.5, F.lit(360.0))
-    index = F.floor(bearing / 45).cast("int")
-    return F.element_at(F.array(*[F.lit(s) for s in SECTORS]), index + 1)
+    return F.floor(bearing / 45).cast("int") % len(SECTORS)
+
+
+def sector(degrees: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(s) for s in SECTORS]), sector_index(degrees) + 1)
 
 
 def fetch_table(spark: SparkSession, fetch_km: dict[str, list[float]] | None = None, entity: str = "city") -> DataFrame:
-    """Open-water distances in long form: entity, sector, fetch_km (8 rows per entity)."""
+    """Open-water distances: one row per entity with the eight lengths in sector order.
+
+    One row per entity lets the lookup join on the entity alone, which keeps the layout of a
+    panel that is already partitioned by entity.
+    """
     table = FETCH_KM if fetch_km is None else fetch_km
-    rows = [(name, s, float(km)) for name, row in table.items() for s, km in zip(SECTORS, row)]
-    return spark.createDataFrame(rows, f"`{entity}` string, sector string, fetch_km double")
+    rows = [(name, [float(km) for km in row]) for name, row in table.items()]
+    return small_table(spark, rows, f"`{entity}` string, fetch_km array<double>")
 
 
 def wave_height(speed_kmh: Column, fetch_km: Column) -> Column:
@@ -56,17 +63,15 @@ def add_wave_height(
     direction: str = "wind_direction_10m_dominant",
     output: str = "wave_height",
 ) -> DataFrame:
-    """Joins the fetch length of (entity, sector) and derives the wave height.
+    """Looks the fetch length of (entity, sector) up and derives the wave height.
 
     An unknown bearing counts as north; a place without a fetch row uses the default length.
-    The fetch table has eight rows per place, so Spark broadcasts it as long as its size allows.
     """
     bearing = F.col(direction).cast("double") if direction in df.columns else F.lit(None).cast("double")
-    with_sector = df.withColumn("_sector", sector(bearing))
-    lookup = fetch.select(F.col(entity), F.col("sector").alias("_sector"), F.col("fetch_km").alias("_fetch_km"))
-    joined = with_sector.join(lookup, [entity, "_sector"], "left")
-    height = F.round(wave_height(F.col(speed), F.coalesce(F.col("_fetch_km"), F.lit(DEFAULT_FETCH_KM))), 2)
-    return joined.select(*df.columns, height.alias(output))
+    lengths = fetch.select(F.col(entity), F.col("fetch_km").alias("_fetch_km"))
+    km = F.coalesce(F.try_element_at("_fetch_km", sector_index(bearing) + 1), F.lit(DEFAULT_FETCH_KM))
+    height = F.round(wave_height(F.col(speed), km), 2)
+    return df.join(lengths, entity, "left").select(*df.columns, height.alias(output))
 
 
 def fog_proxy(humidity: str, temperature: str, dew_point: str, visibility: str) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from daypanel.constants import CAPS, FILL_STRATEGIES, OUTLIER_COLUMNS, STAGING_DECIMALS, STAGING_INTEGERS
-from daypanel.functions.columns import count_where, numeric_columns, present
+from daypanel.functions.columns import count_where, numeric_columns, present, small_table
 from daypanel.operators.order_stats import exact_quantiles
 
 DIRECTIONAL = {"ffill", "bfill"}
@@ -129,7 +129,7 @@ def caps_table(
     names = sorted({name for row in caps.values() for name in row})
     rows = [(n, *[float(caps[c][n]) if n in caps[c] else None for c in caps]) for n in names]
     schema = f"`{entity}` string, " + ", ".join(f"{c}_cap double" for c in caps)
-    return spark.createDataFrame(rows, schema)
+    return small_table(spark, rows, schema)
 
 
 def winsorize(df: DataFrame, caps: DataFrame, entity: str = "city") -> DataFrame:

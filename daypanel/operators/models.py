@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daypanel.constants import LEAKING_COLUMNS, WAVE_HISTORY_COLUMNS
+from daypanel.functions.columns import small_table
 from daypanel.functions.hazard import combined_probability, sea_risk
 from daypanel.operators import evaluate
 from daypanel.operators.timeseries import climatology, climatology_lookup, global_rate
@@ -324,7 +325,7 @@ def coefficient_table(model: PipelineModel, df: DataFrame, n: int | None = None)
     names = {a["idx"]: a["name"] for group in attributes.values() for a in group}
     values = model.stages[-1].coefficients.toArray()
     rows = [(names.get(i, str(i)), float(v)) for i, v in enumerate(values)]
-    table = df.sparkSession.createDataFrame(rows, "feature string, coefficient double")
+    table = small_table(df.sparkSession, rows, "feature string, coefficient double")
     ordered = table.orderBy(F.abs("coefficient").desc(), "feature")
     return ordered if n is None else ordered.limit(n)
 

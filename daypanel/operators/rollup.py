@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from daypanel.constants import HIGH_RISK_DAYS, RISK_RULES, Rule
 from daypanel.functions.calendar import days_in_month, week_end
-from daypanel.functions.columns import capped_coverage, count_where, numeric_columns, present, stable_round
+from daypanel.functions.columns import capped_coverage, count_where, numeric_columns, present, small_table, stable_round
 from daypanel.functions.rules import any_breach
 from daypanel.operators.order_stats import exact_quantiles
 
@@ -383,7 +383,7 @@ def column_categories(names: Sequence[str], spark) -> DataFrame:
     calendar = {"year", "month", "quarter", "day_of_year", "week_of_year", "day_of_week", "season",
                 "month_sin", "month_cos", "doy_sin", "doy_cos"}
     derived = {"temp_range_c", "temp_range_7d", "hdd", "cdd", "wave_height"}
-    table = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "position int, column_name string")
+    table = small_table(spark, [(i, n) for i, n in enumerate(names)], "position int, column_name string")
     c = F.col("column_name")
     category = (
         F.when(c.endswith("_is_outlier"), "Outlier flags")

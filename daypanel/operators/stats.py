@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from daypanel.functions.columns import small_table
 from daypanel.functions.tails import chi2_p, f_p, normal_p, t_p
 from daypanel.operators.order_stats import exact_quantiles, mid_ranks
 
@@ -265,7 +266,7 @@ def vif(df: DataFrame, features: Sequence[str]) -> DataFrame:
             r = sub[n, rest]
             r2 = float(r @ np.linalg.pinv(sub[np.ix_(rest, rest)]) @ r)
             values[i] = 1.0 / (1.0 - r2) if r2 < 1.0 - 1e-9 else float("inf")
-    table = spark.createDataFrame([(f, values[i]) for i, f in enumerate(features)], "feature string, vif double")
+    table = small_table(spark, [(f, values[i]) for i, f in enumerate(features)], "feature string, vif double")
     v = F.col("vif")
     flag = F.when(v > 50, "severe").when(v > 10, "problematic").otherwise("ok")
     return table.withColumn("flag", flag)
@@ -300,5 +301,5 @@ def select_features(df: DataFrame, features: Sequence[str], target: str, thresho
     rows = [
         (f, decision[f], round(strength[f], 3) if f in strength else None, reason[f]) for f in names
     ]
-    table = df.sparkSession.createDataFrame(rows, "feature string, decision string, corr_with_target double, reason string")
+    table = small_table(df.sparkSession, rows, "feature string, decision string, corr_with_target double, reason string")
     return table.orderBy("decision", "feature")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daypanel.functions.columns import small_table
 from daypanel.operators.clean import upsert
 from daypanel.sources.schemas import RAW_TABLES
 
@@ -73,7 +74,7 @@ def database_inventory(spark: SparkSession, database: str) -> DataFrame:
 
 def schema_listing(df: DataFrame) -> DataFrame:
     rows = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
+    return small_table(df.sparkSession, rows, "position int, column_name string, data_type string")
 
 
 def schema_difference(left: DataFrame, right: DataFrame) -> DataFrame:
