@@ -1,6 +1,6 @@
 """Registered queries: every operator run over the given tables, with its SQL counterpart."""
 
-from catalog.registry import ORACLES, QUERIES
+from catalog.registry import ORACLES, QUERIES, assemble
 
 
 def load() -> None:
@@ -8,4 +8,4 @@ def load() -> None:
     from catalog import forecasts, gates, layers, learning, predicates, rollups, statistics, tables, windows  # noqa: F401
 
 
-__all__ = ["ORACLES", "QUERIES", "load"]
+__all__ = ["ORACLES", "QUERIES", "assemble", "load"]

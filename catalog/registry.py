@@ -20,7 +20,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"{name} is registered twice")
         QUERIES[name] = function
         if sql is not None:
-            ORACLES[name] = assemble(sql)
+            ORACLES[name] = sql
         return function
 
     return register

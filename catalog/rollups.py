@@ -17,7 +17,10 @@ from daypanel.operators import forecast as fc
 from daypanel.operators import rollup, stats
 from daypanel.sources import files
 
-N = F.count(F.lit(1))
+
+
+def n_rows():
+    return F.count(F.lit(1))
 
 
 def pct(part: str, total: str = "count(*)", digits: int = 1) -> str:
@@ -124,7 +127,7 @@ def a9(spark, sf):
 def a10(spark, sf):
     dry = count_where(F.col("precipitation_sum") == 0)
     return views.daily(spark, sf).groupBy("city", "year").agg(
-        dry.alias("dry_days"), N.alias("total_days"), rollup.stable_round(dry * 100.0 / N, 1).alias("dry_pct")
+        dry.alias("dry_days"), n_rows().alias("total_days"), rollup.stable_round(dry * 100.0 / n_rows(), 1).alias("dry_pct")
     )
 
 
@@ -135,7 +138,7 @@ def a10(spark, sf):
 def a11(spark, sf):
     risk = F.sum("is_risk_day")
     out = views.daily(spark, sf).groupBy("city", "season").agg(
-        N.alias("total_days"), risk.alias("risk_days"), rollup.stable_round(risk * 100.0 / N, 1).alias("risk_pct")
+        n_rows().alias("total_days"), risk.alias("risk_days"), rollup.stable_round(risk * 100.0 / n_rows(), 1).alias("risk_pct")
     )
     return out.orderBy("city", calendar.season_order(F.col("season")))
 
@@ -148,7 +151,7 @@ TRIGGERS = {n: n.replace("risk_", "") + "_days" for n in RISK_SQL}
     f"@daily|SELECT {', '.join(f'{big(f'sum({n})')} AS {o}' for n, o in TRIGGERS.items())}, {big('sum(is_risk_day)')} AS any_risk_days, count(*) AS total_days FROM daily",
 )
 def a12(spark, sf):
-    return views.daily(spark, sf).agg(*[F.sum(n).alias(o) for n, o in TRIGGERS.items()], F.sum("is_risk_day").alias("any_risk_days"), N.alias("total_days"))
+    return views.daily(spark, sf).agg(*[F.sum(n).alias(o) for n, o in TRIGGERS.items()], F.sum("is_risk_day").alias("any_risk_days"), n_rows().alias("total_days"))
 
 
 MONTH_TRIGGERS = ["wind_risk_days", "gust_risk_days", "precip_risk_days", "snow_risk_days", "wave_risk_days", "visibility_risk_days", "severe_fog_days", "risk_days"]
@@ -185,13 +188,13 @@ def a16(spark, sf):
 def a17(spark, sf):
     high = F.sum("high_risk_month")
     return views.monthly(spark, sf).groupBy("city").agg(
-        high.alias("high_risk"), (N - high).alias("normal"), rollup.stable_round(high * 100.0 / N, 1).alias("high_risk_pct")
+        high.alias("high_risk"), (n_rows() - high).alias("normal"), rollup.stable_round(high * 100.0 / n_rows(), 1).alias("high_risk_pct")
     )
 
 
 @query("a18_yearly_totals", f"@daily|SELECT year, count(*) AS days, {big('sum(is_risk_day)')} AS risk_days, {big('sum(visibility_is_known)')} AS known_days FROM daily GROUP BY year")
 def a18(spark, sf):
-    return views.daily(spark, sf).groupBy("year").agg(N.alias("days"), F.sum("is_risk_day").alias("risk_days"), F.sum("visibility_is_known").alias("known_days"))
+    return views.daily(spark, sf).groupBy("year").agg(n_rows().alias("days"), F.sum("is_risk_day").alias("risk_days"), F.sum("visibility_is_known").alias("known_days"))
 
 
 @query("a19_outlier_counts", f"@staging|SELECT city, {', '.join(f'count(*) FILTER ({c}_is_outlier) AS {c}' for c in OUTLIER_COLUMNS)} FROM staging GROUP BY city")
@@ -285,7 +288,7 @@ def a27(spark, sf):
 @query("a28_code_frequency", "@weather|SELECT CAST(weather_code AS INTEGER) AS weather_code, count(*) AS days FROM weather WHERE weather_code IS NOT NULL GROUP BY ALL")
 def a28(spark, sf):
     w = views.weather(spark, sf).where(F.col("weather_code").isNotNull())
-    return w.groupBy(F.col("weather_code").cast("int").alias("weather_code")).agg(N.alias("days"))
+    return w.groupBy(F.col("weather_code").cast("int").alias("weather_code")).agg(n_rows().alias("days"))
 
 
 @query("a29_weekly_mean", "@weather|SELECT city, CAST(date + (7 - isodow(date))::INTEGER AS DATE) AS week_end, avg(wind_speed_10m_max) AS wind_mean FROM weather GROUP BY ALL")

@@ -10,6 +10,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
@@ -97,21 +98,21 @@ def _mapped(function, *series: pd.Series) -> pd.Series:
     return pd.Series([None if any(pd.isna(v) for v in row) else function(*row) for row in rows], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def normal_p(z: pd.Series) -> pd.Series:
     return _mapped(normal_two_sided, z)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def t_p(t: pd.Series, df: pd.Series) -> pd.Series:
     return _mapped(t_two_sided, t, df)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def f_p(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return _mapped(f_upper, f, d1, d2)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi2_p(x: pd.Series, df: pd.Series) -> pd.Series:
     return _mapped(chi2_upper, x, df)
