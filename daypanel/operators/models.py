@@ -5,17 +5,19 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daypanel.constants import LEAKING_COLUMNS, WAVE_HISTORY_COLUMNS
-from daypanel.functions.columns import small_table
+from daypanel.functions.columns import present, small_table
 from daypanel.functions.hazard import combined_probability, sea_risk
 from daypanel.operators import evaluate
 from daypanel.operators.timeseries import climatology, climatology_lookup, global_rate
@@ -172,11 +174,22 @@ def estimator(family: str, rows: float, label: str = TARGET, **options):
     return kind(featuresCol="features", labelCol=label, **weighted, **settings)
 
 
+@contextmanager
+def kept(df: DataFrame):
+    """Training reads its rows many times: they are kept for the block, lineage intact."""
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
 def fit(df: DataFrame, family: str, features: Sequence[str], scale: bool, label: str = TARGET, **options) -> PipelineModel:
     categorical = [c for c in ("city", "season") if c in features]
-    rows = df.count()
-    stages = preprocess(df, features, categorical, scale) + [estimator(family, rows, label, **options)]
-    return Pipeline(stages=stages).fit(balanced_weights(df, label))
+    with kept(df.select(*features, label)) as rows:
+        stages = preprocess(rows, features, categorical, scale)
+        stages.append(estimator(family, rows.count(), label, **options))
+        return Pipeline(stages=stages).fit(balanced_weights(rows, label))
 
 
 def score(model: PipelineModel, df: DataFrame, output: str = "probability") -> DataFrame:
@@ -206,15 +219,16 @@ def fit_calibrated(
     keys: Sequence[str] = ("city", "date"), **options,
 ) -> CalibratedModel:
     """Fits on all but one fold, then a one-variable logistic curve on the scores of that fold."""
-    folded = df.withColumn("_fold", F.pmod(F.xxhash64(F.lit(7), *keys), F.lit(folds)))
+    fold = F.pmod(F.xxhash64(F.lit(7), *keys), F.lit(folds)).alias("_fold")
     parts = []
-    for k in range(folds):
-        model = fit(folded.where(F.col("_fold") != k).drop("_fold"), family, features, scale, label, **options)
-        held_out = score(model, folded.where(F.col("_fold") == k), "_score").select("_score", label)
-        vector = VectorAssembler(inputCols=["_score"], outputCol="_v")
-        curve = LogisticRegression(featuresCol="_v", labelCol=label, maxIter=200, probabilityCol="_q", rawPredictionCol="_w")
-        sigmoid = curve.fit(vector.transform(held_out))
-        parts.append((model, float(sigmoid.coefficients[0]), float(sigmoid.intercept)))
+    with kept(df.select(*features, label, fold)) as folded:
+        for k in range(folds):
+            model = fit(folded.where(F.col("_fold") != k), family, features, scale, label, **options)
+            held_out = score(model, folded.where(F.col("_fold") == k), "_score").select("_score", label)
+            vector = VectorAssembler(inputCols=["_score"], outputCol="_v")
+            curve = LogisticRegression(featuresCol="_v", labelCol=label, maxIter=200, probabilityCol="_q", rawPredictionCol="_w")
+            sigmoid = curve.fit(vector.transform(held_out))
+            parts.append((model, float(sigmoid.coefficients[0]), float(sigmoid.intercept)))
     return CalibratedModel(parts)
 
 
@@ -254,6 +268,14 @@ def report_row(scored: DataFrame, name: str, label: str = TARGET, notes: str = "
     )
 
 
+SEA_COLUMNS = ["wave_height_max", "wave_height", "wave_height_estimated", "wind_wave_height_max", "swell_wave_height_max",
+               "wave_period_max", "swell_wave_period_max"]
+REPORT_SCHEMA = (
+    "threshold double, accuracy double, precision double, recall double, f1 double, predicted_positive_rate double, "
+    "roc_auc double, brier double, model string, notes string"
+)
+
+
 @dataclass
 class Selection:
     model: object
@@ -279,29 +301,31 @@ def train_and_select(
     chosen = feature_columns(rows.columns, features)
     if not chosen:
         raise ValueError("no usable feature columns")
-    rows = rows.cache()
-    train, test, note = split(rows, year, label)
-    reports = [report_row(baseline_scores(train, test, label), "Climatology", label, "baseline rate by entity and day of year")]
-    usable = []
-    for candidate in candidates:
-        extra = (options or {}).get(candidate.family, {})
-        try:
-            fitted = fit_candidate(train, candidate, chosen, label, **extra)
-            scored = with_sea_adjustment(score_with(fitted, test))
-            reports.append(report_row(scored, candidate.name, label, candidate.note))
-            usable.append(candidate)
-        except Exception as error:  # a candidate may fail on degenerate data; the others go on
-            LOG.warning("candidate %s skipped: %s", candidate.name, error)
-    if not usable:
-        raise RuntimeError("all candidates failed")
-    # the report has one row per candidate; fixing it here keeps the evaluation from running twice
-    collected = evaluate.report_rows(reports)
-    table = daily.sparkSession.createDataFrame(collected.collect(), collected.schema)
-    report = evaluate.select_winner(table)
-    named = {r["model"]: r for r in report.collect()}
-    winner = preferred if preferred in {c.name for c in usable} else next(n for n, r in named.items() if r["selected"])
-    candidate = next(c for c in usable if c.name == winner)
-    final = fit_candidate(rows, candidate, chosen, label, **(options or {}).get(candidate.family, {}))
+    used = {*chosen, label, "city", "date", *present(rows, SEA_COLUMNS)}
+    with kept(rows.select(*[c for c in rows.columns if c in used])) as rows:
+        train, test, note = split(rows, year, label)
+        baseline = baseline_scores(train, test, label)
+        collected = report_row(baseline, "Climatology", label, "baseline rate by entity and day of year").collect()
+        usable = []
+        for candidate in candidates:
+            extra = (options or {}).get(candidate.family, {})
+            try:
+                fitted = fit_candidate(train, candidate, chosen, label, **extra)
+                adjusted = with_sea_adjustment(score_with(fitted, test)).select(label, "probability")
+                with kept(adjusted) as scored:
+                    collected += report_row(scored, candidate.name, label, candidate.note).collect()
+                usable.append(candidate)
+            except Exception as error:  # a candidate may fail on degenerate data; the others go on
+                LOG.warning("candidate %s skipped: %s", candidate.name, error)
+        if not usable:
+            raise RuntimeError("all candidates failed")
+        # one row per candidate
+        table = daily.sparkSession.createDataFrame(collected, REPORT_SCHEMA)
+        report = evaluate.select_winner(evaluate.report_rows([table]))
+        named = {r["model"]: r for r in report.collect()}
+        winner = preferred if preferred in {c.name for c in usable} else next(n for n, r in named.items() if r["selected"])
+        candidate = next(c for c in usable if c.name == winner)
+        final = fit_candidate(rows, candidate, chosen, label, **(options or {}).get(candidate.family, {}))
     return Selection(final, winner, float(named[winner]["threshold"]), report, chosen, note)
 
 
@@ -340,20 +364,24 @@ def prediction_intervals(
     redraws the same sample. Weights are the Poisson(1) quantiles of the hash value.
     """
     scored = None
-    for i in range(refits):
-        u = F.pmod(F.xxhash64(F.lit(seed), F.lit(i), *keys), F.lit(1 << 30)) / float(1 << 30)
-        cumulative, mass, weight = 0.0, 0.36787944117144233, F.lit(0.0)
-        for k in range(8):
-            cumulative += mass
-            mass /= k + 1
-            weight = weight + (u >= cumulative).cast("double")
-        weighted = balanced_weights(train.withColumn("_draw", weight).where(F.col("_draw") > 0), label)
-        rows = weighted.withColumn("_weight", F.col("_weight") * F.col("_draw")).drop("_draw")
-        categorical = [c for c in ("city", "season") if c in features]
-        stages = preprocess(rows, features, categorical, scale) + [estimator(family, rows.count(), label, **options)]
-        model = Pipeline(stages=stages).fit(rows)
-        part = score(model, test, "_p").select(*keys, "_p")
-        scored = part if scored is None else scored.unionByName(part)
+    categorical = [c for c in ("city", "season") if c in features]
+    needed = [c for c in dict.fromkeys([*keys, *features, label])]
+    with kept(train.select(*needed)) as base:
+        for i in range(refits):
+            u = F.pmod(F.xxhash64(F.lit(seed), F.lit(i), *keys), F.lit(1 << 30)) / float(1 << 30)
+            cumulative, mass, weight = 0.0, 0.36787944117144233, F.lit(0.0)
+            for k in range(8):
+                cumulative += mass
+                mass /= k + 1
+                weight = weight + (u >= cumulative).cast("double")
+            drawn = base.withColumn("_draw", weight).where(F.col("_draw") > 0)
+            with kept(drawn) as rows:
+                weighted = balanced_weights(rows, label).withColumn("_weight", F.col("_weight") * F.col("_draw"))
+                stages = preprocess(rows, features, categorical, scale)
+                stages.append(estimator(family, rows.count(), label, **options))
+                model = Pipeline(stages=stages).fit(weighted)
+            part = score(model, test, "_p").select(*keys, "_p")
+            scored = part if scored is None else scored.unionByName(part)
     return scored.groupBy(*keys).agg(
         F.percentile("_p", F.lit(0.025)).alias("ci_low"), F.percentile("_p", F.lit(0.975)).alias("ci_high")
     )
