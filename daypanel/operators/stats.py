@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from daypanel.functions.columns import small_table
 from daypanel.functions.tails import chi2_p, f_p, normal_p, t_p
 from daypanel.operators.order_stats import exact_quantiles, mid_ranks
+from daypanel.operators.rollup import to_long
 
 
 def _moments(df: DataFrame, value: str, first: Column, second: Column, by: Sequence[str]) -> DataFrame:
@@ -202,17 +203,26 @@ def pearson_long(df: DataFrame, features: Sequence[str], by: Sequence[str] = (),
     return wide.select(*by, items.alias("_p")).select(*by, "_p.*")
 
 
-def with_ranks(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Each feature replaced by its average rank, ranked without ordering a whole group in one task."""
-    rows = df.dropna(subset=list(features)).select(*by, *features)
-    for f in features:
-        ranks = mid_ranks(rows, list(by), f).select(*by, f, F.col("mid_rank").alias(f"_rank_{f}"))
-        rows = rows.join(ranks, [*by, f])
-    return rows.select(*by, *[F.col(f"_rank_{f}").alias(f) for f in features])
+def with_ranks(
+    df: DataFrame, features: Sequence[str], by: Sequence[str] = (), keys: Sequence[str] = ("city", "date")
+) -> DataFrame:
+    """Each feature replaced by its average rank; ``keys`` identify a row.
 
-
-def spearman_long(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    return pearson_long(with_ranks(df, features, by), features, by)
+    All features are ranked together in long form, so the ranking is planned once whatever
+    their number, and no group is ordered in one task.
+    """
+    keys = [k for k in keys if k not in by]
+    complete = df.dropna(subset=list(features))
+    long = to_long(complete, [*by, *keys], features)
+    ranks = mid_ranks(long, [*by, "variable"], "value")
+    ranked = long.join(ranks, [*by, "variable", "value"])
+    return ranked.groupBy(*by, *keys).pivot("variable", list(features)).agg(F.max("mid_rank")).drop(*keys)
+
+
+def spearman_long(
+    df: DataFrame, features: Sequence[str], by: Sequence[str] = (), keys: Sequence[str] = ("city", "date")
+) -> DataFrame:
+    return pearson_long(with_ranks(df, features, by, keys), features, by)
 
 
 def disagreeing_pairs(pearson: DataFrame, spearman: DataFrame, n: int = 10) -> DataFrame:
