@@ -1 +1,123 @@
+"""Sources and sinks that can be asked of the given tables.
 
+File formats, ledgers and layer tables need files of their own and are covered by the tests.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalog import views
+from catalog.registry import big, query
+from daypanel.constants import WEATHER_MEASURES
+from daypanel.operators import clean
+from daypanel.sources import files, ledgers, payload, tables
+
+S1_COLUMNS = ["temperature_2m_max", "wind_speed_10m_max", "precipitation_sum"]
+
+
+def _payloads(spark, sf):
+    """One JSON text per entity and year, as the service would send it."""
+    rows = views.weather(spark, sf).withColumn("year", F.year("date"))
+    packed = payload.to_payloads(rows, "daily", "date", S1_COLUMNS, by=["year"])
+    return packed.select(F.to_json(F.struct("city", "daily")).alias("text"))
+
+
+@query("s1_daily_payload", f"@weather|SELECT city, date, {', '.join(S1_COLUMNS)} FROM weather")
+def s1(spark, sf):
+    schema = payload.payload_schema("daily", S1_COLUMNS)
+    parsed = _payloads(spark, sf).select(F.from_json("text", schema).alias("p")).select("p.*")
+    return payload.daily_rows(parsed, S1_COLUMNS)
+
+
+@query("s2_hourly_payload", "@hourly|SELECT city, date_trunc('second', datetime) AS datetime, visibility FROM hourly")
+def s2(spark, sf):
+    hours = views.hourly(spark, sf).select("city", F.to_timestamp_ntz(F.date_format("datetime", "yyyy-MM-dd HH:mm:ss")).alias("datetime"), "visibility")
+    day = hours.withColumn("day", F.to_date("datetime"))
+    packed = payload.to_payloads(day, "hourly", "datetime", ["visibility"], by=["day"])
+    return payload.hourly_rows(packed)
+
+
+@query("s3_marine_payload", "@marine|SELECT city, date, CAST(NULL AS DOUBLE) AS wave_direction_dominant, max(wave_height_max) AS wave_height_max, max(wave_period_max) AS wave_period_max, "
+       "max(wind_wave_height_max) AS wind_wave_height_max, max(swell_wave_height_max) AS swell_wave_height_max, CAST(NULL AS DOUBLE) AS swell_wave_period_max FROM marine GROUP BY city, date")
+def s3(spark, sf):
+    days = views.marine(spark, sf).groupBy("city", "date").agg(
+        *[F.max(c).alias(c) for c in ("wave_height_max", "wave_period_max", "wind_wave_height_max", "swell_wave_height_max")]
+    ).withColumns({c: F.lit(None).cast("double") for c in ("wave_direction_dominant", "swell_wave_period_max")})
+    month = days.withColumn("month", F.month("date"))
+    return payload.marine_rows(payload.to_payloads(month, "daily", "date", payload.MARINE_MEASURES, by=["month"]))
+
+
+@query("s6_split_visibility", "@joined|SELECT city, date, visibility_mean, visibility_min, CAST(visibility_hours_below_1km AS DOUBLE) AS visibility_hours_below_1km FROM joined WHERE visibility_mean IS NOT NULL")
+def s6(spark, sf):
+    return files.split_visibility(views.joined(spark, sf))
+
+
+@query("s7_visibility_forms", f"@hourly|SELECT city, CAST(datetime AS DATE) AS date, avg(visibility) AS visibility_mean, min(visibility) AS visibility_min, CAST(count(*) FILTER (visibility < 1000) AS DOUBLE) AS visibility_hours_below_1km FROM hourly GROUP BY ALL")
+def s7(spark, sf):
+    return files.visibility_from(views.hourly(spark, sf))
+
+
+@query("s13_upsert", "@weather,forecast|SELECT city, date, coalesce(f.wind_speed_10m_max, w.wind_speed_10m_max) AS wind_speed_10m_max FROM weather w FULL JOIN forecast f USING (city, date)")
+def s13(spark, sf):
+    pick = lambda df: df.select("city", "date", "wind_speed_10m_max")
+    return clean.upsert(pick(views.weather(spark, sf)), pick(views.forecast(spark, sf)), ["city", "date"])
+
+
+@query(
+    "s13_upsert_partial",
+    "@weather,forecast|SELECT city, date, coalesce(f.precipitation_sum, w.precipitation_sum) AS precipitation_sum, w.surface_pressure_mean FROM weather w FULL JOIN forecast f USING (city, date)",
+)
+def s13_partial(spark, sf):
+    old = views.weather(spark, sf).select("city", "date", "precipitation_sum", "surface_pressure_mean")
+    return clean.upsert(old, views.forecast(spark, sf).select("city", "date", "precipitation_sum"), ["city", "date"], partial=True)
+
+
+@query("s15_combined", "@weather,forecast|SELECT city, date, weather_code, rain_sum FROM weather UNION ALL SELECT city, date, weather_code, NULL FROM forecast")
+def s15(spark, sf):
+    return files.combine([views.weather(spark, sf), views.forecast(spark, sf)]).select("city", "date", "weather_code", "rain_sum")
+
+
+@query("s16_prediction_metadata", "@vis|SELECT min(date) AS window_start, max(date) AS window_end, count(DISTINCT date) AS days, 'latest/daily' AS daily_path, 'latest/monthly' AS monthly_path FROM vis")
+def s16(spark, sf):
+    import datetime as dt
+
+    return ledgers.prediction_metadata(views.visibility(spark, sf), dt.datetime(2001, 11, 10)).drop("generated_at")
+
+
+@query(
+    "s17_pending_fetches",
+    "@weather,vis|SELECT DISTINCT city, 'archive' AS source, strftime(date_trunc('month', date), '%Y-%m-%d') AS start_date, strftime(last_day(date), '%Y-%m-%d') AS end_date FROM weather "
+    "WHERE (city, date_trunc('month', date)) NOT IN (SELECT (city, date_trunc('month', date)) FROM vis)",
+)
+def s17(spark, sf):
+    def months(df):
+        text = lambda c: F.date_format(c, "yyyy-MM-dd")
+        return df.select("city", F.lit("archive").alias("source"), text(F.trunc("date", "month")).alias("start_date"), text(F.last_day("date")).alias("end_date")).distinct()
+
+    return ledgers.pending(months(views.weather(spark, sf)), months(views.visibility(spark, sf)))
+
+
+@query(
+    "s20_sql_over_views",
+    "@weather|SELECT city, year(date) AS year, count(*) AS days FROM weather WHERE wind_speed_10m_max > 50 GROUP BY ALL",
+)
+def s20(spark, sf):
+    return tables.run_query(
+        spark, "SELECT city, CAST(year(date) AS bigint) AS year, count(*) AS days FROM weather_view WHERE wind_speed_10m_max > 50 GROUP BY city, year(date)",
+        weather_view=views.weather(spark, sf),
+    )
+
+
+@query(
+    "s21_inventory",
+    "@weather,vis|SELECT 'weather' AS table_name, 17 AS columns, count(*) AS rows FROM weather UNION ALL SELECT 'visibility', 5, count(*) FROM vis",
+)
+def s21(spark, sf):
+    return tables.inventory({"weather": views.weather(spark, sf), "visibility": views.visibility(spark, sf)})
+
+
+@query("s24_file_report", "SELECT 'lineitem.parquet' AS file_name, count(*) AS rows FROM lineitem UNION ALL SELECT 'orders.parquet', count(*) FROM orders")
+def s24(spark, sf):
+    report = files.file_report(spark, [f"{sf}/lineitem.parquet", f"{sf}/orders.parquet"], "parquet")
+    return report.select("file_name", "rows")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from daypanel.constants import DEFAULT_THRESHOLD, HIGH_RISK_DAYS, NO_SEA_DATA, OFFSHORE_WEIGHT, SEA_HISTORY
 from daypanel.functions.calendar import rolling_dates
-from daypanel.functions.columns import clip, with_null_columns
+from daypanel.functions.columns import clip, stable_round, with_null_columns
 from daypanel.functions.hazard import add_sea_risk, calibrated_probability, combined_probability, risk_reason, sea_risk
 from daypanel.operators.features import engineer_all_features
 from daypanel.operators.timeseries import climatology_lookup
@@ -28,7 +28,6 @@ def forecast_features(
     first_day = forecast.agg(F.min(date)).scalar()
     recent = staging.where((F.col(date) >= F.date_sub(first_day, lookback_days)) & (F.col(date) < first_day))
     both = recent.unionByName(forecast, allowMissingColumns=True)
-    # Not a filter on the rows of the forecast: the reference set is its dates.
     engineered = engineer_all_features(both, fetch, entity, date)
     kept = engineered.join(forecast.select(date).distinct(), date, "left_semi").select(*engineered.columns)
     return with_null_columns(kept, feature_columns)
@@ -51,8 +50,8 @@ def offshore_climatology(
     rows = rows.select(entity, date, "wave_height")
     scored = rows.withColumn("_p", sea_risk(rows)["offshore_sea_probability"])
     return scored.groupBy(entity, F.dayofyear(date).alias("day_of_year")).agg(
-        F.round(F.avg("_p"), 4).alias("offshore_sea_probability"),
-        F.round(F.avg("wave_height"), 2).alias("offshore_wave_height_m"),
+        stable_round(F.avg("_p"), 4).alias("offshore_sea_probability"),
+        stable_round(F.avg("wave_height"), 2).alias("offshore_wave_height_m"),
     )
 
 

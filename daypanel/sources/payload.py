@@ -64,5 +64,6 @@ def to_payloads(rows: DataFrame, section: str, time: str, measures: Sequence[str
     """The inverse shape: one payload per entity (and further keys that bound its length)."""
     packed = F.sort_array(F.collect_list(F.struct(F.col(time).cast("string").alias("time"), *[F.col(m).cast("string").alias(m) for m in measures])))
     grouped = rows.groupBy(entity, *by).agg(packed.alias("_rows"))
-    body = F.struct(*[F.transform("_rows", lambda x, n=n: x[n]).alias(n) for n in ["time", *measures]])
+    # a field of an array of structs is the array of that field
+    body = F.struct(*[F.col("_rows").getField(n).alias(n) for n in ["time", *measures]])
     return grouped.select(entity, body.alias(section))
