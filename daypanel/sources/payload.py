@@ -43,8 +43,12 @@ def to_rows(
     payloads: DataFrame, section: str, measures: Sequence[str], time: Column, output: str, entity: str = "city"
 ) -> DataFrame:
     """One row per array position. ``time`` parses the text column ``_time``."""
-    arrays = [F.col(f"{section}.time").alias("_time"), *[F.col(f"{section}.{m}").alias(m) for m in measures]]
-    zipped = _checked(payloads, section, entity).select(entity, F.inline(F.arrays_zip(*arrays)))
+    # an absent or short array leaves nulls; a null one would drop the whole payload
+    nothing = F.array().cast("array<string>")
+    arrays = [F.col(f"{section}.time").alias("_time")]
+    arrays += [F.coalesce(F.col(f"{section}.{m}"), nothing).alias(m) for m in measures]
+    split = _checked(payloads, section, entity).select(entity, *arrays)
+    zipped = split.select(entity, F.inline(F.arrays_zip("_time", *measures)))
     return zipped.select(entity, time.alias(output), *[to_number(m).alias(m) for m in measures])
 
 

@@ -16,10 +16,15 @@ def hours_to_days_stream(
     hourly: DataFrame, value: str = "visibility", threshold: float = 1000.0, entity: str = "city",
     timestamp: str = "datetime", tolerance: str = "3 days",
 ) -> DataFrame:
-    """Tumbling one-day window; hours up to ``tolerance`` late still count."""
+    """Tumbling one-day window; hours up to ``tolerance`` late still count.
+
+    Watermarks need an instant: local wall-clock times are read as such in the session time
+    zone, which is UTC here, so that windows start at local midnight.
+    """
     day = F.window(timestamp, "1 day")
     return (
-        hourly.withWatermark(timestamp, tolerance)
+        hourly.withColumn(timestamp, F.col(timestamp).cast("timestamp"))
+        .withWatermark(timestamp, tolerance)
         .groupBy(entity, day.alias("_day"))
         .agg(
             stable_round(F.avg(value), 1).alias("visibility_mean"),
