@@ -126,20 +126,47 @@ def _measures() -> list:
     ]
 
 
+# A line of a day packed into one whole number, the price first: the dearest and the cheapest
+# line of a day are then a maximum and a minimum of numbers, which aggregate by hash, not sort.
+PACKED_SQL = (
+    "((((p * 16 + d) * 16 + t) * 64 + CAST(q AS BIGINT)) * 4 + CASE f WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END) * 2 "
+    "+ CASE s WHEN 'F' THEN 0 ELSE 1 END"
+)
+
+
+def _unpacked(name: str, divide) -> str:
+    """The packed fields of a number by their letters, as an expression text of either engine."""
+    k = f"{name}k"
+    return {
+        "s": f"CASE WHEN {k} % 2 = 0 THEN 'F' ELSE 'O' END",
+        "f": f"CASE {divide(k, 2)} % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END",
+        "q": f"CAST({divide(k, 8)} % 64 AS DOUBLE)",
+        "t": f"{divide(k, 512)} % 16",
+        "d": f"{divide(k, 8192)} % 16",
+        "p": divide(k, 131072),
+    }
+
+
 def _by_day(rows: DataFrame) -> DataFrame:
-    line = F.struct("p", "o", "n", "q", "d", "t", "f", "s")
-    return rows.groupBy("city", "date").agg(
+    packed = rows.withColumn("packed", F.expr(PACKED_SQL))
+    days = packed.groupBy("city", "date").agg(
         F.count(F.lit(1)).alias("k"), F.sum("q").alias("sum_q"), F.max("q").alias("max_q"), F.min("q").alias("min_q"),
         F.sum("p").alias("sum_p"), F.sum((F.col("s") == "O").cast("long")).alias("n_open"),
-        F.max(line).alias("h"), F.min(line).alias("c"),
+        F.max("packed").alias("hk"), F.min("packed").alias("ck"),
+    )
+    parts = {n: _unpacked(n, lambda k, by: f"({k} div {by})") for n in ("h", "c")}
+    return days.withColumns(
+        {n: F.struct(*[F.expr(e).alias(letter) for letter, e in fields.items()]) for n, fields in parts.items()}
     )
 
 
-_LINE = "{'p': p, 'o': o, 'n': n, 'q': q, 'd': d, 't': t, 'f': f, 's': s}"
-_BY_DAY_SQL = (
-    "SELECT city, date, count(*) AS k, sum(q) AS sum_q, max(q) AS max_q, min(q) AS min_q, CAST(sum(p) AS DOUBLE) AS sum_p, "
-    "count(*) FILTER (s = 'O') AS n_open, max(" + _LINE + ") AS h, min(" + _LINE + ") AS c FROM {src} GROUP BY city, date"
+_FIELDS_SQL = ", ".join(
+    f"{{{', '.join(f'{chr(39)}{letter}{chr(39)}: {e}' for letter, e in _unpacked(n, lambda k, by: f'({k} // {by})').items())}}} AS {n}" for n in ("h", "c")
 )
+_BY_DAY_SQL = (
+    f"SELECT *, {_FIELDS_SQL} FROM (SELECT city, date, count(*) AS k, sum(q) AS sum_q, max(q) AS max_q, min(q) AS min_q, CAST(sum(p) AS DOUBLE) AS sum_p, "
+    f"count(*) FILTER (s = 'O') AS n_open, max({PACKED_SQL}) AS hk, min({PACKED_SQL}) AS ck FROM {{src}} GROUP BY city, date)"
+).replace("{{src}}", "{src}")
 _MEASURES_SQL = """SELECT city, date,
   max_q - 10 AS temperature_2m_max, min_q - 10 AS temperature_2m_min,
   floor(sum_q / k) - 10 AS temperature_2m_mean, floor((max_q + min_q) / 2) - 10 AS apparent_temperature_mean,
@@ -190,9 +217,8 @@ def orders(spark: SparkSession, sf: str) -> DataFrame:
 @planned
 def visibility(spark: SparkSession, sf: str) -> DataFrame:
     """Last and first order of the day stand for its mean and its minimum."""
-    order = F.struct("o", "p")
-    days = orders(spark, sf).groupBy("city", "date").agg(F.max(order).alias("h"), F.min(order).alias("c"))
-    h, c = F.col("h.p"), F.col("c.p")
+    days = orders(spark, sf).groupBy("city", "date").agg(F.max_by("p", "o").alias("h"), F.min_by("p", "o").alias("c"))
+    h, c = F.col("h"), F.col("c")
     return days.select(
         "city", "date",
         F.floor(h / 5000.0).cast("double").alias("visibility_mean"),
