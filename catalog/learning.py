@@ -182,7 +182,7 @@ def a37(spark, sf):
 # ---- Trained models: rows-only. Tree counts are below the defaults to keep a check short ----
 
 FEATURES = ["city", "season", "month_sin", "month_cos", "temperature_2m_mean", "temp_range_c", "hdd", "wind_3d_max", "precip_3d_sum", "wave_height_lag1", "wave_height_7d_mean"]
-QUICK = {"logistic": {"maxIter": 50}, "forest": {"numTrees": 20, "maxDepth": 6}, "boosted": {"maxIter": 10}}
+QUICK = {"logistic": {"maxIter": 20}, "forest": {"numTrees": 10, "maxDepth": 5}, "boosted": {"maxIter": 5}}
 
 
 @views.planned
@@ -250,7 +250,7 @@ def m14(spark, sf):
 @query("m20_prediction_intervals")
 def m20(spark, sf):
     train, test = models.split_by_year(rows_for_models(spark, sf), 2001)
-    return models.prediction_intervals(train, test, "logistic", FEATURES, True, refits=3, maxIter=20)
+    return models.prediction_intervals(train, test, "logistic", FEATURES, True, refits=2, maxIter=10)
 
 
 @query("m22_coefficients")

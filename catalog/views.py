@@ -51,6 +51,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def hundredths(column: str):
+    """A two-decimal number as a whole number; ``round`` on a double would build a decimal per row."""
+    return F.floor(F.col(column) * 100 + 0.5)
+
+
 def _with_region(df: DataFrame, spark: SparkSession, sf: str, nation_key: str, key: str) -> DataFrame:
     nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
     return (
@@ -68,7 +73,6 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
     otherwise sort-merges, splitting a supplier that holds very many lines (AQE skew join).
     """
     place = _with_region(table(spark, sf, "supplier"), spark, sf, "s_nationkey", "s_suppkey")
-    cents = lambda c: F.round(F.col(c) * 100).cast("long")
     return (
         table(spark, sf, "lineitem")
         .join(place, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -78,9 +82,9 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
             F.col("l_orderkey").alias("o"),
             F.col("l_linenumber").alias("n"),
             F.col("l_quantity").alias("q"),
-            cents("l_discount").alias("d"),
-            cents("l_tax").alias("t"),
-            cents("l_extendedprice").alias("p"),
+            hundredths("l_discount").alias("d"),
+            hundredths("l_tax").alias("t"),
+            hundredths("l_extendedprice").alias("p"),
             F.col("l_returnflag").alias("f"),
             F.col("l_linestatus").alias("s"),
         )
@@ -210,7 +214,7 @@ def orders(spark: SparkSession, sf: str) -> DataFrame:
     place = _with_region(table(spark, sf, "customer"), spark, sf, "c_nationkey", "c_custkey")
     return table(spark, sf, "orders").join(place, F.col("o_custkey") == F.col("c_custkey")).select(
         "city", F.to_date("o_orderdate").alias("date"), F.col("o_orderkey").alias("o"),
-        F.round(F.col("o_totalprice") * 100).cast("long").alias("p"),
+        hundredths("o_totalprice").alias("p"),
     )
 
 
@@ -286,7 +290,7 @@ def preset(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFram
 def hourly(spark: SparkSession, sf: str) -> DataFrame:
     """Events as an hourly series; the value in cents keeps sums exact."""
     return table(spark, sf, "events").select(
-        F.col("event_type").alias("city"), F.col("ts").alias("datetime"), F.round(F.col("value") * 100).alias("visibility")
+        F.col("event_type").alias("city"), F.col("ts").alias("datetime"), hundredths("value").cast("double").alias("visibility")
     )
 
 
@@ -323,7 +327,7 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select(
         F.col("o_orderpriority").alias("city"), F.to_date("o_orderdate").alias("date"),
         (F.col("o_orderstatus") == "F").cast("int").alias("label"),
-        (F.round(F.col("o_totalprice") * 100) / 50000000.0).alias("probability"),
+        (hundredths("o_totalprice") / 50000000.0).alias("probability"),
     )
 
 
