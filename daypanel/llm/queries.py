@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from daypanel.llm.base import table
+from daypanel.llm.html_text import extract
+from daypanel.llm.mixing import mix
 from daypanel.llm.ngram_join import jaccard_classes
+from daypanel.llm.quality_rules import clean_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,3 +24,18 @@ def _query(function):
 @_query
 def op1_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_classes(table(spark, sf, "documents"))
+
+
+@_query
+def op2_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return extract(table(spark, sf, "pages"))
+
+
+@_query
+def op8_line_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return clean_lines(table(spark, sf, "documents"))
+
+
+@_query
+def op10_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
+    return mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
