@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from daypanel.llm.base import table
+from daypanel.llm import queries_sql, quality_nbsvm, toxicity, url_lists
 from daypanel.llm.html_text import extract
 from daypanel.llm.mixing import mix
 from daypanel.llm.ngram_join import jaccard_classes
@@ -18,6 +19,8 @@ ORACLES: dict[str, str] = {}
 
 def _query(function):
     QUERIES[function.__name__] = function
+    if sql := getattr(queries_sql, function.__name__.split("_")[0].upper(), None):
+        ORACLES[function.__name__] = sql
     return function
 
 
@@ -31,6 +34,23 @@ def op2_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     return extract(table(spark, sf, "pages"))
 
 
+@_query
+def op3_toxicity_chain(spark: SparkSession, sf: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "labels"))
+    return scored.drop("text")
+
+
+@_query
+def op4_quality_nbsvm(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_nbsvm.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@_query
+def op6_temporal_url_list(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages")
+    return url_lists.filter_captures(url_lists.captures_of(pages), url_lists.list_of(pages))
+
+
 @_query
 def op8_line_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return clean_lines(table(spark, sf, "documents"))
