@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from daypanel.llm.base import table
 from daypanel.llm import queries_sql, quality_nbsvm, toxicity, url_lists
 from daypanel.llm.html_text import extract
+from daypanel.llm.line_dedup import dedup_lines
 from daypanel.llm.mixing import mix
 from daypanel.llm.ngram_join import jaccard_classes
 from daypanel.llm.quality_rules import clean_lines
@@ -51,6 +52,11 @@ def op6_temporal_url_list(spark: SparkSession, sf: str) -> DataFrame:
     return url_lists.filter_captures(url_lists.captures_of(pages), url_lists.list_of(pages))
 
 
+@_query
+def op7_line_chunk_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup_lines(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", "n_removed", "chars_removed", "text")
+
+
 @_query
 def op8_line_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return clean_lines(table(spark, sf, "documents"))

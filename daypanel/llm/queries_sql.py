@@ -27,9 +27,9 @@ captures AS (
     regexp_replace(regexp_replace(url, '^[a-z]+://(www\.)?', ''), '[?#].*$', '') AS rest
   FROM pages
 ),
-parts AS (SELECT page_id, fetched, lower(split_part(rest, '/', 1)) AS host, list_filter(list_slice(string_split(rest, '/'), 2, NULL), x -> x <> '') AS path FROM captures),
+parts AS (SELECT page_id, fetched, lower(split_part(rest, '/', 1)) AS host, list_filter(list_slice(string_split(rest, '/'), 2, 10000), lambda x: x <> '') AS path FROM captures),
 named AS (
-  SELECT page_id, fetched, array_to_string(list_slice(string_split(host, '.'), k, NULL), '.') AS key FROM parts, LATERAL (SELECT unnest(range(1, len(string_split(host, '.')))) AS k)
+  SELECT page_id, fetched, array_to_string(list_slice(string_split(host, '.'), k, 10000), '.') AS key FROM parts, LATERAL (SELECT unnest(range(1, len(string_split(host, '.')))) AS k)
   UNION
   SELECT page_id, fetched, host || '/' || array_to_string(list_slice(path, 1, k), '/') FROM parts, LATERAL (SELECT unnest(range(1, len(path) + 1)) AS k)
 ),
@@ -42,7 +42,7 @@ FROM captures c LEFT JOIN best b ON c.page_id = b.page_id
 OP8 = rf"""
 WITH base AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 split AS (
-  SELECT doc_id, text, regexp_extract_all(text, '{_W}') AS words, list_filter(string_split(text, chr(10)), x -> length(translate(x, {_SPACES}, '')) > 0) AS lines FROM base
+  SELECT doc_id, text, regexp_extract_all(text, '{_W}') AS words, list_filter(string_split(text, chr(10)), lambda x: length(translate(x, {_SPACES}, '')) > 0) AS lines FROM base
 ),
 windows AS (SELECT doc_id, k, list_slice(words, k, k + 7) AS w FROM split, LATERAL (SELECT unnest(range(1, len(words) - 6)) AS k)),
 twice AS (SELECT doc_id, k FROM (SELECT doc_id, k, count(*) OVER (PARTITION BY doc_id, w) AS n FROM windows) WHERE n > 1),
@@ -50,7 +50,7 @@ covered AS (SELECT doc_id, count(DISTINCT k + d) AS n FROM twice, range(8) AS r(
 rules AS (
   SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(translate(text, {_SPACES}, '')) AS BIGINT) AS word_chars,
     CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
-    list_filter(lines, x -> NOT (
+    list_filter(lines, lambda x: NOT (
       (NOT regexp_matches(x, {_text(SENTENCE_END)}) AND (len(regexp_extract_all(x, '{_W}')) < 10 OR NOT regexp_matches(x, {_text(INNER_END)})))
       OR (length(x) - length(translate(x, '#*$%&|<>', ''))) * 5 > len(regexp_extract_all(x, '{_W}'))
       OR len(regexp_extract_all(x, '!!+([\x20\x09-\x0D]|$)')) * 2 > len(regexp_extract_all(x, '{_W}'))
@@ -59,7 +59,7 @@ rules AS (
   FROM split
 ),
 counted AS (
-  SELECT r.*, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(list_sum(list_transform(passing, x -> len(regexp_extract_all(x, '{_W}')))), 0) AS BIGINT) AS n_kept_words
+  SELECT r.*, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(list_sum(list_transform(passing, lambda x: len(regexp_extract_all(x, '{_W}')))), 0) AS BIGINT) AS n_kept_words
   FROM rules r LEFT JOIN covered c ON r.doc_id = c.doc_id
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
