@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daypanel.llm.base import table
 from daypanel.llm import queries_sql, quality_nbsvm, toxicity, url_lists
+from daypanel.llm.decontaminate import leaks
 from daypanel.llm.html_text import extract
 from daypanel.llm.line_dedup import dedup_lines
 from daypanel.llm.mixing import mix
@@ -62,6 +63,11 @@ def op8_line_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return clean_lines(table(spark, sf, "documents"))
 
 
+@_query
+def op9_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @_query
 def op10_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
