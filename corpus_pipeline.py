@@ -1,10 +1,78 @@
-"""The corpus pipeline: stages over documents, each written and read again before the next."""
+"""The corpus pipeline: stages over ``documents``, each written and read again before the next.
+
+Each stage takes ``(spark, docs, sf_dir)`` and returns the documents that it keeps; all but the last return the columns that they got.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from daypanel.llm import toxicity
+from daypanel.llm.base import WORD, cut, table
+from daypanel.llm.decontaminate import leaks
+from daypanel.llm.line_dedup import dedup_lines
+from daypanel.llm.mixing import mix
+from daypanel.llm.ngram_join import jaccard_classes
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain doesn't call toxic; null and empty texts stay."""
+    return toxicity.score(docs, table(spark, sf_dir, "labels")).where("toxic = 0").select(docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without repeated chunks of lines; one that has no word left goes. ``n_chars`` is counted anew where the text changed."""
+    rows = dedup_lines(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(WORD))
+    if "n_chars" in docs.columns:
+        kind = dict(docs.dtypes)["n_chars"]
+        rows = rows.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return rows.select(docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents linked by shingles the one of the least id; texts without shingles stay. Of rows that repeat the least id the least text stays.
+
+    Rows are told apart by id and a hash of the text, so a null id or a repeated one loses no other text.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"), "*")
+    classes = jaccard_classes(docs)
+    gone = classes.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
+    rows = rows.join(gone, F.col("id") == F.col("gone"), "left_anti")
+    return rows.select(docs.columns)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, exact or edited."""
+    found = leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leaked")).distinct()
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("leaked")), "left_anti")
+
+
+def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the mix takes, with ``copies`` (1 to 3), ``size``, ``taken``, ``source_size`` and ``target``; a document is repeated by its number of copies, not by rows."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("id"), "*")
+    taken = cut(mix(docs)).where("copies > 0").groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"), F.first("source_size").alias("source_size"), F.first("target").alias("target"))
+    renamed = taken.select(F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size"), "copies", "source_size", "target")
+    sized = ids.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")).drop("copies", "source_size", "target", "taken")
+    on = F.col("id").eqNullSafe(F.col("m_id")) & F.col("source").cast("string").eqNullSafe(F.col("m_source")) & (F.col("size") == F.col("m_size"))
+    return sized.join(renamed, on).drop("id", "m_id", "m_source", "m_size").withColumn("taken", F.col("copies") * F.col("size"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("ngram_jaccard_join", one_of_each_group),
+    ("benchmark_decontamination", drop_leaks),
+    ("mix_sources", mix_to_weights),
+]
+
+#: Hashing, training and alignment have no SQL form; tests compare each stage with a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in order over ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES:
+        docs = cut(stage(spark, docs, sf_dir))
+    return docs

@@ -14,6 +14,7 @@ from daypanel.llm.line_dedup import dedup_lines
 from daypanel.llm.mixing import mix
 from daypanel.llm.ngram_join import jaccard_classes
 from daypanel.llm.quality_rules import clean_lines
+from daypanel.llm.secret_scan import scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,6 +48,11 @@ def op4_quality_nbsvm(spark: SparkSession, sf: str) -> DataFrame:
     return quality_nbsvm.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@_query
+def op5_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return scan(table(spark, sf, "documents"))
+
+
 @_query
 def op6_temporal_url_list(spark: SparkSession, sf: str) -> DataFrame:
     pages = table(spark, sf, "pages")
