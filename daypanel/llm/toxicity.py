@@ -16,8 +16,8 @@ from daypanel.llm.quality_nbsvm import labelled
 #: Labelled rows that the chain is fitted to at most: the first by a hash of the id. All rows are scored.
 TRAIN_ROWS = 8_000
 BITS = 20
-#: Most features that the chain keeps, and the least score of one against chance.
-FEATURES, LEAST_Z = 200, 5.0
+#: Most features that the chain keeps, and the least log-likelihood ratio of one against chance.
+FEATURES, LEAST_RATIO = 240, 30.0
 #: Word starts that count as features beside whole words: inflected forms share them.
 STEMS = (4, 5, 6)
 #: Categories of a labelled toxic document by its number of distinct cue words; cues are features that only toxic
@@ -75,10 +75,10 @@ def select(found: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """The features that separate the labels best, and among them the cues: at least five rows, all toxic."""
     dim, x = 1 << BITS, Rows(found)
     total, hits, share = x.add(np.ones(len(y)), dim), x.add(y, dim), y.mean()
-    z = np.abs(hits - total * share) / np.sqrt(np.maximum(total * share * (1 - share), 1e-9))
-    z[total < 5] = 0.0
-    best = np.argsort(-z, kind="stable")[:FEATURES]
-    kept = np.sort(best[z[best] >= LEAST_Z])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = 2.0 * sum(np.where(n > 0, n * np.log(n / np.maximum(total * part, 1e-12)), 0.0) for n, part in ((hits, share), (total - hits, 1.0 - share)))
+    best = np.argsort(-ratio, kind="stable")[:FEATURES]
+    kept = np.sort(best[ratio[best] >= LEAST_RATIO])
     return kept, kept[hits[kept] >= 0.99 * total[kept]]
 
 
@@ -136,7 +136,7 @@ def _scores(chain):
     return run
 
 
-def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, train_rows: int = TRAIN_ROWS) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """Adds the chain's probabilities ``p_severe``, ``p_repeated``, ``p_toxic`` and the verdict ``toxic`` to documents.
 
     ``docs`` has ``text`` and ``doc_id`` among its columns, which are kept; ``labels`` has ``doc_id`` and ``toxic``. At most ``train_rows`` labelled
