@@ -16,46 +16,60 @@ from daypanel.llm.mixing import mix
 from daypanel.llm.ngram_join import jaccard_classes
 
 
+def packed(docs: DataFrame, *more: str) -> DataFrame:
+    """``doc_id``, ``text`` and ``more`` beside ``row``, which holds all columns whatever their names."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", "text", *more)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain doesn't call toxic; null and empty texts stay."""
-    return toxicity.score(docs, table(spark, sf_dir, "labels")).where("toxic = 0").select(docs.columns)
+    return toxicity.score(packed(docs), table(spark, sf_dir, "labels")).where("toxic = 0").select("row.*")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated chunks of lines; one that has no word left goes. ``n_chars`` is counted anew where the text changed."""
-    rows = dedup_lines(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(WORD))
+    rows = dedup_lines(packed(docs)).where((F.col("n_removed") == 0) | F.col("text").rlike(WORD))
+    changed = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        kind = dict(docs.dtypes)["n_chars"]
-        rows = rows.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return rows.select(docs.columns)
+        changed["n_chars"] = F.when(F.col("n_removed") > 0, F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("row.n_chars"))
+    return rows.select(*(changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by shingles the one of the least id; texts without shingles stay. Of rows that repeat the least id the least text stays.
+    """Of each group of documents linked by shingles the one of the least id; texts without shingles stay.
 
-    Rows are told apart by id and a hash of the text, so a null id or a repeated one loses no other text.
+    Rows are told apart by id and a hash of the text: a repeated id loses no other text, rows that repeat both are
+    one document. A null id stays only where its group has no other.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"), "*")
-    classes = jaccard_classes(docs)
-    gone = classes.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
-    rows = rows.join(gone, F.col("id") == F.col("gone"), "left_anti")
-    return rows.select(docs.columns)
+    classes = cut(jaccard_classes(docs))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first")
+    kept = classes.where("group is not null").groupBy("group").agg(first).select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_key").alias("kept_key"))
+    rows = packed(docs).select("row", F.col("doc_id").cast("long").alias("kept_id"), F.xxhash64("text").alias("kept_key"))
+    same = rows["kept_id"].eqNullSafe(kept["kept_id"]) & (rows["kept_key"] == kept["kept_key"])
+    ones = rows.join(kept, same, "left_semi").dropDuplicates(["kept_id", "kept_key"]).select("row.*")
+    blank = docs.where(F.col("text").isNull() | ~F.col("text").rlike(WORD))
+    return ones.unionByName(blank)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, exact or edited."""
     found = leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leaked")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("leaked")), "left_anti")
+    return packed(docs).join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("leaked")), "left_anti").select("row.*")
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the mix takes, with ``copies`` (1 to 3), ``size``, ``taken``, ``source_size`` and ``target``; a document is repeated by its number of copies, not by rows."""
-    ids = docs.select(F.col("doc_id").cast("long").alias("id"), "*")
-    taken = cut(mix(docs)).where("copies > 0").groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"), F.first("source_size").alias("source_size"), F.first("target").alias("target"))
-    renamed = taken.select(F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size"), "copies", "source_size", "target")
-    sized = ids.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")).drop("copies", "source_size", "target", "taken")
-    on = F.col("id").eqNullSafe(F.col("m_id")) & F.col("source").cast("string").eqNullSafe(F.col("m_source")) & (F.col("size") == F.col("m_size"))
-    return sized.join(renamed, on).drop("id", "m_id", "m_source", "m_size").withColumn("taken", F.col("copies") * F.col("size"))
+    """Documents that the mix takes, with ``copies`` (1 to 3), ``size``, ``taken``, ``source_size`` and ``target``; a document is repeated by its number of copies, not by rows.
+
+    Documents are told apart by id and text; rows that repeat both, which the stages before leave out, share the largest number.
+    Columns of ``docs`` named like an added one are replaced.
+    """
+    added = ["size", "source_size", "target", "copies", "taken"]
+    rows = packed(docs, "source").withColumn("mix_id", F.xxhash64("doc_id", "text"))
+    mixed = mix(rows.select(F.col("mix_id").alias("doc_id"), "text", "source")).where("copies > 0")
+    taken = cut(mixed.groupBy("doc_id", "source", "size").agg(*(F.max(c).alias(c) for c in added[1:])))
+    taken = taken.select(F.col("doc_id").alias("taken_id"), F.col("source").alias("taken_source"), *added)
+    rows = rows.join(taken, (F.col("mix_id") == F.col("taken_id")) & F.col("source").cast("string").eqNullSafe(F.col("taken_source")))
+    return rows.select(*(F.col("row").getField(c).alias(c) for c in docs.columns if c not in added), *added)
 
 
 STAGES = [
