@@ -117,10 +117,14 @@ def f2_all(spark, sf):
 @query(
     "f6_window_summary",
     f"@forecast_rows|SELECT city, min(date) AS window_start, max(date) AS window_end, {big('count(*) FILTER (adjusted >= 0.1)')} AS risk_days_predicted, "
+    # the distribution of the number of risk days: none, one, ... five or more
+    "round(list_reduce(list([round(adjusted, 4), 0.0, 0.0, 0.0, 0.0, 0.0]::DOUBLE[] ORDER BY date), lambda s, x: "
+    "[s[1] * (1 - x[1]), s[2] * (1 - x[1]) + s[1] * x[1], s[3] * (1 - x[1]) + s[2] * x[1], s[4] * (1 - x[1]) + s[3] * x[1], s[5] * (1 - x[1]) + s[4] * x[1], s[6] + s[5] * x[1]], "
+    "[1.0, 0.0, 0.0, 0.0, 0.0, 0.0]::DOUBLE[])[6], 4) AS high_risk_window_probability, "
     "count(*) FILTER (source = 'short_horizon') AS n_short_horizon_days, count(*) FILTER (source = 'climatology') AS n_climatology_days FROM forecast_rows GROUP BY city",
 )
 def f6(spark, sf):
-    return fc.summarise_window(daily_table(spark, sf)).drop("high_risk_window_probability")
+    return fc.summarise_window(daily_table(spark, sf))
 
 
 # the distribution of the number of hits, one order at a time

@@ -76,7 +76,7 @@ def q5(spark, sf):
     return quality.out_of_range(views.weather(spark, sf), TIGHT)
 
 
-@query("a31_flag_summary", f"@weather|SELECT column_name, reason, count(*) AS n FROM ({RANGE_SQL}) GROUP BY ALL ORDER BY n DESC, column_name, reason LIMIT 10")
+@query("a31_flag_summary", f"@weather|SELECT column_name, reason, count(*) AS n FROM ({RANGE_SQL}) GROUP BY ALL")
 def a31(spark, sf):
     from daypanel.sources.ledgers import flag_summary
 

@@ -163,7 +163,7 @@ def pairs_sql(source: str, value: str = "corr({a}, {b})", by: str = "") -> str:
 block("complete", "joined", "SELECT city, " + ", ".join(FEATURES) + " FROM joined WHERE " + " AND ".join(f"{f} IS NOT NULL" for f in FEATURES))
 RANKED = ", ".join(f"rank() OVER (PARTITION BY city ORDER BY {f}) + (count(*) OVER (PARTITION BY city, {f}) - 1) / 2.0::DOUBLE AS {f}" for f in FEATURES)
 block("ranked", "complete", f"SELECT city, {RANKED} FROM complete")
-RANKED_ALL = ", ".join(f"rank() OVER (ORDER BY {f}) + (count(*) OVER (PARTITION BY {f}) - 1) / 2.0::DOUBLE AS {f}" for f in FEATURES[:4])
+RANKED_ALL = ", ".join(f"rank() OVER (ORDER BY {f}) + (count(*) OVER (PARTITION BY {f}) - 1) / 2.0::DOUBLE AS {f}" for f in FEATURES)
 block("ranked_all", "complete", f"SELECT {RANKED_ALL} FROM complete")
 
 
@@ -181,23 +181,23 @@ def t12_pairwise(spark, sf):
     return rounded(pairs(spark, sf, complete=False), 8, "r")
 
 
-@query("t13_spearman", "@ranked|SELECT * REPLACE (round(r, 8) AS r) FROM (" + pairs_sql("ranked", by="city") + ") WHERE i < 4 AND j < 4")
+@query("t13_spearman", "@ranked|SELECT * REPLACE (round(r, 8) AS r) FROM (" + pairs_sql("ranked", by="city") + ")")
 def t13(spark, sf):
     rows = views.joined(spark, sf).dropna(subset=FEATURES)
-    return rounded(stats.spearman_long(rows, FEATURES[:4], ["city"]), 8, "r")
+    return rounded(stats.spearman_long(rows, FEATURES, ["city"]), 8, "r")
 
 
 block("pearson_all", "complete", pairs_sql("complete"))
 GAP4 = " UNION ALL ".join(
     f"SELECT '{FEATURES[i]}' AS feature_1, '{FEATURES[j]}' AS feature_2, (SELECT corr({FEATURES[i]}, {FEATURES[j]}) FROM complete) AS pearson, corr({FEATURES[i]}, {FEATURES[j]}) AS spearman FROM ranked_all"
-    for i, j in PAIRS if j < 4
+    for i, j in PAIRS
 )
 
 
-@query("t14_disagreeing_pairs", "@complete,ranked_all|SELECT feature_1, feature_2, round(pearson, 8) AS pearson, round(spearman, 8) AS spearman, round(abs(spearman - pearson), 8) AS gap FROM (" + GAP4 + ") ORDER BY abs(spearman - pearson) DESC LIMIT 3")
+@query("t14_disagreeing_pairs", "@complete,ranked_all|SELECT feature_1, feature_2, round(pearson, 8) AS pearson, round(spearman, 8) AS spearman, round(abs(spearman - pearson), 8) AS gap FROM (" + GAP4 + ") ORDER BY abs(spearman - pearson) DESC LIMIT 10")
 def t14(spark, sf):
     rows = views.joined(spark, sf).dropna(subset=FEATURES)
-    out = stats.disagreeing_pairs(stats.pearson_long(rows, FEATURES[:4]), stats.spearman_long(rows, FEATURES[:4]), 3)
+    out = stats.disagreeing_pairs(stats.pearson_long(rows, FEATURES), stats.spearman_long(rows, FEATURES), 10)
     return rounded(out, 8, "pearson", "spearman", "gap")
 
 

@@ -79,3 +79,18 @@ def with_null_columns(df: DataFrame, columns: Iterable[str], dtype: str = "doubl
 
 def capped_coverage(present_days: Column, expected_days: Column) -> Column:
     return F.least(present_days * 100.0 / expected_days, F.lit(100.0))
+
+
+#: Parts that the rows of a group are dealt to when they meet the group's statistics.
+SALTS = 32
+
+
+def join_groups(rows: DataFrame, stats: DataFrame, keys: Sequence[str], *salt: str, how: str = "inner") -> DataFrame:
+    """Joins rows with one row of statistics per group, no group in one task.
+
+    The statistics are repeated for each salt and the rows of a group dealt out by a hash of the columns
+    ``salt`` (all, if none is named). Spark still broadcasts statistics that turn out small.
+    """
+    part = F.pmod(F.xxhash64(*(salt or rows.columns)), F.lit(SALTS)).alias("_salt")
+    spread = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return rows.select("*", part).join(spread, [*keys, "_salt"], how).drop("_salt")

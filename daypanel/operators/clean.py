@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from daypanel.constants import CAPS, FILL_STRATEGIES, OUTLIER_COLUMNS, STAGING_DECIMALS, STAGING_INTEGERS
-from daypanel.functions.columns import count_where, numeric_columns, present, small_table
+from daypanel.functions.columns import count_where, join_groups, numeric_columns, present, small_table
 from daypanel.operators.order_stats import exact_quantiles
 
 DIRECTIONAL = {"ffill", "bfill"}
@@ -188,7 +188,7 @@ def flag_outliers(
             stats = df.groupBy(entity).agg(
                 *[e.alias(f"_{c}_{i}") for c in columns for i, e in zip("ab", bounds[c])]
             )
-        joined = df.join(stats, entity, "left")
+        joined = join_groups(df, stats, [entity], how="left")
     else:
         whole = W.partitionBy(entity)
         joined = df.withColumns(

@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from daypanel.constants import DEFAULT_THRESHOLD
-from daypanel.functions.columns import count_where
+from daypanel.functions.columns import count_where, join_groups
 from daypanel.operators.order_stats import exact_quantiles, prefix_sums
 
 # 80 decision thresholds, 0.01 to 0.80.
@@ -109,7 +109,7 @@ def roc_curve(scored: DataFrame, label: str = "label", p: str = "probability", b
     sums = prefix_sums(_score_cells(scored, label, p, by), by, p, measures=("pos", "neg"))
     if by:
         totals = sums.groupBy(*by).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_q"))
-        sums = sums.join(totals, by)
+        sums = join_groups(sums, totals, by, p)
     else:
         total = sums.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("q"))).scalar()
         sums = sums.withColumns({"_p": total["p"], "_q": total["q"]})
@@ -126,7 +126,7 @@ def calibration_curve(scored: DataFrame, label: str = "label", p: str = "probabi
     inner = {f"_q{i}": i / bins for i in range(1, bins)}
     edges = exact_quantiles(scored, by, p, inner)
     if by:
-        joined = scored.join(edges, by)
+        joined = join_groups(scored, edges, by)
     else:
         edge_row = edges.agg(F.struct(*[F.max(c).alias(c) for c in inner])).scalar()
         joined = scored.withColumns({c: edge_row[c] for c in inner})
@@ -252,7 +252,7 @@ def residual_bins(scored: DataFrame, against: str, bins: int = 20, label: str =
     rows = scored.where(F.col(against).isNotNull()).withColumn("_r", F.col(label) - F.col(p))
     if by:
         spans = rows.groupBy(*by).agg(F.min(against).alias("_lo"), F.max(against).alias("_hi"))
-        rows = rows.join(spans, by)
+        rows = join_groups(rows, spans, by)
     else:
         box = rows.agg(F.struct(F.min(against).alias("a"), F.max(against).alias("b"))).scalar()
         rows = rows.withColumns({"_lo": box["a"], "_hi": box["b"]})

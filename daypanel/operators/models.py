@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -20,6 +20,8 @@ from daypanel.constants import LEAKING_COLUMNS, WAVE_HISTORY_COLUMNS
 from daypanel.functions.columns import present, small_table
 from daypanel.functions.hazard import combined_probability, sea_risk
 from daypanel.operators import evaluate
+from daypanel.operators.order_stats import exact_quantiles
+from daypanel.operators.rollup import to_long
 from daypanel.operators.timeseries import climatology, climatology_lookup, global_rate
 
 TARGET = "target_risk_next_day"
@@ -85,6 +87,25 @@ def split_sizes(train: DataFrame, test: DataFrame, label: str = TARGET, entity:
     return parts.groupBy("part", entity).agg(F.count(F.lit(1)).alias("n"), F.avg(F.col(label).cast("double")).alias("positive_rate"))
 
 
+#: Most values (rows times columns) whose medians one aggregate takes; beyond it they are ranked over many tasks. Both are exact.
+VALUES_AT_ONCE = 5_000_000
+#: Training rows of a task: iterative fits on few rows run as few tasks.
+ROWS_PER_TASK = 50_000
+
+
+def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
+    """The exact median of each column that has a value; one number per column reaches the driver."""
+    if not columns:
+        return {}
+    if df.count() * len(columns) <= VALUES_AT_ONCE:
+        value = {c: F.col(c).cast("double") for c in columns}
+        row = df.agg(*[F.median(F.when(~F.isnan(v), v)).alias(c) for c, v in value.items()]).first()
+        return {c: row[c] for c in columns if row[c] is not None}
+    long = to_long(df, [], columns).select("variable", F.col("value").cast("double").alias("value"))
+    rows = exact_quantiles(long.where("not isnan(value)"), ["variable"], "value", {"median": 0.5}).collect()
+    return {r["variable"]: float(r["median"]) for r in rows}
+
+
 def preprocess(df: DataFrame, features: Sequence[str], categorical: Sequence[str], scale: bool = True) -> list:
     """Median imputation, optional standardising, most frequent category and one-hot columns.
 
@@ -92,16 +113,16 @@ def preprocess(df: DataFrame, features: Sequence[str], categorical: Sequence[str
     encoder with categories that training has not seen, so both are all zeros.
     """
     numeric = [c for c in features if c not in categorical]
+    medians = exact_medians(df, numeric)
     modes = df.agg(*[F.mode(c, True).alias(c) for c in categorical]).first() if categorical else {}
     quoted = {c: str(modes[c]).replace("'", "''") for c in categorical}
     cast = ", ".join(
-        [f"CAST(`{c}` AS DOUBLE) AS `_n_{c}`" for c in numeric]
+        [f"coalesce(CAST(`{c}` AS DOUBLE), {medians.get(c, 0.0)!r}D) AS `_i_{c}`" for c in numeric]
         + [f"coalesce(CAST(`{c}` AS STRING), '{quoted[c]}') AS `_c_{c}`" for c in categorical]
     )
     prepare = SQLTransformer(statement=f"SELECT *, {cast} FROM __THIS__")
     stages = [
         prepare,
-        Imputer(strategy="median", inputCols=[f"_n_{c}" for c in numeric], outputCols=[f"_i_{c}" for c in numeric]),
         VectorAssembler(inputCols=[f"_i_{c}" for c in numeric], outputCol="_numeric", handleInvalid="keep"),
     ]
     if scale:
@@ -156,7 +177,7 @@ CANDIDATES = [
 DEFAULT_OPTIONS = {
     "logistic": {"maxIter": 2000, "C": 1.0},
     "forest": {"numTrees": 350, "minInstancesPerNode": 4, "featureSubsetStrategy": "sqrt", "maxDepth": 30, "seed": 42},
-    "boosted": {"maxIter": 250, "maxDepth": 3, "stepSize": 0.05, "subsamplingRate": 0.85, "seed": 42},
+    "boosted": {"maxIter": 250, "maxDepth": 3, "stepSize": 0.05, "subsamplingRate": 0.85, "featureSubsetStrategy": "0.85", "seed": 42},
 }
 
 
@@ -186,16 +207,19 @@ def kept(df: DataFrame):
 
 def fit(df: DataFrame, family: str, features: Sequence[str], scale: bool, label: str = TARGET, **options) -> PipelineModel:
     categorical = [c for c in ("city", "season") if c in features]
-    with kept(df.select(*features, label)) as rows:
+    with kept(df.select(*features, label)) as held:
+        n = held.count()
+        rows = held.coalesce(max(1, -(-n // ROWS_PER_TASK)))
         stages = preprocess(rows, features, categorical, scale)
-        stages.append(estimator(family, rows.count(), label, **options))
+        stages.append(estimator(family, n, label, **options))
         return Pipeline(stages=stages).fit(balanced_weights(rows, label))
 
 
-def score(model: PipelineModel, df: DataFrame, output: str = "probability") -> DataFrame:
+def score(model: PipelineModel, df: DataFrame, output: str = "probability", decision: bool = False) -> DataFrame:
+    """Adds the probability of label 1, or with ``decision`` the value before the logistic curve."""
     keep = list(df.columns)
     scored = model.transform(df.withColumn("_weight", F.lit(1.0)))
-    return scored.select(*keep, vector_to_array("probability")[1].alias(output))
+    return scored.select(*keep, vector_to_array("rawPrediction" if decision else "probability")[1].alias(output))
 
 
 @dataclass
@@ -203,13 +227,14 @@ class CalibratedModel:
     """Mean of per-fold models, each with its own sigmoid on its held-out scores."""
 
     folds: list[tuple[PipelineModel, float, float]]
+    decision: bool = False
 
     def score(self, df: DataFrame, output: str = "probability") -> DataFrame:
         keep = list(df.columns)
         rows = df
         parts = []
         for i, (model, slope, intercept) in enumerate(self.folds):
-            rows = score(model, rows, f"_p{i}")
+            rows = score(model, rows, f"_p{i}", self.decision)
             parts.append(1.0 / (1.0 + F.exp(-(F.col(f"_p{i}") * slope + intercept))))
         return rows.select(*keep, (sum(parts[1:], parts[0]) / len(parts)).alias(output))
 
@@ -218,18 +243,28 @@ def fit_calibrated(
     df: DataFrame, family: str, features: Sequence[str], scale: bool, label: str = TARGET, folds: int = 3,
     keys: Sequence[str] = ("city", "date"), **options,
 ) -> CalibratedModel:
-    """Fits on all but one fold, then a one-variable logistic curve on the scores of that fold."""
+    """Fits on all but one fold, then a sigmoid on the scores of that fold.
+
+    The sigmoid sees the decision value of a linear model and the probability of trees. Its targets are smoothed to
+    (n1 + 1) / (n1 + 2) and 1 / (n0 + 2): every row enters once with each label, weighted by its target.
+    Folds are drawn by a hash of the key and so hold about the same share of both labels.
+    """
+    decision = family == "logistic"
     fold = F.pmod(F.xxhash64(F.lit(7), *keys), F.lit(folds)).alias("_fold")
     parts = []
     with kept(df.select(*features, label, fold)) as folded:
         for k in range(folds):
             model = fit(folded.where(F.col("_fold") != k), family, features, scale, label, **options)
-            held_out = score(model, folded.where(F.col("_fold") == k), "_score").select("_score", label)
+            held_out = score(model, folded.where(F.col("_fold") == k), "_score", decision).select("_score", label)
+            size = held_out.agg(F.struct(F.sum(F.col(label).cast("double")).alias("p"), F.count(label).cast("double").alias("n"))).scalar()
+            target = F.when(F.col(label) == 1, (size["p"] + 1) / (size["p"] + 2)).otherwise(1 / (size["n"] - size["p"] + 2))
+            both = F.explode(F.array(F.struct(F.lit(1.0).alias("y"), target.alias("w")), F.struct(F.lit(0.0).alias("y"), (1 - target).alias("w"))))
+            soft = held_out.select("_score", both.alias("_t")).select("_score", "_t.y", "_t.w")
             vector = VectorAssembler(inputCols=["_score"], outputCol="_v")
-            curve = LogisticRegression(featuresCol="_v", labelCol=label, maxIter=200, probabilityCol="_q", rawPredictionCol="_w")
-            sigmoid = curve.fit(vector.transform(held_out))
+            curve = LogisticRegression(featuresCol="_v", labelCol="y", weightCol="w", maxIter=200, tol=1e-9, probabilityCol="_q", rawPredictionCol="_w")
+            sigmoid = curve.fit(vector.transform(soft))
             parts.append((model, float(sigmoid.coefficients[0]), float(sigmoid.intercept)))
-    return CalibratedModel(parts)
+    return CalibratedModel(parts, decision)
 
 
 def fit_candidate(df: DataFrame, candidate: Candidate, features: Sequence[str], label: str = TARGET, **options):
@@ -288,12 +323,12 @@ class Selection:
 
 def train_and_select(
     daily: DataFrame, features: Sequence[str] | None = None, candidates: Sequence[Candidate] = CANDIDATES,
-    preferred: str | None = None, year: int = 2024, label: str = TARGET, options: dict[str, dict] | None = None,
+    year: int = 2024, label: str = TARGET, options: dict[str, dict] | None = None,
 ) -> Selection:
     """Evaluates the candidates on the hold-out, picks the winner and refits it on all rows.
 
-    ``preferred`` names a family that a stored report has already selected; a candidate that
-    fails to train is skipped. Training rows are cached for the several passes of the fits.
+    A candidate that fails to train is skipped and stands in the report with its error. Training rows are cached for the
+    several passes of the fits.
     """
     from daypanel.operators.features import next_day_target
 
@@ -306,7 +341,7 @@ def train_and_select(
         train, test, note = split(rows, year, label)
         baseline = baseline_scores(train, test, label)
         collected = report_row(baseline, "Climatology", label, "baseline rate by entity and day of year").collect()
-        usable = []
+        usable, failed = [], []
         for candidate in candidates:
             extra = (options or {}).get(candidate.family, {})
             try:
@@ -317,18 +352,63 @@ def train_and_select(
                 usable.append(candidate)
             except Exception as error:  # a candidate may fail on degenerate data; the others go on
                 LOG.warning("candidate %s skipped: %s", candidate.name, error)
+                failed.append((candidate.name, f"failed: {type(error).__name__}: {error}"[:2000]))
         if not usable:
             raise RuntimeError("all candidates failed")
         # one row per candidate
         table = daily.sparkSession.createDataFrame(collected, REPORT_SCHEMA)
         report = evaluate.select_winner(evaluate.report_rows([table]))
         named = {r["model"]: r for r in report.collect()}
-        winner = preferred if preferred in {c.name for c in usable} else next(n for n, r in named.items() if r["selected"])
+        winner = next(n for n, r in named.items() if r["selected"])
         candidate = next(c for c in usable if c.name == winner)
         final = fit_candidate(rows, candidate, chosen, label, **(options or {}).get(candidate.family, {}))
+    if failed:
+        rows_failed = small_table(daily.sparkSession, failed, "model string, notes string").withColumns({"eligible": F.lit(False), "selected": F.lit(False)})
+        report = report.unionByName(rows_failed, allowMissingColumns=True)
     return Selection(final, winner, float(named[winner]["threshold"]), report, chosen, note)
 
 
+def selected_row(report: DataFrame) -> tuple[str, float]:
+    """Name and threshold that a stored report selects; without a selected row, the row that the guardrails and scores pick."""
+    if "selected" not in report.columns or report.where("selected").isEmpty():
+        rest = [c for c in ("eligible", "production_score", "selected") if c in report.columns]
+        report = evaluate.select_winner(report.drop(*rest).where("f1 is not null"))
+    row = report.where("selected").select("model", "threshold").first()
+    if row is None:
+        raise ValueError("the report has no model to select")
+    return row["model"], float(row["threshold"])
+
+
+def train_preferred(
+    daily: DataFrame, report: DataFrame, preferred: str | None = None, features: Sequence[str] | None = None, candidates: Sequence[Candidate] = CANDIDATES,
+    label: str = TARGET, options: dict[str, dict] | None = None,
+) -> Selection:
+    """Retrains one candidate on all rows, without a contest or a hold-out.
+
+    Name and threshold come from the stored report; ``preferred`` names another row of it. Names match whatever their case and blanks.
+    An unknown name raises, and so does a fit that fails.
+    """
+    from daypanel.operators.features import next_day_target
+
+    plain = lambda name: "".join(name.lower().split())
+    if preferred is None:
+        name, threshold = selected_row(report)
+    else:
+        same = [r for r in report.select("model", "threshold").collect() if plain(r["model"]) == plain(preferred)]
+        if not same:
+            raise ValueError(f"the report has no model {preferred!r}")
+        name, threshold = same[0]["model"], float(same[0]["threshold"])
+    candidate = next((c for c in candidates if plain(c.name) == plain(name)), None)
+    if candidate is None:
+        raise ValueError(f"no candidate is named {name!r}")
+    rows = daily if label in daily.columns else next_day_target(daily, output=label)
+    chosen = feature_columns(rows.columns, features)
+    if not chosen:
+        raise ValueError("no usable feature columns")
+    model = fit_candidate(rows, candidate, chosen, label, **(options or {}).get(candidate.family, {}))
+    return Selection(model, candidate.name, threshold, report, chosen, "threshold of the stored report")
+
+
 def metadata(selection: Selection, daily: DataFrame, as_of: dt.datetime, label: str = TARGET) -> DataFrame:
     """One row that describes the refitted model."""
     return daily.agg(F.count(F.lit(1)).alias("trained_rows"), F.avg(F.col(label).cast("double")).alias("positive_rate")).withColumns(
@@ -370,7 +450,7 @@ def prediction_intervals(
         for i in range(refits):
             u = F.pmod(F.xxhash64(F.lit(seed), F.lit(i), *keys), F.lit(1 << 30)) / float(1 << 30)
             cumulative, mass, weight = 0.0, 0.36787944117144233, F.lit(0.0)
-            for k in range(8):
+            for k in range(13):  # beyond 12 the tail is below the resolution of the hash
                 cumulative += mass
                 mass /= k + 1
                 weight = weight + (u >= cumulative).cast("double")

@@ -1,8 +1,9 @@
 """Exact order statistics that never sort a large group in one task.
 
 Values are first counted, which collapses repeated values before the shuffle. Each group is
-then cut into equal-width cells, every cell again by its own range, so only the distinct
-values of one small cell are ever ordered together. Cell totals are prefix-summed in windows
+then cut into cells of equal width, by magnitude first and every cell again by its own range, so
+only the distinct values of one small cell are ever ordered together: values over many decades
+spread over the first cut, values close together over the second. Cell totals are prefix-summed in windows
 of at most ``bins`` rows. Ranks, percentiles, AUC and ROC points all follow from the sums.
 """
 
@@ -15,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from daypanel.functions.columns import join_groups
+
 
 def value_counts(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """Distinct values of each group with their number of rows ``n``."""
@@ -40,11 +43,13 @@ def prefix_sums(
         low, high, cell = f"_lo{level}", f"_hi{level}", f"_cell{level}"
         bounds = [F.min(value).alias(low), F.max(value).alias(high)]
         if keys:
-            placed = placed.join(placed.groupBy(*keys).agg(*bounds), keys)
+            spans = placed.groupBy(*keys).agg(*bounds)
+            placed = join_groups(placed, spans, keys, value) if level == 0 else placed.join(spans, keys)
         else:
             box = cells.agg(F.struct(*bounds)).scalar()
             placed = placed.withColumns({low: box[low], high: box[high]})
-        position = F.try_divide(F.col(value) - F.col(low), F.col(high) - F.col(low)) * bins
+        at, start, end = (_magnitude(F.col(c)) if level == 0 else F.col(c).cast("double") for c in (value, low, high))
+        position = F.try_divide(at - start, end - start) * bins
         index = F.least(F.floor(F.coalesce(position, F.lit(0.0))), F.lit(bins - 1)).cast("int")
         placed = placed.withColumn(cell, index).drop(low, high)
         keys.append(cell)
@@ -74,6 +79,11 @@ def prefix_sums(
     return summed.select(*cells.columns, *[f"{m}_before" for m in measures])
 
 
+def _magnitude(v: Column) -> Column:
+    """Grows with the value as its logarithm does, on both sides of 0; never falls."""
+    return F.signum(v.cast("double")) * F.log1p(F.abs(v.cast("double")) * 1e12)
+
+
 def mid_ranks(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """Distinct values with their count and average rank (ties share the mean of their ranks)."""
     sums = prefix_sums(value_counts(df, group, value), group, value)
@@ -90,7 +100,7 @@ def exact_quantiles(
     sums = prefix_sums(value_counts(df, group, value), group, value)
     if group:
         totals = sums.groupBy(*group).agg(F.sum("n").alias("_total"))
-        with_total = sums.join(totals, group)
+        with_total = join_groups(sums, totals, group, value)
     else:
         with_total = sums.withColumn("_total", sums.agg(F.sum("n")).scalar())
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from daypanel.constants import HIGH_RISK_DAYS, RISK_RULES, Rule
 from daypanel.functions.calendar import days_in_month, week_end
-from daypanel.functions.columns import capped_coverage, count_where, numeric_columns, present, small_table, stable_round
+from daypanel.functions.columns import capped_coverage, count_where, join_groups, numeric_columns, present, small_table, stable_round
 from daypanel.functions.rules import any_breach
 from daypanel.operators.order_stats import exact_quantiles
 
@@ -279,7 +279,7 @@ def histogram(df: DataFrame, column: str, bins: int = 60, group: Sequence[str] =
     )
     # equal values collapse before they meet the bounds
     counted = known.groupBy(*group, column).agg(F.count(F.lit(1)).alias("_c"))
-    placed = counted.join(spans, group)
+    placed = join_groups(counted, spans, group, column)
     width = (F.col("_hi") - F.col("_lo")) / bins
     position = F.coalesce(F.try_divide((F.col(column) - F.col("_lo")) * bins, F.col("_hi") - F.col("_lo")), F.lit(0.0))
     index = F.least(F.floor(position), F.lit(bins - 1)).cast("int")
@@ -306,17 +306,19 @@ def box_table(df: DataFrame, column: str, group: Sequence[str], large_groups: bo
         quartiles = df.where(F.col(column).isNotNull()).groupBy(*group).agg(
             *[F.percentile(column, F.lit(p)).alias(n) for n, p in (("q25", 0.25), ("median", 0.5), ("q75", 0.75))]
         )
-    joined = df.where(F.col(column).isNotNull()).select(*group, column).join(quartiles, group)
+    # equal values collapse before they meet the quartiles
+    counted = df.where(F.col(column).isNotNull()).groupBy(*group, column).agg(F.count(F.lit(1)).alias("_c"))
+    joined = join_groups(counted, quartiles, group, column)
     reach = (F.col("q75") - F.col("q25")) * 1.5
     inside = (F.col(column) >= F.col("q25") - reach) & (F.col(column) <= F.col("q75") + reach)
     return joined.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.sum("_c").alias("n"),
         F.max("q25").alias("q25"),
         F.max("median").alias("median"),
         F.max("q75").alias("q75"),
         F.min(F.when(inside, F.col(column))).alias("whisker_low"),
         F.max(F.when(inside, F.col(column))).alias("whisker_high"),
-        count_where(~inside).alias("n_outliers"),
+        F.sum(F.when(inside, 0).otherwise(F.col("_c"))).alias("n_outliers"),
     )
 
 

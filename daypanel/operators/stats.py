@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from daypanel.functions.columns import small_table
+from daypanel.functions.columns import join_groups, small_table
 from daypanel.functions.tails import chi2_p, f_p, normal_p, t_p
-from daypanel.operators.order_stats import exact_quantiles, mid_ranks
+from daypanel.operators.order_stats import exact_quantiles, mid_ranks, prefix_sums
 from daypanel.operators.rollup import to_long
 
 
@@ -55,14 +55,13 @@ def mann_whitney(df: DataFrame, value: str, first: Column, second: Column, by: S
     by = list(by)
     sample = F.when(first, 1).when(second, 2)
     rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value), sample.alias("_s")).where(F.col("_s").isNotNull())
-    ranks = mid_ranks(rows, by, value)
-    in_first = rows.where(F.col("_s") == 1).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n1"))
-    joined = ranks.join(in_first, [*by, value], "left")
-    n = F.col("n").cast("double")
-    sums = joined.groupBy(*by).agg(
-        F.coalesce(F.sum("_n1"), F.lit(0)).alias("n1"),
+    counted = rows.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("_s") == 1, 1)).alias("_n1"))
+    ranks = prefix_sums(counted, by, value)
+    n, mid_rank = F.col("n").cast("double"), F.col("n_before") + (F.col("n") + 1) / 2.0
+    sums = ranks.groupBy(*by).agg(
+        F.sum("_n1").alias("n1"),
         F.sum("n").alias("_all"),
-        F.sum(F.coalesce(F.col("_n1"), F.lit(0)) * F.col("mid_rank")).alias("_r1"),
+        F.sum(F.col("_n1") * mid_rank).alias("_r1"),
         F.sum(n * n * n - n).alias("_ties"),
     )
     n1, total = F.col("n1").cast("double"), F.col("_all").cast("double")
@@ -74,7 +73,7 @@ def mann_whitney(df: DataFrame, value: str, first: Column, second: Column, by: S
     return out.withColumn("p_value", F.least(normal_p("z"), F.lit(1.0))) if p_value else out
 
 
-def levene(df: DataFrame, value: str, group: Column, by: Sequence[str] = (), large_groups: bool = False, p_value: bool = True) -> DataFrame:
+def levene(df: DataFrame, value: str, group: Column, by: Sequence[str] = (), large_groups: bool = True, p_value: bool = True) -> DataFrame:
     """Equality of variances from absolute deviations about the group medians."""
     by = list(by)
     rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value), group.alias("_g")).where(F.col("_g").isNotNull())
@@ -83,7 +82,7 @@ def levene(df: DataFrame, value: str, group: Column, by: Sequence[str] = (), lar
         exact_quantiles(rows, keys, value, {"_med": 0.5}) if large_groups
         else rows.groupBy(*keys).agg(F.median(value).alias("_med"))
     )
-    deviations = rows.join(medians, keys).select(*keys, F.abs(F.col(value) - F.col("_med")).alias("_z"))
+    deviations = join_groups(rows, medians, keys).select(*keys, F.abs(F.col(value) - F.col("_med")).alias("_z"))
     per_group = deviations.groupBy(*keys).agg(
         F.count("_z").alias("_n"), F.avg("_z").alias("_m"), F.var_pop("_z").alias("_v")
     )
@@ -127,11 +126,13 @@ def chi_square(df: DataFrame, row: str, column: str, p_value: bool = True) -> Da
     """Independence of two categorical columns; Yates correction when the table is 2 x 2."""
     known = df.where(F.col(row).isNotNull() & F.col(column).isNotNull())
     cells = known.groupBy(row, column).agg(F.count(F.lit(1)).alias("o"))
-    rows = cells.groupBy(row).agg(F.sum("o").alias("_r"))
-    columns = cells.groupBy(column).agg(F.sum("o").alias("_c"))
-    size = known.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_distinct(row).alias("r"), F.count_distinct(column).alias("c"))).scalar()
     o = F.col("o").cast("double")
-    joined = cells.join(rows, row).join(columns, column).withColumns({"_n": size["n"], "_rows": size["r"], "_cols": size["c"]})
+    # windows over the categories: few rows, counted once
+    whole = W.partitionBy()
+    joined = cells.withColumns({
+        "_r": F.sum("o").over(W.partitionBy(row)), "_c": F.sum("o").over(W.partitionBy(column)), "_n": F.sum("o").over(whole),
+        "_rows": F.size(F.collect_set(row).over(whole)).cast("long"), "_cols": F.size(F.collect_set(column).over(whole)).cast("long"),
+    })
     e = F.col("_r") * F.col("_c") / F.col("_n").cast("double")
     square = (F.col("_rows") == 2) & (F.col("_cols") == 2)
     gap = F.abs(o - e)
@@ -215,7 +216,7 @@ def with_ranks(
     complete = df.dropna(subset=list(features))
     long = to_long(complete, [*by, *keys], features)
     ranks = mid_ranks(long, [*by, "variable"], "value")
-    ranked = long.join(ranks, [*by, "variable", "value"])
+    ranked = long.join(ranks, [*by, "variable", "value"])  # keyed by value: a group is dealt out
     return ranked.groupBy(*by, *keys).pivot("variable", list(features)).agg(F.max("mid_rank")).drop(*keys)
 
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypanel.constants import DEFAULT_THRESHOLD, HISTORY_START
+from daypanel.constants import HISTORY_START
 from daypanel.operators import models, quality
 from daypanel.operators.clean import caps_table, upsert
 from daypanel.operators.forecast import daily_forecast, forecast_features, offshore_climatology, offshore_rows, summarise_window
@@ -66,6 +66,10 @@ def run_job(
 ) -> RunResult:
     """Runs the stages on the given new raw rows and appends a ledger row whatever happens.
 
+    An incremental run starts from the layers of the last run that the ledger calls a success, so a refused or broken run
+    is never a base. With ``train`` the candidates are trained whether or not there is a forecast; predictions are published
+    after their gate.
+
     Each layer is written before its gate reads it, so a gate never recomputes the stage and
     later stages start from stored data.
     """
@@ -92,8 +96,8 @@ def run_job(
             raise RuntimeError(f"gate of stage {stage} stopped the run")
 
     try:
-        previous = previous_layer(spark, f"{root}/raw_weather") if mode == "incremental" else None
-        previous_vis = previous_layer(spark, f"{root}/raw_visibility") if mode == "incremental" else None
+        base = last_success(spark, f"{root}/runs") if mode == "incremental" else None
+        previous, previous_vis = (spark.read.parquet(f"{root}/{layer}/run={base}") if base else None for layer in ("raw_weather", "raw_visibility"))
         raw = store(weather if previous is None else upsert(previous, weather, ["city", "date"]), "raw_weather")
         vis = store(visibility if previous_vis is None else upsert(previous_vis, visibility, ["city", "date"]), "raw_visibility")
         counts["rows_ingested"] = weather.count()
@@ -109,22 +113,21 @@ def run_job(
         gate("analytics", daily)
         if train:
             rates = store(climatology(daily), "climatology")
-            selection = models.train_and_select(daily, features, candidates, options=options) if forecast is not None else None
+            selection = models.train_and_select(daily, features, candidates, options=options)
             if predict:
                 scored = None
-                if forecast is not None and selection is not None:
+                if forecast is not None:
                     future = forecast_features(staging, forecast, fetch, selection.features, lookback_days)
                     scored = models.score_with(selection.model, future, "model_probability")
                 entities = daily.select("city").distinct()
                 live = offshore_rows(marine) if marine is not None else None
-                threshold = selection.threshold if selection is not None else DEFAULT_THRESHOLD
                 predictions = store(
-                    daily_forecast(entities, day, scored, rates, global_rate(daily), live, offshore_climatology(daily), threshold=threshold),
+                    daily_forecast(entities, day, scored, rates, global_rate(daily), live, offshore_climatology(daily), threshold=selection.threshold),
                     "predictions",
                 )
                 summary = summarise_window(predictions)
-                ledgers.save_predictions(predictions, summary, f"{root}/published", as_of)
                 gate("predict", predictions, entities=entities)
+                ledgers.save_predictions(predictions, summary, f"{root}/published", as_of)
                 window = f"{day}_{day + dt.timedelta(days=30)}"
     except Exception as problem:
         status, error = "FAILED", f"{type(problem).__name__}: {problem}"
@@ -139,14 +142,8 @@ def run_job(
     return RunResult(status, row, gates, predictions, summary)
 
 
-def previous_layer(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored layer of the latest run, or nothing on the first run."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        stored = spark.read.option("basePath", path).parquet(path)
-    except AnalysisException:
-        return None
-    stored = stored.withColumn("run", F.col("run").cast("string"))
-    last = stored.agg(F.max("run")).first()[0]
-    return stored.where(F.col("run") == last).drop("run") if last is not None else None
+def last_success(spark: SparkSession, path: str) -> str | None:
+    """The id of the latest successful run, or nothing before the first."""
+    rows = ledgers.runs(spark, path).where("status = 'SUCCESS'").orderBy(F.col("end_time").desc(), F.col("run_id").desc())
+    last = rows.select("run_id").first()
+    return last["run_id"] if last else None

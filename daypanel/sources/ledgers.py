@@ -74,10 +74,11 @@ def record_flags(df: DataFrame, path: str, flagged_at: dt.datetime) -> None:
     flag_rows(df, flagged_at).write.mode("append").parquet(path)
 
 
-def flag_summary(flags: DataFrame, n: int = 10) -> DataFrame:
-    """The most frequent (column, reason) pairs."""
+def flag_summary(flags: DataFrame, n: int | None = None) -> DataFrame:
+    """Rows per (column, reason), most frequent first; all of them unless ``n`` is given."""
     counted = flags.groupBy("column_name", "reason").agg(F.count(F.lit(1)).alias("n"))
-    return counted.orderBy(F.col("n").desc(), "column_name", "reason").limit(n)
+    ordered = counted.orderBy(F.col("n").desc(), "column_name", "reason")
+    return ordered if n is None else ordered.limit(n)
 
 
 def save_predictions(daily: DataFrame, summary: DataFrame, directory: str, generated_at: dt.datetime) -> dict[str, str]:

@@ -142,7 +142,8 @@ def test_gated_job(spark, sf, tmp_path):
     weather, vis = views.weather(spark, sf), views.visibility(spark, sf)
     end = weather.agg(F.max("date")).first()[0]
     as_of = dt.datetime.combine(end, dt.time()) + dt.timedelta(days=1)
-    common = dict(caps=views.caps(spark), fetch=views.fetch(spark))
+    plain = [c for c in models.CANDIDATES if c.name == "LogisticRegression"]
+    common = dict(caps=views.caps(spark), fetch=views.fetch(spark), candidates=plain, options={"logistic": {"maxIter": 15}}, features=["city", "hdd", "temp_range_c"])
     first = jobs.run_job(spark, str(tmp_path), weather, vis, as_of, mode="full", run_id="r1", **common)
     assert first.status == "SUCCESS", first.ledger.first()["errors"]
     tail = weather.where(F.col("date") > F.lit(end - dt.timedelta(days=30)))
@@ -151,6 +152,35 @@ def test_gated_job(spark, sf, tmp_path):
     assert second.predictions.count() == 5 * 31
     assert spark.read.parquet(f"{tmp_path}/raw_weather/run=r2").count() == weather.count()
     assert [r["status"] for r in ledgers.latest_runs(spark, f"{tmp_path}/runs").collect()] == ["SUCCESS", "SUCCESS"]
+    # a refused run leaves layers behind, but the next one starts from the last success
+    refused = jobs.run_job(spark, str(tmp_path), weather.limit(0), vis.limit(0), as_of + dt.timedelta(days=90), run_id="z9", strict_freshness=True, **common)
+    assert refused.status == "FAILED" and jobs.last_success(spark, f"{tmp_path}/runs") == "r2"
+
+
+def test_gated_job_with_a_forecast(spark, sf, tmp_path):
+    """Trains, scores the forecast rows, predicts and passes the gate."""
+    weather, vis = views.weather(spark, sf), views.visibility(spark, sf)
+    end = weather.agg(F.max("date")).first()[0]
+    as_of = dt.datetime.combine(end, dt.time()) + dt.timedelta(days=1)
+    past = weather.where(F.col("date") > F.lit(end - dt.timedelta(days=400))).where(F.col("date") <= F.lit(end - dt.timedelta(days=390)))
+    future = past.withColumn("date", F.date_add("date", 391))
+    plain = [c for c in models.CANDIDATES if c.name == "LogisticRegression"]
+    out = jobs.run_job(
+        spark, str(tmp_path), weather, vis, as_of, mode="full", run_id="f1", forecast=future, caps=views.caps(spark), fetch=views.fetch(spark), candidates=plain,
+        options={"logistic": {"maxIter": 15}}, features=["city", "hdd", "temp_range_c"],
+    )
+    assert out.status == "SUCCESS", out.ledger.first()["errors"]
+    assert {r["source"] for r in out.predictions.select("source").distinct().collect()} == {"short_horizon", "climatology"}
+
+
+def test_preferred_model_without_a_contest(spark, sf):
+    rows = views.daily(spark, sf)
+    report = small_table(spark, [("Climatology", 0.1, False), ("LogisticRegression", 0.31, True)], "model string, threshold double, selected boolean")
+    picked = models.train_preferred(rows, report, features=["city", "hdd", "temp_range_c"], options={"logistic": {"maxIter": 5}})
+    assert (picked.name, picked.threshold) == ("LogisticRegression", 0.31)
+    assert models.train_preferred(rows, report, "logistic regression", ["city", "hdd"], options={"logistic": {"maxIter": 5}}).name == "LogisticRegression"
+    with pytest.raises(ValueError):
+        models.train_preferred(rows, report, "NeuralNet", ["city", "hdd"])
 
 
 def test_gated_job_stops_on_empty_raw(spark, sf, tmp_path):
