@@ -152,9 +152,16 @@ def test_gated_job(spark, sf, tmp_path):
     assert second.predictions.count() == 5 * 31
     assert spark.read.parquet(f"{tmp_path}/raw_weather/run=r2").count() == weather.count()
     assert [r["status"] for r in ledgers.latest_runs(spark, f"{tmp_path}/runs").collect()] == ["SUCCESS", "SUCCESS"]
-    # a refused run leaves layers behind, but the next one starts from the last success
-    refused = jobs.run_job(spark, str(tmp_path), weather.limit(0), vis.limit(0), as_of + dt.timedelta(days=90), run_id="z9", strict_freshness=True, **common)
-    assert refused.status == "FAILED" and jobs.last_success(spark, f"{tmp_path}/runs") == "r2"
+
+
+def test_refused_run_is_no_base(spark, sf, tmp_path):
+    """A refused run leaves layers behind, but the next one starts from the last success."""
+    weather, vis = views.weather(spark, sf), views.visibility(spark, sf)
+    as_of = dt.datetime.combine(weather.agg(F.max("date")).first()[0], dt.time()) + dt.timedelta(days=1)
+    common = dict(caps=views.caps(spark), fetch=views.fetch(spark), train=False)
+    assert jobs.run_job(spark, str(tmp_path), weather, vis, as_of, mode="full", run_id="r1", **common).status == "SUCCESS"
+    refused = jobs.run_job(spark, str(tmp_path), weather.limit(0), vis.limit(0), as_of, mode="full", run_id="z9", **common)
+    assert refused.status == "FAILED" and jobs.last_success(spark, f"{tmp_path}/runs") == "r1"
 
 
 def test_gated_job_with_a_forecast(spark, sf, tmp_path):
