@@ -1,4 +1,4 @@
-"""Benchmark passages in training documents: rare n-gram seeds, then Smith-Waterman alignment."""
+"""Benchmark passages in training documents: n-gram seeds, then Smith-Waterman alignment."""
 
 from __future__ import annotations
 
@@ -16,11 +16,9 @@ from daypanel.llm.base import cut, gram_hashes
 SEED_WORDS = 3
 #: Items are compared in passages of at most so many words, and passages in blocks of about so many.
 PASSAGE_WORDS, BLOCK = 256, 4000
-#: Seeds of a passage: its rarest by document count, half of them and at least so many.
-LEAST_SEEDS = 12
 MATCH, MISMATCH, GAP = 2, -1, -1
-#: Most documents that are fetched by a broadcast of their ids; beyond it texts are shuffled.
-BROADCAST_ROWS = 200_000
+#: Equal words of a leak at least, or all of a shorter passage.
+LEAST_EQUAL = 8
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
@@ -58,23 +56,36 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int]:
 
 
 class Passages:
-    """A block of benchmark passages and their n-grams."""
+    """A block of benchmark passages and their n-grams; every n-gram is a seed of the passages that hold it."""
 
-    def __init__(self, rows: list):
+    def __init__(self, rows: list, share: float):
         self.items = [r.item_id for r in rows]
         self.words = [codes_of(r.text) for r in rows]
+        sizes = np.array([len(w) for w in self.words], dtype=np.int64)
+        self.share, self.need = share, np.maximum(np.ceil(share * sizes - 1e-9), np.minimum(LEAST_EQUAL, sizes))  # equal words that a leak has at least
         grams = [gram_hashes(w, min(SEED_WORDS, len(w))) if len(w) else w for w in self.words]
         self.grams = np.unique(np.concatenate([*grams, np.empty(0, np.uint64)]))
-        self.seeds = [np.unique(np.searchsorted(self.grams, g)) for g in grams]  # per passage, places in grams
+        held = [np.unique(np.searchsorted(self.grams, g)) for g in grams]  # per passage, places in grams
+        owner = np.repeat(np.arange(len(held)), np.array([len(h) for h in held], dtype=np.int64))
+        places = np.concatenate([*held, np.empty(0, np.int64)]).astype(np.int64)
+        self.owners = owner[np.argsort(places, kind="stable")]  # the passages of gram g: owners[first[g] : first[g + 1]]
+        self.first = np.concatenate(([0], np.cumsum(np.bincount(places, minlength=len(self.grams)))))
         self.sizes = sorted({min(SEED_WORDS, len(w)) for w in self.words if len(w)})
 
-    def rarest(self, times: np.ndarray) -> dict[int, list[int]]:
-        """Per seed the passages that it stands for; each passage keeps its rarest."""
-        out: dict[int, list[int]] = {}
-        for k, seeds in enumerate(self.seeds):
-            for g in seeds[np.argsort(times[seeds], kind="stable")][: max(LEAST_SEEDS, -(-len(seeds) // 2))].tolist():
-                out.setdefault(g, []).append(k)
-        return out
+    def seeded(self, codes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """The passages that share an n-gram with a document, and where it has them."""
+        what, where = self.find(codes)
+        if not len(what):
+            return
+        times = self.first[what + 1] - self.first[what]
+        at = np.repeat(where, times)
+        start = np.repeat(self.first[what] - (np.cumsum(times) - times), times)
+        passage = self.owners[start + np.arange(len(at))]
+        order = np.lexsort((at, passage))
+        passage, at = passage[order], at[order]
+        edges = np.flatnonzero(np.diff(passage)) + 1
+        for k, places in zip(passage[np.concatenate(([0], edges))].tolist(), np.split(at, edges)):
+            yield k, places
 
     def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The n-grams of this block in a document: places in ``grams``, and where."""
@@ -88,46 +99,34 @@ class Passages:
                 where.append(hit)
         return (np.concatenate(what), np.concatenate(where)) if what else (np.empty(0, np.int64),) * 2
 
-    def leaks(self, codes: np.ndarray, passage: int, places: np.ndarray, share: float) -> tuple | None:
-        """The best alignment of a passage near its seeds in a document, if it is a leak."""
+    def leaks(self, codes: np.ndarray, passage: int, places: np.ndarray) -> tuple | None:
+        """The best alignment of a passage near its seeds, given in order, in a document, if it is a leak."""
         words = self.words[passage]
         n, best = len(words), (0, 0, 0, 0)
         reach = n + max(8, n // 4)
-        places = np.sort(places)
         edges = np.flatnonzero(np.diff(places) > reach) + 1
         for group in np.split(places, edges):
             for lo in range(max(0, int(group[0]) - reach), int(group[-1]) + 1, 4 * reach):
                 # windows of at most six reaches, that overlap by two
                 hi = min(lo + 6 * reach, int(group[-1]) + reach + SEED_WORDS, len(codes))
+                if np.isin(words, codes[lo:hi]).sum() < self.need[passage]:
+                    continue  # too few words in common for a leak, in whatever order
                 score, equal, a, b = align(words, codes[lo:hi])
                 if score > best[0]:
                     best = (score, equal, lo + a, lo + b)
-        return best if best[0] >= share * MATCH * n and best[1] >= min(8, n) else None
+        return best if best[0] >= self.share * MATCH * n and best[1] >= min(LEAST_EQUAL, n) else None
 
 
-def _hits(block):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hits = [np.unique(block.value.find(codes_of(t))[0]).astype(np.int32) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(hits, pa.list_(pa.int32()))], ["doc_id", "key", "hits"])
-
-    return run
-
-
-def _leaks(block, rare, share: float):
+def _leaks(block):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "item", "score", "n_equal", "start", "stop"]
-        passages, seeds = block.value, rare.value
+        passages = block.value
         for batch in batches:
             out = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 codes = codes_of(text)
-                places: dict[int, list[int]] = {}
-                for g, at in zip(*(x.tolist() for x in passages.find(codes))):
-                    for k in seeds.get(g, ()):
-                        places.setdefault(k, []).append(at)
-                for k in sorted(places):
-                    if best := passages.leaks(codes, k, np.array(places[k]), share):
+                for k, places in passages.seeded(codes):
+                    if best := passages.leaks(codes, k, places):
                         out.append((doc_id, k, best[0] / (MATCH * len(passages.words[k])), best[1], best[2], best[3]))
             if out:
                 types = (pa.int64(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.int32())
@@ -149,9 +148,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.5) -> DataFram
     """Benchmark items found in documents: ``doc_id``, ``item_id``, ``score`` (share of the greatest), ``n_equal`` words, ``start`` and ``stop`` (words of the document).
 
     ``docs`` has ``doc_id`` and ``text``, ``benchmark`` ``item_id`` and ``text``. The benchmark is the query set and goes over all documents in
-    blocks of some thousand passages, each broadcast. One scan counts the documents of every word trigram
-    of the block; the rarest of a passage are its seeds. Documents with a seed are aligned with the passage around it (Smith-Waterman, words;
-    match 2, mismatch and gap -1), so edited and partly paraphrased copies count. A leak scores at least ``share`` of
+    blocks of some thousand passages, each broadcast, one scan a block. Every word trigram of a passage is a seed: a document that shares any
+    is aligned with the passage around it (Smith-Waterman, words; match 2, mismatch and gap -1), unless the words in common are too few for a leak,
+    so edited and partly paraphrased copies count while three words in a row are left. A leak scores at least ``share`` of
     the passage's greatest score and has eight equal words, or all of a shorter passage. Per document and item the best passage is
     returned.
 
@@ -159,25 +158,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.5) -> DataFram
     A null ``doc_id`` is kept.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("key")).where("text is not null")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
     passages = cut(passages_of(benchmark))
     blocks = math.ceil(passages.count() / BLOCK)
     out = None
     for k in range(blocks):
-        block = Passages(passages.where(F.pmod(F.xxhash64("item_id", "part"), F.lit(blocks)) == k).orderBy("item_id", "part", "text").collect())
-        shared = spark.sparkContext.broadcast(block)
-        hits = cut(docs.mapInArrow(_hits(shared), "doc_id long, key long, hits array<int>").where("size(hits) > 0"))
-        counts = hits.select(F.explode("hits").alias("g")).groupBy("g").count().collect()  # at most the n-grams of the block
-        times = np.zeros(len(block.grams), dtype=np.int64)
-        for r in counts:
-            times[r.g] = r["count"]
-        rare = block.rarest(times)
-        seeds = spark.createDataFrame([(int(g),) for g in rare], "g int")
-        near = cut(hits.select("doc_id", "key", F.explode("hits").alias("g")).join(F.broadcast(seeds), "g").select(F.col("doc_id").alias("id"), F.col("key").alias("text_key")).distinct())
-        if near.count() <= BROADCAST_ROWS:
-            near = F.broadcast(near)
-        texts = docs.join(near, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("text_key"))).select("doc_id", "text")
-        found = texts.mapInArrow(_leaks(shared, spark.sparkContext.broadcast(rare), share), "doc_id long, item int, score double, n_equal int, start int, stop int")
+        block = Passages(passages.where(F.pmod(F.xxhash64("item_id", "part"), F.lit(blocks)) == k).orderBy("item_id", "part", "text").collect(), share)
+        found = docs.mapInArrow(_leaks(spark.sparkContext.broadcast(block)), "doc_id long, item int, score double, n_equal int, start int, stop int")
         items = spark.createDataFrame(list(enumerate(block.items)), "item int, item_id long")
         found = found.join(F.broadcast(items), "item").drop("item")
         out = found if out is None else out.unionByName(found)

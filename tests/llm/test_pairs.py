@@ -164,6 +164,19 @@ def test_leaks(spark, benchmark_items):
     assert got == want | {(None, 0), (72, 92)}
 
 
+@pytest.mark.parametrize("every", [4, 5])
+def test_leaks_with_every_nth_word_replaced(spark, every):
+    rng = random.Random(every)
+    items = [(k, " ".join(f"i{k}x{j}" for j in range((30, 40, 59)[k % 3]))) for k in range(12)]
+    rows = []
+    for k, text in items:
+        passage = [w if n % every != every - 1 else f"other{n}" for n, w in enumerate(text.split())]
+        rows.append((k, " ".join(f"d{rng.randrange(9000)}" for _ in range(40)) + " " + " ".join(passage) + " tail"))
+        rows.append((100 + k, text))  # an exact copy elsewhere
+    got = {(r.doc_id, r.item_id) for r in leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(k, k) for k in range(12)} | {(100 + k, k) for k in range(12)}
+
+
 def test_leaks_without_rows(spark, empty, benchmark_items):
     items = spark.createDataFrame(benchmark_items[0], "item_id long, text string")
     assert leaks(empty, items).count() == 0 and leaks(spark.createDataFrame([(1, "x y z")], "doc_id long, text string"), items.where("false")).count() == 0
