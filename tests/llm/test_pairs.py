@@ -113,6 +113,20 @@ def test_boundaries_resist_shifts():
     assert len(cut(text) & cut("a new line\nand another one\n" + text)) >= len(cut(text)) - 2
 
 
+@pytest.mark.parametrize("n, words_each, joint", [(5, 11, "\n"), (6, 9, "\n"), (4, 15, "\n"), (3, 18, "\n"), (10, 11, "\n"), (5, 11, " "), (3, 25, " "), (2, 30, " "), (1, 60, " ")])
+def test_passages_in_differing_surroundings(spark, n, words_each, joint):
+    rng = random.Random(n)
+    own = lambda: [" ".join(f"o{rng.randrange(10**6)}" for _ in range(rng.randrange(2, 25))) + "." for _ in range(rng.randrange(1, 6))]
+    rows, passages = [], []
+    for k in range(40):
+        passages.append([" ".join(f"p{k}u{u}w{j}" for j in range(words_each)) + "." for u in range(n)])
+        rows += [(10 * k + c, joint.join([*own(), *passages[-1], *own()])) for c in range(2)]
+    got = {r.doc_id: r.text for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, passage in enumerate(passages):
+        assert got[10 * k] == rows[2 * k][1] and not any(unit in got[10 * k + 1] for unit in passage)
+        assert all(unit in got[10 * k + 1] for unit in rows[2 * k + 1][1].replace("\n", " ").split(". ") if not unit.startswith("p"))
+
+
 def test_lines_edge_rows(documents, empty):
     rows = dedup_lines(documents)
     assert rows.columns == ["doc_id", "text", "source", "node", "n", "count", "n_removed", "chars_removed"]
