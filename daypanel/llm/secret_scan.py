@@ -8,7 +8,19 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: The part of a word that may be a secret, and the least it has.
+#: Parts of a word that may be secrets: runs of key characters, keys by the prefix of their issuer, values after a key word whatever marks they hold, passwords of connection strings.
+RUN = r"[A-Za-z0-9+/_\-]{12,}={0,2}"
+PREFIXED = r"(?:AKIA|ASIA)[A-Z2-7]{16}|(?:gh[pos]_|github_pat_|glpat-|xox[abprs]-|[sr]k_live_|AIza|ya29\.|eyJ|npm_|pypi-|dop_v1_|SG\.)[A-Za-z0-9+/_.\-]{8,}={0,2}"
+_NAMED = r"(?i)(?<=(?:pass|word|wd|phrase|secret|token|key|auth|bearer|credential)[A-Za-z0-9_\-]{0,8}[\"']?[=:]{1,2}"
+QUOTED_VALUE = _NAMED + r"[\"'])[^\s\"']{12,}(?=[\"'])"
+VALUE = _NAMED + r")[^\s\"'&,;:/?@{}\[\]][^\s\"'&,;{}]{10,}[^\s\"'&,;:.)}\]{]"
+LOGIN = r"(?<=://[^\s:/@]{0,40}:)[^\s@\"']{8,}(?=@)"
+#: A value that stands by itself in a word, after a word that ends a key word and a sign.
+ALONE = r"(?<=^[\"']?)[^\s\"'][^\s\"']{10,}[^\s\"'.,;:)}\]]"
+AFTER_NAME = r"(?i)(pass|word|wd|phrase|secret|token|key|auth|bearer|credential)[A-Za-z0-9_\-]{0,8}[\"']?\s?[=:]{1,2}$"
+#: Characters of the word itself that count as before and after a candidate.
+BESIDE = 80
+#: The run at the end of a word: the body of a labelled finding.
 CORE = r"([A-Za-z0-9+/_\-]{12,}={0,2})[^A-Za-z0-9]*$"
 MIXED = r"[0-9]|(AKIA|ASIA)[A-Z2-7]{16}|[a-z][A-Z].*[a-z][A-Z].*[A-Z]"
 #: Fixed vocabulary of the features.
@@ -34,8 +46,20 @@ KNOWN_PREFIX = r"^(AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abprs]-|sk_li
 TREES, DEPTH, SEED = 40, 10, 5
 
 
+def _matches(w: Column, pattern: str) -> Column:
+    """The matches of a pattern in a word with what stands before and after each, ``BESIDE`` characters at most."""
+    found, between = F.regexp_extract_all(w, F.lit(pattern), F.lit(0)), F.split(w, pattern, -1)
+
+    def row(core: Column, k: Column) -> Column:
+        lead = F.right(F.concat(F.coalesce(F.get(found, k - 1), F.lit("")), F.get(between, k)), F.lit(BESIDE))
+        tail = F.left(F.concat(F.get(between, k + 1), F.coalesce(F.get(found, k + 1), F.lit(""))), F.lit(BESIDE))
+        return F.struct(core.alias("core"), lead.alias("lead"), tail.alias("tail"))
+
+    return F.transform(found, row)
+
+
 def candidates(docs: DataFrame, path: str) -> DataFrame:
-    """One row per candidate: ``doc_id``, ``word_no``, ``core``, ``word``, ``before``, ``after``, ``path``."""
+    """One row per candidate: ``doc_id``, ``word_no``, ``core``, ``word`` (the core and what stands beside it in its word), ``before``, ``after``, ``path``."""
     words = F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+")
     rows = docs.select("doc_id", F.col(path).cast("string").alias("path"), words.alias("words"))
 
@@ -43,11 +67,21 @@ def candidates(docs: DataFrame, path: str) -> DataFrame:
         return F.coalesce(F.get("words", k), F.lit(""))
 
     def row(w: Column, i: Column) -> Column:
-        likely = (F.length(w) >= 12) & w.rlike(MIXED) & w.rlike(CORE)
+        likely = (F.length(w) >= 12) & w.rlike(MIXED)
         return F.when(likely, F.struct(i.alias("word_no"), w.alias("word"), F.concat_ws(" ", at(i - 3), at(i - 2), at(i - 1)).alias("before"), F.concat_ws(" ", at(i + 1), at(i + 2)).alias("after")))
 
     found = rows.select("doc_id", "path", F.explode(F.filter(F.transform("words", row), lambda x: x.isNotNull())).alias("x"))
-    return found.select("doc_id", "x.word_no", F.regexp_extract("x.word", CORE, 1).alias("core"), "x.word", "x.before", "x.after", "path")
+    w = F.col("x.word")
+    found = found.withColumns({
+        "runs": _matches(w, RUN),
+        "more": F.concat(*(_matches(w, p) for p in (PREFIXED, QUOTED_VALUE, VALUE, LOGIN)), F.when(F.col("x.before").rlike(AFTER_NAME), _matches(w, ALONE)).otherwise(F.expr("array()"))),
+    })
+    # each text of a word once; runs in front
+    known = F.transform("runs", lambda r: r["core"])
+    more = F.filter("more", lambda m, k: ~F.array_contains(known, m["core"]) & (F.array_position(F.transform("more", lambda r: r["core"]), m["core"]) == k + 1))
+    found = found.select("doc_id", "path", "x.word_no", "x.before", "x.after", F.explode(F.concat("runs", more)).alias("y"))
+    word, after = F.concat("y.lead", "y.core", "y.tail"), F.concat_ws(" ", "y.tail", "after")
+    return found.select("doc_id", "word_no", "y.core", word.alias("word"), "before", after.alias("after"), "path")
 
 
 def with_features(rows: DataFrame) -> DataFrame:
@@ -118,8 +152,9 @@ def scan(docs: DataFrame, path: str = "source", threshold: float = 0.5, model: R
 
     ``docs`` has ``doc_id``, ``text`` and a column that tells where the text is from. Returns one row per candidate: ``doc_id``, ``word_no`` (0 for the
     first piece between white space), ``masked`` (four characters and the length), ``digest`` (a hash, so that one secret can be followed without showing it),
-    ``probability`` and ``is_secret``. A candidate is a word with a run of at least twelve key characters that holds a digit or changing case. The forest
-    weighs its length, changes of character class, dictionary cover, placeholders, path and the words beside it.
+    ``probability`` and ``is_secret``. Candidates lie anywhere in a word that holds a digit or changing case: every
+    run of at least twelve key characters, keys by their issuer's prefix, values of at least twelve characters after a key word and passwords of
+    connection strings, whatever marks these hold; they may overlap, and a value that is one run counts once. The forest weighs its length, changes of character class, dictionary cover, placeholders, path and the words beside it.
 
     Null and empty texts have no candidates; a null path counts as unknown; null ids are kept; repeated rows give their
     findings again; extra columns are ignored. Only SQL functions and the forest's JVM code touch the rows.
