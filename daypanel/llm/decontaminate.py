@@ -136,12 +136,13 @@ def _leaks(block):
 
 
 def passages_of(benchmark: DataFrame) -> DataFrame:
-    """``item_id``, ``text``: items as passages of at most ``PASSAGE_WORDS`` words; nulls and blanks left out, repeats once."""
+    """``item_id``, ``text``: long items in passages of about equal length, at most ``PASSAGE_WORDS`` words; nulls and blanks left out, repeats once."""
     words = F.filter(F.split(F.regexp_replace("text", r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+"), lambda w: w != "")
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words.alias("words")).where("size(words) > 0").distinct()
-    starts = F.sequence(F.lit(0), F.floor((F.size("words") - 1) / PASSAGE_WORDS).cast("int"))
-    rows = rows.select("item_id", "words", F.explode(starts).alias("part"))
-    return rows.select("item_id", "part", F.array_join(F.slice("words", F.col("part") * PASSAGE_WORDS + 1, PASSAGE_WORDS), " ").alias("text"))
+    parts = F.ceil(F.size("words") / PASSAGE_WORDS).cast("int")
+    rows = rows.select("item_id", "words", parts.alias("parts"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    start, stop = (F.floor(F.size("words") * (F.col("part") + k) / F.col("parts")).cast("int") for k in (0, 1))
+    return rows.select("item_id", "part", F.array_join(F.slice("words", start + 1, stop - start), " ").alias("text"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.5) -> DataFrame:

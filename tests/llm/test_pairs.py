@@ -7,7 +7,7 @@ import pytest
 from plain_words import words
 
 from daypanel.llm.components import components
-from daypanel.llm.decontaminate import align, leaks, words_of
+from daypanel.llm.decontaminate import align, leaks, passages_of, words_of
 from daypanel.llm.line_dedup import chunks, dedup_lines
 from daypanel.llm.ngram_join import jaccard_classes
 
@@ -191,6 +191,19 @@ def test_leaks_with_every_nth_word_replaced(spark, every):
     assert got == {(k, k) for k in range(12)} | {(100 + k, k) for k in range(12)}
 
 
+def test_long_items_leave_no_short_passage(spark):
+    items = {n: [f"i{n}x{j}" for j in range(n)] for n in (8, 256, 257, 258, 512, 513, 1000)}
+    benchmark = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    parts = defaultdict(list)
+    for r in passages_of(benchmark).orderBy("item_id", "part").collect():
+        parts[r.item_id].append(r.text.split())
+    for n, w in items.items():
+        assert sum(parts[n], []) == w and max(map(len, parts[n])) <= 256 and max(map(len, parts[n])) - min(map(len, parts[n])) <= 1
+    rows = [(n, "a clean text " + " ".join(w[-2:]) + " that goes on") for n, w in items.items() if n > 256] + [(1, "leak " + " ".join(items[257]))]
+    got = {(r.doc_id, r.item_id) for r in leaks(spark.createDataFrame(rows, "doc_id long, text string"), benchmark).collect()}
+    assert got == {(1, 257)}
+
+
 def test_leaks_without_rows(spark, empty, benchmark_items):
     items = spark.createDataFrame(benchmark_items[0], "item_id long, text string")
     assert leaks(empty, items).count() == 0 and leaks(spark.createDataFrame([(1, "x y z")], "doc_id long, text string"), items.where("false")).count() == 0
