@@ -52,9 +52,13 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item, exact or edited."""
-    found = leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leaked")).distinct()
-    return packed(docs).join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("leaked")), "left_anti").select("row.*")
+    """Documents that hold no benchmark item, exact or edited.
+
+    Rows are told apart by id and a hash of the text: a leak takes no other text of a repeated or null id with it.
+    """
+    found = leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leaked"), "text_key").distinct()
+    rows = packed(docs).withColumn("key", F.xxhash64("text"))
+    return rows.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("leaked")) & (F.col("key") == F.col("text_key")), "left_anti").select("row.*")
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

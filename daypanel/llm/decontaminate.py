@@ -119,17 +119,17 @@ class Passages:
 
 def _leaks(block):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "item", "score", "n_equal", "start", "stop"]
+        names = ["doc_id", "key", "item", "score", "n_equal", "start", "stop"]
         passages = block.value
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            for doc_id, key, text in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "key", "text"))):
                 codes = codes_of(text)
                 for k, places in passages.seeded(codes):
                     if best := passages.leaks(codes, k, places):
-                        out.append((doc_id, k, best[0] / (MATCH * len(passages.words[k])), best[1], best[2], best[3]))
+                        out.append((doc_id, key, k, best[0] / (MATCH * len(passages.words[k])), best[1], best[2], best[3]))
             if out:
-                types = (pa.int64(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.int32())
+                types = (pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.int32())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
     return run
@@ -146,31 +146,31 @@ def passages_of(benchmark: DataFrame) -> DataFrame:
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.5) -> DataFrame:
-    """Benchmark items found in documents: ``doc_id``, ``item_id``, ``score`` (share of the greatest), ``n_equal`` words, ``start`` and ``stop`` (words of the document).
+    """Benchmark items found in documents: ``doc_id``, ``item_id``, ``score`` (share of the greatest), ``n_equal`` words, ``start`` and ``stop`` (words of the document), ``text_key`` (xxhash64 of the text).
 
     ``docs`` has ``doc_id`` and ``text``, ``benchmark`` ``item_id`` and ``text``. The benchmark is the query set and goes over all documents in
     blocks of some thousand passages, each broadcast, one scan a block. Every word trigram of a passage is a seed: a document that shares any
     is aligned with the passage around it (Smith-Waterman, words; match 2, mismatch and gap -1), unless the words in common are too few for a leak,
     so edited and partly paraphrased copies count while three words in a row are left. A leak scores at least ``share`` of
-    the passage's greatest score and has eight equal words, or all of a shorter passage. Per document and item the best passage is
+    the passage's greatest score and has eight equal words, or all of a shorter passage. Per document (id and text) and item the best passage is
     returned.
 
     Null and blank texts match nothing; no items or documents give no rows. Repeated rows of one id and text count once; extra columns are ignored.
     A null ``doc_id`` is kept.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("key")).where("text is not null")
     passages = cut(passages_of(benchmark))
     blocks = math.ceil(passages.count() / BLOCK)
     out = None
     for k in range(blocks):
         block = Passages(passages.where(F.pmod(F.xxhash64("item_id", "part"), F.lit(blocks)) == k).orderBy("item_id", "part", "text").collect(), share)
-        found = docs.mapInArrow(_leaks(spark.sparkContext.broadcast(block)), "doc_id long, item int, score double, n_equal int, start int, stop int")
+        found = docs.mapInArrow(_leaks(spark.sparkContext.broadcast(block)), "doc_id long, key long, item int, score double, n_equal int, start int, stop int")
         items = spark.createDataFrame(list(enumerate(block.items)), "item int, item_id long")
         found = found.join(F.broadcast(items), "item").drop("item")
         out = found if out is None else out.unionByName(found)
     if out is None:
-        return spark.createDataFrame([], "doc_id long, item_id long, score double, n_equal int, start int, stop int")
+        return spark.createDataFrame([], "doc_id long, item_id long, score double, n_equal int, start int, stop int, text_key long")
     best = F.max(F.struct("score", "n_equal", (-F.col("start")).alias("from"), "stop"))
-    out = out.groupBy("doc_id", "item_id").agg(best.alias("x"))
-    return out.select("doc_id", "item_id", "x.score", "x.n_equal", (-F.col("x.from")).alias("start"), "x.stop")
+    out = out.groupBy("doc_id", "key", "item_id").agg(best.alias("x"))
+    return out.select("doc_id", "item_id", "x.score", "x.n_equal", (-F.col("x.from")).alias("start"), "x.stop", F.col("key").alias("text_key"))

@@ -44,3 +44,11 @@ def test_one_document_of_each_group(spark, documents, sf):
     ids = sorted((r.doc_id for r in got.collect()), key=lambda x: (x is None, x))
     # 2 and 3 go with 1, 8 with 7, one of the repeated rows 10; a null id and texts without words stay
     assert ids == [1, 4, 5, 6, 7, 9, 10, 11, 12, None]
+
+
+def test_leaks_take_no_other_text_of_their_id(spark, sf):
+    item = table(spark, sf, "benchmark").where("size(split(text, ' ')) >= 20").orderBy("item_id").first().text
+    rows = [(None, item), (None, "a clean text without an id"), (7, item), (7, "another clean text"), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {tuple(r) for r in corpus_pipeline.drop_leaks(spark, docs, sf).collect()}
+    assert got == {rows[1], rows[3], rows[4]}
