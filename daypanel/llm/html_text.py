@@ -31,7 +31,14 @@ MAIN_TAGS = frozenset(("article", "main"))
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|[\s\"'])(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+#: One attribute: its name and, where it has one, its value.
+_NAMED = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+_MAYBE_HIDDEN = re.compile(r"hidden|display", re.I)
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+#: A word after one of these in a class tells of the layout around, such as has-sidebar.
+_LAYOUT = re.compile(r"\b(?:has|with|no|without)[-_]+[a-z0-9]+")
+#: A marked element that isn't chrome by its tag and holds this share of a page's words is a wrapper of the page.
+WRAPPER_SHARE = 0.9
 _SEPARATOR = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
 _RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW_TAGS}
 
@@ -57,16 +64,31 @@ LABELLED = (
 )
 
 
+def _hidden(attributes: str) -> bool:
+    if not _MAYBE_HIDDEN.search(attributes):
+        return False
+    for name, value in _NAMED.findall(attributes):
+        name, value = name.lower(), value.strip("\"'")
+        if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and _NO_DISPLAY.search(value):
+            return True
+    return False
+
+
 def blocks_of(page: str | None) -> list[tuple[str, int, int, int, int, int]]:
     """Flat text blocks in page order: text, words, words in links, whether outside the article, inside one, a heading.
 
     A block ends at every tag that breaks a line. Comments, scripts, styles, titles, templates and hidden elements have no text; an end tag
     closes what is open inside its element; a tag or comment that never ends runs to the end of the page.
+
+    A form, or an element marked by class, id or role only, is no chrome if it holds nearly all words of the page, and an article or main inside
+    one stands by itself.
     """
     out: list[tuple[str, int, int, int, int, int]] = []
-    stack: list[tuple[str, int, int, int, int, int]] = []  # tag, and its chrome, main, heading, link, hidden
+    stack: list[tuple[str, int, int, int, int, int, int]] = []  # tag, and its chrome by tag, main, heading, link, hidden, innermost marked element
     open_tags: Counter[str] = Counter()
-    state = (0, 0, 0, 0, 0)
+    state = (0, 0, 0, 0, 0, 0)
+    marked: list[int] = []  # per block the innermost marked element around it
+    around, held = [0], [0]  # per marked element the one around it and its own words; 0 is the page
     texts: list[str] = []
     linked: list[str] = []
     mark = state
@@ -77,6 +99,9 @@ def blocks_of(page: str | None) -> list[tuple[str, int, int, int, int, int]]:
             links = len(html.unescape("".join(linked)).split())
             n = words.count(" ") + 1
             out.append((words, n, min(links, n), mark[0], mark[1], mark[2]))
+            marked.append(mark[5])
+            if not mark[0]:
+                held[mark[5]] += n
         texts.clear()
         linked.clear()
 
@@ -95,7 +120,7 @@ def blocks_of(page: str | None) -> list[tuple[str, int, int, int, int, int]]:
         nonlocal state
         tag = stack.pop()[0]
         open_tags[tag] -= 1
-        state = stack[-1][1:] if stack else (0, 0, 0, 0, 0)
+        state = stack[-1][1:] if stack else (0, 0, 0, 0, 0, 0)
         return tag
 
     page = page or ""
@@ -124,18 +149,32 @@ def blocks_of(page: str | None) -> list[tuple[str, int, int, int, int, int]]:
             continue
         if tag == "p" and stack and stack[-1][0] == "p" or tag == "li" and stack and stack[-1][0] == "li":
             close()
-        names = {w for _, v in _ATTRIBUTE.findall(attributes) for w in _SEPARATOR.split(v.strip("\"'").lower())} if "=" in attributes else ()
+        names = {w for _, v in _ATTRIBUTE.findall(attributes) for w in _SEPARATOR.split(_LAYOUT.sub(" ", v.strip("\"'").lower()))} if "=" in attributes else ()
         heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6")
-        chrome = tag in CHROME_TAGS and not (tag == "header" and state[1]) or tag not in ("html", "body", "article", "main") and not CHROME_WORDS.isdisjoint(names)
+        chrome = tag in CHROME_TAGS and tag != "form" and not (tag == "header" and state[1])
+        within = state[5]
+        if tag in MAIN_TAGS:
+            if not state[1] and CHROME_WORDS.isdisjoint(names):
+                within = 0
+        elif tag not in ("html", "body") and not chrome and (tag == "form" or not CHROME_WORDS.isdisjoint(names)):
+            around.append(within)
+            held.append(0)
+            within = len(around) - 1
         state = (
             int(state[0] or chrome), int(state[1] or tag in MAIN_TAGS), int(state[2] or heading), int(state[3] or tag == "a"),
-            int(state[4] or bool(attributes) and bool(_HIDDEN.search(attributes))),
+            int(state[4] or bool(attributes) and _hidden(attributes)), within,
         )
         stack.append((tag, *state))
         open_tags[tag] += 1
     take(page[at:])
     flush()
-    return out
+    least = WRAPPER_SHARE * sum(b[1] for b in out if not b[3])
+    for k in range(len(held) - 1, 0, -1):
+        held[around[k]] += held[k]
+    outside = [False]  # whether an element or one around it is marked and no wrapper of the page
+    for k in range(1, len(held)):
+        outside.append(outside[around[k]] or held[k] < least)
+    return [(*b[:3], int(b[3] or outside[k]), *b[4:]) for b, k in zip(out, marked)]
 
 
 _BLOCK = pa.struct([("text", pa.string()), ("words", pa.int32()), ("links", pa.int32()), ("chrome", pa.int32()), ("main", pa.int32()), ("heading", pa.int32())])

@@ -37,6 +37,18 @@ def test_extract(spark):
     assert texts[2] == [""] and texts[3] == [""] and texts[5] == [""] and texts[None] == ["x y"]
 
 
+def test_layout_wrappers_keep_their_text(spark):
+    body = "".join(f"<p>{' '.join(f'p{k}w{j}' for j in range(40))}</p>" for k in range(3))
+    want = "\n".join(" ".join(f"p{k}w{j}" for j in range(40)) for k in range(3))
+    ad = "<div class='ad'>Buy now</div>"
+    pages = [f"<div class='{c}'>{body}{ad}</div>" for c in ("content has-sidebar", "with-sidebar", "no-banner", "site legal")] + [
+        f"<div id='page' class='site legal'>{body}{ad}<footer>the end</footer></div>", f"<form action='/'>{body}{ad}</form>", f"<div class='banner'><main>{body}{ad}</main><p>other words</p></div>",
+        f"<div title='the hidden cost' data-x='is hidden now'>{body}</div><div hidden>no text</div><div style='color:red; display: none'>none</div><p aria-hidden=true>none</p>",
+    ]
+    got = extract(spark.createDataFrame([(k, "u", page) for k, page in enumerate(pages)], "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == dict.fromkeys(range(len(pages)), want)
+
+
 def test_blocks_of_broken_pages():
     for page in ("<", "<a", "a < b", "</p></p>x", "<!-- x", "<div " + "a=" * 50, "<p>" * 3000 + "x", "&#xZZ; &amp"):
         blocks_of(page)
