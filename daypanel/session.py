@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, memory: str = "12g", partitions: int = 8) -> SparkSession:
@@ -41,3 +44,19 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     context.setCheckpointDir(target)
     return target
+
+
+def scratch_table(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, written once to the shared checkpoint folder and read from there.
+
+    Cuts lineage so that a lost executor costs no recomputation of what came before, and fixes what a plan may not
+    compute twice. The folder is scratch: its owner clears it after a job. A local session may
+    fall back to a temporary folder; a cluster must name one that every executor can reach.
+    """
+    spark = df.sparkSession
+    local = spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster")
+    unset = not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined()
+    fallback = tempfile.mkdtemp(prefix="checkpoints-") if unset and local else None
+    path = f"{ensure_checkpoint_dir(spark, fallback).rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
