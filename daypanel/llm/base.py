@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pandas.util import hash_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypanel.session import ensure_checkpoint_dir
+from daypanel.session import scratch_table
 
 #: A word of the contracts: a run of characters other than space and the controls 09 to 0D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,18 +17,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows of ``df``, written as a table to the shared checkpoint folder and read from there.
-
-    The folder is scratch: its owner clears it after a job. A written table also frees the planner of what it derived
-    about the rows before, which grows with every step of an iteration.
-    """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="checkpoints-"))  # a local session without a cluster
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: The rows of a frame, written as a table to the shared checkpoint folder and read from there.
+cut = scratch_table
 
 
 def n_words(text: Column | str) -> Column:

@@ -5,16 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daypanel.llm.base import table
 from daypanel.llm import queries_sql, quality_nbsvm, toxicity, url_lists
 from daypanel.llm.decontaminate import leaks
 from daypanel.llm.html_text import extract
+from daypanel.llm.importance import resample
 from daypanel.llm.line_dedup import dedup_lines
+from daypanel.llm.merkle import tampered, verify
 from daypanel.llm.mixing import mix
 from daypanel.llm.ngram_join import jaccard_classes
 from daypanel.llm.quality_rules import clean_lines
 from daypanel.llm.secret_scan import scan
+from daypanel.llm.sharding import shard_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +81,18 @@ def op9_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def op10_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@_query
+def op11_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    return resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@_query
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return verify(table(spark, sf, "documents"), tampered(F.col("doc_id"), F.col("text"))).drop("source")
+
+
+@_query
+def op13_hypergeometric_shards(spark: SparkSession, sf: str) -> DataFrame:
+    return shard_rows(table(spark, sf, "documents"))
