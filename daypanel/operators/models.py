@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
+from multiprocessing.pool import ThreadPool
+from threading import BoundedSemaphore
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
@@ -20,6 +24,7 @@ from daypanel.constants import LEAKING_COLUMNS, WAVE_HISTORY_COLUMNS
 from daypanel.functions.columns import present, small_table
 from daypanel.functions.hazard import combined_probability, sea_risk
 from daypanel.operators import evaluate
+from daypanel.session import scratch_table
 from daypanel.operators.order_stats import exact_quantiles
 from daypanel.operators.rollup import to_long
 from daypanel.operators.timeseries import climatology, climatology_lookup, global_rate
@@ -89,8 +94,13 @@ def split_sizes(train: DataFrame, test: DataFrame, label: str = TARGET, entity:
 
 #: Most values (rows times columns) whose medians one aggregate takes; beyond it they are ranked over many tasks. Both are exact.
 VALUES_AT_ONCE = 5_000_000
-#: Training rows of a task: iterative fits on few rows run as few tasks.
+#: Training rows of a task: iterative fits on few rows run as few tasks, for a job costs more than the rows.
 ROWS_PER_TASK = 50_000
+#: Forests of few rows are grown in so many parts side by side, each in one task. Many rows are dealt to tasks instead.
+FOREST_PARTS = 7
+#: Threads of one list of fits, and estimators that fit at the same time in the whole process: what they hold per level adds up.
+FITS_AT_ONCE = 6
+FITTING = BoundedSemaphore(8)
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
@@ -179,6 +189,9 @@ DEFAULT_OPTIONS = {
     "forest": {"numTrees": 350, "minInstancesPerNode": 4, "featureSubsetStrategy": "sqrt", "maxDepth": 30, "seed": 42},
     "boosted": {"maxIter": 250, "maxDepth": 3, "stepSize": 0.05, "subsamplingRate": 0.85, "featureSubsetStrategy": "0.85", "seed": 42},
 }
+#: How trees grow, without effect on the trees: each row keeps the id of its node, so the grown forest isn't sent out again with
+#: every level; what the rows keep is checkpointed every few levels.
+GROWTH = {"cacheNodeIds": True, "maxMemoryInMB": 512, "checkpointInterval": 10}
 
 
 def estimator(family: str, rows: float, label: str = TARGET, **options):
@@ -191,8 +204,21 @@ def estimator(family: str, rows: float, label: str = TARGET, **options):
             regParam=1.0 / (c * max(rows, 1.0)), **settings,
         )
     kind = RandomForestClassifier if family == "forest" else GBTClassifier
-    weighted = {"weightCol": "_weight"} if family == "forest" else {}
-    return kind(featuresCol="features", labelCol=label, **weighted, **settings)
+    special = {"weightCol": "_weight", **GROWTH} if family == "forest" else {}
+    return kind(featuresCol="features", labelCol=label, **{**special, **settings})
+
+
+def trained(classifier, rows: DataFrame):
+    with FITTING:
+        return classifier.fit(rows)
+
+
+def side_by_side(work: Sequence[Callable[[], object]], at_once: int | None = None) -> list:
+    """Runs the functions in threads of this session, ``at_once`` at a time, and returns their results in order; the first error is raised."""
+    if not work:
+        return []
+    with ThreadPool(max(1, min(FITS_AT_ONCE if at_once is None else at_once, len(work)))) as pool:
+        return [run.get() for run in [pool.apply_async(inheritable_thread_target(f)) for f in work]]
 
 
 @contextmanager
@@ -205,18 +231,53 @@ def kept(df: DataFrame):
         held.unpersist()
 
 
-def fit(df: DataFrame, family: str, features: Sequence[str], scale: bool, label: str = TARGET, **options) -> PipelineModel:
+@dataclass
+class Forest:
+    """A forest grown in parts: the mean of its parts' probabilities, weighted by their trees, is that of the whole."""
+
+    prepared: PipelineModel
+    parts: list
+
+    @property
+    def n_trees(self) -> int:
+        return sum(part.getNumTrees for part in self.parts)
+
+    def score(self, df: DataFrame, output: str) -> DataFrame:
+        keep = list(df.columns)
+        rows = self.prepared.transform(df).select(*keep, "features")
+        for k, part in enumerate(self.parts):
+            scored = part.setPredictionCol("").setRawPredictionCol("").setProbabilityCol("_probability").transform(rows)
+            rows = scored.withColumn(f"_part{k}", vector_to_array("_probability")[1] * (part.getNumTrees / self.n_trees)).drop("_probability")
+        return rows.select(*keep, reduce(lambda a, b: a + b, [F.col(f"_part{k}") for k in range(len(self.parts))]).alias(output))
+
+
+def grow(rows: DataFrame, n: int, label: str, **options) -> list:
+    """The parts of a forest: few rows are one task's, and the trees are dealt to parts; of many rows there is one part."""
+    trees = options.pop("numTrees", DEFAULT_OPTIONS["forest"]["numTrees"])
+    seed = options.pop("seed", DEFAULT_OPTIONS["forest"]["seed"])
+    parts = min(FOREST_PARTS, trees) if n <= ROWS_PER_TASK else 1
+    sizes = [trees // parts + (k < trees % parts) for k in range(parts)]
+    return side_by_side([lambda k=k: trained(estimator("forest", n, label, numTrees=sizes[k], seed=seed + k, **options), rows) for k in range(parts)], FOREST_PARTS)
+
+
+def fit(df: DataFrame, family: str, features: Sequence[str], scale: bool, label: str = TARGET, **options) -> PipelineModel | Forest:
     categorical = [c for c in ("city", "season") if c in features]
     with kept(df.select(*features, label)) as held:
         n = held.count()
         rows = held.coalesce(max(1, -(-n // ROWS_PER_TASK)))
-        stages = preprocess(rows, features, categorical, scale)
-        stages.append(estimator(family, n, label, **options))
-        return Pipeline(stages=stages).fit(balanced_weights(rows, label))
+        prepared = Pipeline(stages=preprocess(rows, features, categorical, scale)).fit(rows)
+        # an estimator reads its rows many times: the prepared ones are kept, not prepared again
+        with kept(balanced_weights(prepared.transform(rows), label).select("features", label, "_weight")) as ready:
+            if family == "forest":
+                return Forest(prepared, grow(ready, n, label, **options))
+            fitted = trained(estimator(family, n, label, **options), ready)
+    return PipelineModel([*prepared.stages, fitted])
 
 
-def score(model: PipelineModel, df: DataFrame, output: str = "probability", decision: bool = False) -> DataFrame:
+def score(model: PipelineModel | Forest, df: DataFrame, output: str = "probability", decision: bool = False) -> DataFrame:
     """Adds the probability of label 1, or with ``decision`` the value before the logistic curve."""
+    if isinstance(model, Forest):
+        return model.score(df, output)
     keep = list(df.columns)
     scored = model.transform(df.withColumn("_weight", F.lit(1.0)))
     return scored.select(*keep, vector_to_array("rawPrediction" if decision else "probability")[1].alias(output))
@@ -251,19 +312,23 @@ def fit_calibrated(
     """
     decision = family == "logistic"
     fold = F.pmod(F.xxhash64(F.lit(7), *keys), F.lit(folds)).alias("_fold")
-    parts = []
+
     with kept(df.select(*features, label, fold)) as folded:
-        for k in range(folds):
+
+        def fold_model(k: int) -> tuple[PipelineModel, float, float]:
             model = fit(folded.where(F.col("_fold") != k), family, features, scale, label, **options)
-            held_out = score(model, folded.where(F.col("_fold") == k), "_score", decision).select("_score", label)
+            held_out = scratch_table(score(model, folded.where(F.col("_fold") == k), "_score", decision).select("_score", label))
             size = held_out.agg(F.struct(F.sum(F.col(label).cast("double")).alias("p"), F.count(label).cast("double").alias("n"))).scalar()
             target = F.when(F.col(label) == 1, (size["p"] + 1) / (size["p"] + 2)).otherwise(1 / (size["n"] - size["p"] + 2))
             both = F.explode(F.array(F.struct(F.lit(1.0).alias("y"), target.alias("w")), F.struct(F.lit(0.0).alias("y"), (1 - target).alias("w"))))
             soft = held_out.select("_score", both.alias("_t")).select("_score", "_t.y", "_t.w")
             vector = VectorAssembler(inputCols=["_score"], outputCol="_v")
             curve = LogisticRegression(featuresCol="_v", labelCol="y", weightCol="w", maxIter=200, tol=1e-9, probabilityCol="_q", rawPredictionCol="_w")
-            sigmoid = curve.fit(vector.transform(soft))
-            parts.append((model, float(sigmoid.coefficients[0]), float(sigmoid.intercept)))
+            with kept(vector.transform(soft).select("_v", "y", "w")) as seen:
+                sigmoid = curve.fit(seen)
+            return model, float(sigmoid.coefficients[0]), float(sigmoid.intercept)
+
+        parts = side_by_side([lambda k=k: fold_model(k) for k in range(folds)])
     return CalibratedModel(parts, decision)
 
 
@@ -327,7 +392,7 @@ def train_and_select(
 ) -> Selection:
     """Evaluates the candidates on the hold-out, picks the winner and refits it on all rows.
 
-    A candidate that fails to train is skipped and stands in the report with its error. Training rows are cached for the
+    Candidates of one kind train side by side, and so do the folds of a calibrated one. A candidate that fails to train is skipped and stands in the report with its error. Training rows are cached for the
     several passes of the fits.
     """
     from daypanel.operators.features import next_day_target
@@ -341,18 +406,26 @@ def train_and_select(
         train, test, note = split(rows, year, label)
         baseline = baseline_scores(train, test, label)
         collected = report_row(baseline, "Climatology", label, "baseline rate by entity and day of year").collect()
-        usable, failed = [], []
-        for candidate in candidates:
+
+        def contest(candidate: Candidate):
             extra = (options or {}).get(candidate.family, {})
             try:
                 fitted = fit_candidate(train, candidate, chosen, label, **extra)
                 adjusted = with_sea_adjustment(score_with(fitted, test)).select(label, "probability")
-                with kept(adjusted) as scored:
-                    collected += report_row(scored, candidate.name, label, candidate.note).collect()
-                usable.append(candidate)
+                # written, not kept: a plan through hundreds of trees is slow to analyse again for each measure
+                return report_row(scratch_table(adjusted), candidate.name, label, candidate.note).collect(), None
             except Exception as error:  # a candidate may fail on degenerate data; the others go on
                 LOG.warning("candidate %s skipped: %s", candidate.name, error)
-                failed.append((candidate.name, f"failed: {type(error).__name__}: {error}"[:2000]))
+                return [], (candidate.name, f"failed: {type(error).__name__}: {error}"[:2000])
+
+        # boosting is many short jobs and would wait behind the long tasks of forests
+        waves = [[c for c in candidates if (c.family == "forest") == deep] for deep in (False, True)]
+        with kept(train) as train, kept(test) as test:
+            found = {c.name: r for wave in waves for c, r in zip(wave, side_by_side([lambda c=c: contest(c) for c in wave]))}
+        results = [found[c.name] for c in candidates]
+        usable = [c for c, (_, error) in zip(candidates, results) if error is None]
+        failed = [error for _, error in results if error is not None]
+        collected += [row for found, _ in results for row in found]
         if not usable:
             raise RuntimeError("all candidates failed")
         # one row per candidate
@@ -443,11 +516,11 @@ def prediction_intervals(
     The weight of a row in a refit is a function of the hash of its key, so a lost task
     redraws the same sample. Weights are the Poisson(1) quantiles of the hash value.
     """
-    scored = None
     categorical = [c for c in ("city", "season") if c in features]
     needed = [c for c in dict.fromkeys([*keys, *features, label])]
     with kept(train.select(*needed)) as base:
-        for i in range(refits):
+
+        def refit(i: int) -> PipelineModel:
             u = F.pmod(F.xxhash64(F.lit(seed), F.lit(i), *keys), F.lit(1 << 30)) / float(1 << 30)
             cumulative, mass, weight = 0.0, 0.36787944117144233, F.lit(0.0)
             for k in range(13):  # beyond 12 the tail is below the resolution of the hash
@@ -459,9 +532,10 @@ def prediction_intervals(
                 weighted = balanced_weights(rows, label).withColumn("_weight", F.col("_weight") * F.col("_draw"))
                 stages = preprocess(rows, features, categorical, scale)
                 stages.append(estimator(family, rows.count(), label, **options))
-                model = Pipeline(stages=stages).fit(weighted)
-            part = score(model, test, "_p").select(*keys, "_p")
-            scored = part if scored is None else scored.unionByName(part)
+                return Pipeline(stages=stages).fit(weighted)
+
+        refitted = side_by_side([lambda i=i: refit(i) for i in range(refits)])
+    scored = reduce(lambda a, b: a.unionByName(b), [score(m, test, "_p").select(*keys, "_p") for m in refitted])
     return scored.groupBy(*keys).agg(
         F.percentile("_p", F.lit(0.025)).alias("ci_low"), F.percentile("_p", F.lit(0.975)).alias("ci_high")
     )
