@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from daypanel.session import scratch_table
+
 
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A driver-side table as a local relation: Spark knows its size and can broadcast it."""
@@ -81,16 +83,22 @@ def capped_coverage(present_days: Column, expected_days: Column) -> Column:
     return F.least(present_days * 100.0 / expected_days, F.lit(100.0))
 
 
-#: Parts that the rows of a group are dealt to when they meet the group's statistics.
+#: Groups whose statistics are sent to every task; a row of statistics is a few numbers.
+BROADCAST_GROUPS = 100_000
+#: Parts that the rows of a group are dealt to beyond that.
 SALTS = 32
 
 
 def join_groups(rows: DataFrame, stats: DataFrame, keys: Sequence[str], *salt: str, how: str = "inner") -> DataFrame:
     """Joins rows with one row of statistics per group, no group in one task.
 
-    The statistics are repeated for each salt and the rows of a group dealt out by a hash of the columns
-    ``salt`` (all, if none is named). Spark still broadcasts statistics that turn out small.
+    The statistics are written and counted. Up to ``BROADCAST_GROUPS`` of them go to every task, and the rows stay where they are.
+    More are repeated for each salt, and the rows of a group are dealt out by a hash of the columns ``salt``
+    (all, if none is named).
     """
+    held = scratch_table(stats)
+    if held.count() <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(held), list(keys), how)
     part = F.pmod(F.xxhash64(*(salt or rows.columns)), F.lit(SALTS)).alias("_salt")
-    spread = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    spread = held.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     return rows.select("*", part).join(spread, [*keys, "_salt"], how).drop("_salt")

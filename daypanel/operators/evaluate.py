@@ -107,16 +107,10 @@ def roc_curve(scored: DataFrame, label: str = "label", p: str = "probability", b
     """True and false positive rates at every distinct score."""
     by = list(by)
     sums = prefix_sums(_score_cells(scored, label, p, by), by, p, measures=("pos", "neg"))
-    if by:
-        totals = sums.groupBy(*by).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_q"))
-        sums = join_groups(sums, totals, by, p)
-    else:
-        total = sums.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("q"))).scalar()
-        sums = sums.withColumns({"_p": total["p"], "_q": total["q"]})
     return sums.select(
         *by, F.col(p).alias("threshold"),
-        F.try_divide(F.col("_q") - F.col("neg_before"), F.col("_q")).alias("fpr"),
-        F.try_divide(F.col("_p") - F.col("pos_before"), F.col("_p")).alias("tpr"),
+        F.try_divide(F.col("neg_total") - F.col("neg_before"), F.col("neg_total")).alias("fpr"),
+        F.try_divide(F.col("pos_total") - F.col("pos_before"), F.col("pos_total")).alias("tpr"),
     )
 
 

@@ -17,7 +17,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daypanel.constants import LEAKING_COLUMNS, WAVE_HISTORY_COLUMNS
@@ -217,8 +217,9 @@ def side_by_side(work: Sequence[Callable[[], object]], at_once: int | None = Non
     """Runs the functions in threads of this session, ``at_once`` at a time, and returns their results in order; the first error is raised."""
     if not work:
         return []
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPool(max(1, min(FITS_AT_ONCE if at_once is None else at_once, len(work)))) as pool:
-        return [run.get() for run in [pool.apply_async(inheritable_thread_target(f)) for f in work]]
+        return [run.get() for run in [pool.apply_async(inherit(f)) for f in work]]
 
 
 @contextmanager

@@ -1,22 +1,20 @@
 """Exact order statistics that never sort a large group in one task.
 
-Values are first counted, which collapses repeated values before the shuffle. Each group is
-then cut into cells of equal width, by magnitude first and every cell again by its own range, so
-only the distinct values of one small cell are ever ordered together: values over many decades
-spread over the first cut, values close together over the second. Cell totals are prefix-summed in windows
-of at most ``bins`` rows. Ranks, percentiles, AUC and ROC points all follow from the sums.
+Values are first counted, which collapses repeated values before the shuffle. The distinct values are dealt to ranges of
+(group, value) whose bounds Spark samples from them, so ranges hold about as many each whatever the values' spread, and a large
+group has many. Range totals are prefix-summed, and running sums are formed inside one range. Ranks, percentiles, AUC and ROC
+points all follow from the sums.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from daypanel.functions.columns import join_groups
+from daypanel.session import scratch_table
 
 
 def value_counts(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
@@ -24,64 +22,38 @@ def value_counts(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     return df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("n"))
 
 
-def prefix_sums(
-    cells: DataFrame,
-    group: Sequence[str],
-    value: str,
-    measures: Sequence[str] = ("n",),
-    bins: int = 512,
-    levels: int = 2,
-) -> DataFrame:
-    """Adds ``<measure>_before``: the sum over smaller values of the same group.
+def value_ranges(cells: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """The rows, one per (group, value), written in ranges of both, with the number of their range in ``_range``."""
+    by = [*[F.col(g).asc_nulls_first() for g in group], F.col(value).asc()]
+    return scratch_table(cells.repartitionByRange(*by).withColumn("_range", F.spark_partition_id()))
+
 
-    ``cells`` has one row per (group, value).
+def prefix_sums(cells: DataFrame, group: Sequence[str], value: str, measures: Sequence[str] = ("n",)) -> DataFrame:
+    """Adds ``<measure>_before``, the sum over smaller values of the same group, and ``<measure>_total``, the group's sum.
+
+    ``cells`` has one row per (group, value) and is computed once: its ranges are written, and their totals, one row per range and
+    group that share a row, decide what each range starts from. Null groups are a group.
     """
     group = list(group)
-    keys = list(group)
-    placed = cells
-    for level in range(levels):
-        low, high, cell = f"_lo{level}", f"_hi{level}", f"_cell{level}"
-        bounds = [F.min(value).alias(low), F.max(value).alias(high)]
-        if keys:
-            spans = placed.groupBy(*keys).agg(*bounds)
-            placed = join_groups(placed, spans, keys, value) if level == 0 else placed.join(spans, keys)
-        else:
-            box = cells.agg(F.struct(*bounds)).scalar()
-            placed = placed.withColumns({low: box[low], high: box[high]})
-        at, start, end = (_magnitude(F.col(c)) if level == 0 else F.col(c).cast("double") for c in (value, low, high))
-        position = F.try_divide(at - start, end - start) * bins
-        index = F.least(F.floor(F.coalesce(position, F.lit(0.0))), F.lit(bins - 1)).cast("int")
-        placed = placed.withColumn(cell, index).drop(low, high)
-        keys.append(cell)
-
-    offsets = None
-    totals = placed.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
-    for level in range(levels):
-        upto = keys[: len(group) + level + 1]
-        parent = upto[:-1]
-        here = totals if level == levels - 1 else totals.groupBy(*upto).agg(*[F.sum(m).alias(m) for m in measures])
-        earlier = W.partitionBy(*parent).orderBy(upto[-1]).rowsBetween(W.unboundedPreceding, -1)
-        step = here.select(
-            *upto, *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"_{m}{level}") for m in measures]
-        )
-        offsets = step if offsets is None else offsets.join(step, parent)
-    offsets = offsets.select(
-        *keys,
-        *[
-            reduce(lambda a, b: a + b, [F.col(f"_{m}{level}") for level in range(levels)]).alias(f"_{m}_base")
-            for m in measures
-        ],
+    dealt = value_ranges(cells, group, value)
+    whole = W.partitionBy(*group)
+    earlier = whole.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    totals = dealt.groupBy(*group, "_range").agg(*[F.sum(m).alias(f"_{m}") for m in measures])
+    bases = totals.select(
+        F.col("_range").alias("_of_range"),
+        *[F.col(g).alias(f"_of_{g}") for g in group],
+        *[F.coalesce(F.sum(f"_{m}").over(earlier), F.lit(0)).alias(f"_{m}_base") for m in measures],
+        *[F.sum(f"_{m}").over(whole).alias(f"{m}_total") for m in measures],
     )
-    inside = W.partitionBy(*keys).orderBy(value).rowsBetween(W.unboundedPreceding, -1)
-    summed = placed.join(offsets, keys).withColumns(
-        {f"{m}_before": F.col(f"_{m}_base") + F.coalesce(F.sum(m).over(inside), F.lit(0)) for m in measures}
+    same = F.col("_range") == F.col("_of_range")
+    for g in group:
+        same &= F.col(g).eqNullSafe(F.col(f"_of_{g}"))
+    inside = W.partitionBy("_range", *group).orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+    return dealt.join(bases, same).select(
+        *cells.columns,
+        *[(F.col(f"_{m}_base") + F.coalesce(F.sum(m).over(inside), F.lit(0))).alias(f"{m}_before") for m in measures],
+        *[f"{m}_total" for m in measures],
     )
-    return summed.select(*cells.columns, *[f"{m}_before" for m in measures])
-
-
-def _magnitude(v: Column) -> Column:
-    """Grows with the value as its logarithm does, on both sides of 0; never falls."""
-    return F.signum(v.cast("double")) * F.log1p(F.abs(v.cast("double")) * 1e12)
 
 
 def mid_ranks(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
@@ -98,25 +70,19 @@ def exact_quantiles(
     """Linearly interpolated quantiles per group, one column per entry of ``probs``."""
     group = list(group)
     sums = prefix_sums(value_counts(df, group, value), group, value)
-    if group:
-        totals = sums.groupBy(*group).agg(F.sum("n").alias("_total"))
-        with_total = join_groups(sums, totals, group, value)
-    else:
-        with_total = sums.withColumn("_total", sums.agg(F.sum("n")).scalar())
-
     def at(index: Column) -> Column:
         hit = (F.col("n_before") <= index) & (index < F.col("n_before") + F.col("n"))
         return F.max(F.when(hit, F.col(value)))
 
     parts = []
     for name, p in probs.items():
-        position = (F.col("_total") - 1) * F.lit(float(p))
+        position = (F.col("n_total") - 1) * F.lit(float(p))
         parts += [
             at(F.floor(position)).alias(f"_{name}_lo"),
             at(F.ceil(position)).alias(f"_{name}_hi"),
             F.max(position - F.floor(position)).alias(f"_{name}_w"),
         ]
-    picked = with_total.groupBy(*group).agg(*parts)
+    picked = sums.groupBy(*group).agg(*parts)
     return picked.select(
         *group,
         *[
