@@ -18,6 +18,12 @@ from daypanel.functions.columns import present
 from daypanel.functions.physics import add_degree_days, add_wave_height, daily_range
 
 
+#: Rows before its own that each operator of ``engineer_all_features`` reads, by its default windows and lags.
+REACH = {"temperature_range": 7 - 1, "rolling": 30 - 1, "lag": 2, "short_term": 3 - 1}
+#: Rows after a changed one whose features change with it.
+CHAIN_REACH = max(REACH.values())
+
+
 def along(entity: str, date: str) -> WindowSpec:
     return W.partitionBy(entity).orderBy(date)
 
@@ -142,7 +148,7 @@ def next_day_target(
 def engineer_all_features(
     df: DataFrame, fetch: DataFrame, entity: str = "city", date: str = "date"
 ) -> DataFrame:
-    """The full chain; wave height precedes the windows that read it."""
+    """The full chain; wave height precedes the windows that read it. A new window or lag here belongs in ``REACH``."""
     out = add_seasonal_features(df, date)
     out = add_temperature_range(out, entity=entity, date=date)
     out = add_degree_days(out)

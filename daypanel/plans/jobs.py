@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 
 from daypanel.constants import HISTORY_START
 from daypanel.operators import models, quality
-from daypanel.operators.clean import caps_table, upsert
+from daypanel.operators.clean import caps_table
 from daypanel.operators.forecast import daily_forecast, forecast_features, offshore_climatology, offshore_rows, summarise_window
-from daypanel.operators.rollup import monthly_summary
+from daypanel.operators.rollup import latest_dates, monthly_summary
 from daypanel.operators.timeseries import climatology, global_rate
+from daypanel.plans.increments import changed_features
 from daypanel.plans.layers import analytics_daily, clean_to_staging, preset_layers
-from daypanel.sources import files, ledgers
+from daypanel.session import scratch_table
+from daypanel.sources import files, ledgers, versions
 from daypanel.functions.physics import fetch_table
 
+KEYS = ["city", "date"]
+
 
 def fetch_window(latest: DataFrame, mode: str, as_of: dt.date, since: str | None = None, overlap_days: int = 3, start: str = HISTORY_START) -> DataFrame:
     """One row: first and last day to fetch. Incremental reaches ``overlap_days`` before the oldest maximum."""
@@ -57,7 +61,7 @@ class RunResult:
 
 
 def run_job(
-    spark: SparkSession, root: str, weather: DataFrame, visibility: DataFrame, as_of: dt.datetime,
+    spark: SparkSession, root: str, weather: DataFrame | None, visibility: DataFrame | None, as_of: dt.datetime,
     mode: str = "incremental", run_id: str | None = None, forecast: DataFrame | None = None,
     marine: DataFrame | None = None, caps: DataFrame | None = None, fetch: DataFrame | None = None,
     train: bool = True, predict: bool = True, features: list[str] | None = None,
@@ -67,7 +71,10 @@ def run_job(
     """Runs the stages on the given new raw rows and appends a ledger row whatever happens.
 
     An incremental run starts from the layers of the last run that the ledger calls a success, so a refused or broken run
-    is never a base. With ``train`` the candidates are trained whether or not there is a forecast; predictions are published
+    is never a base. Raw rows, staging and daily features are stored by month: an increment writes the months that it changes, and
+    features are recomputed only where a changed staging row reaches. Staging itself depends on statistics of the whole entity
+    and is built as a whole. ``weather=None`` says that there is nothing new: an incremental run then checks that
+    every entity has yesterday, takes the layers as they are and refreshes training and predictions. With ``train`` the candidates are trained whether or not there is a forecast; predictions are published
     after their gate.
 
     Each layer is written before its gate reads it, so a gate never recomputes the stage and
@@ -88,6 +95,15 @@ def run_job(
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
+    def merge(df: DataFrame, layer: str, base: str | None) -> DataFrame:
+        versions.merge_layer(df, f"{root}/{layer}", KEYS, run_id, base)
+        return versions.read_layer(spark, f"{root}/{layer}", run_id)
+
+    def reuse(layer: str, base: str | None) -> DataFrame:
+        if not versions.has_version(spark, f"{root}/{layer}", base):
+            raise RuntimeError(f"nothing new was given and there is no stored {layer}")
+        return merge(versions.read_layer(spark, f"{root}/{layer}", base).limit(0), layer, base)
+
     def gate(stage: str, df: DataFrame, **extra) -> None:
         rows = quality.run_checks(stage, df, **extra).collect()
         result = spark.createDataFrame(rows, "check_name string, status string, severity string, stage string, details map<string,string>, message string")
@@ -97,17 +113,28 @@ def run_job(
 
     try:
         base = last_success(spark, f"{root}/runs") if mode == "incremental" else None
-        previous, previous_vis = (spark.read.parquet(f"{root}/{layer}/run={base}") if base else None for layer in ("raw_weather", "raw_visibility"))
-        raw = store(weather if previous is None else upsert(previous, weather, ["city", "date"]), "raw_weather")
-        vis = store(visibility if previous_vis is None else upsert(previous_vis, visibility, ["city", "date"]), "raw_visibility")
-        counts["rows_ingested"] = weather.count()
-        gate("raw", raw, as_of=day, monthly=not strict_freshness)
-        staging = store(clean_to_staging(raw, vis, caps), "staging")
-        counts["rows_cleaned"] = staging.count()
-        gate("staging", staging)
-        quality_flags = ledgers.flag_rows(staging, as_of)
-        quality_flags.write.mode("append").parquet(f"{root}/quality_flags")
-        daily = store(analytics_daily(staging, fetch), "daily")
+        if weather is None:
+            raw, staging, daily = reuse("raw_weather", base), reuse("staging", base), reuse("daily", base)
+            reuse("raw_visibility", base)
+            if not spark.range(1).select(is_current(latest_dates(raw.select("city").distinct(), raw), day)).first()[0]:
+                raise RuntimeError("nothing new was given and the data is not current")
+            gate("raw", raw, as_of=day, monthly=not strict_freshness)
+        else:
+            raw, vis = merge(weather, "raw_weather", base), merge(visibility, "raw_visibility", base)
+            counts["rows_ingested"] = weather.count()
+            gate("raw", raw, as_of=day, monthly=not strict_freshness)
+            built = scratch_table(clean_to_staging(raw, vis, caps))
+            known = versions.has_version(spark, f"{root}/staging", base) and versions.has_version(spark, f"{root}/daily", base)
+            changed = scratch_table(versions.changed_rows(built, versions.read_layer(spark, f"{root}/staging", base), KEYS)) if known else built
+            staging = merge(changed, "staging", base)
+            counts["rows_cleaned"] = staging.count()
+            gate("staging", staging)
+            ledgers.flag_rows(staging, as_of).write.mode("append").parquet(f"{root}/quality_flags")
+            if known:
+                features_of = changed_features(staging, changed, versions.read_layer(spark, f"{root}/daily", base), fetch)
+                daily = merge(scratch_table(features_of), "daily", base)
+            else:
+                daily = merge(scratch_table(analytics_daily(staging, fetch)), "daily", base)
         store(monthly_summary(daily), "monthly")
         counts["rows_analytics"] = daily.count()
         gate("analytics", daily)

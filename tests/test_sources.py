@@ -11,7 +11,7 @@ from daypanel.constants import MARINE_MEASURES
 from daypanel.functions.columns import small_table
 from daypanel.operators import models, rollup
 from daypanel.plans import jobs
-from daypanel.sources import dimensions, files, ledgers, payload, tables
+from daypanel.sources import dimensions, files, ledgers, payload, tables, versions
 from daypanel.sources.schemas import FETCH_LOG
 from daypanel.streaming import jobs as streams
 
@@ -150,8 +150,15 @@ def test_gated_job(spark, sf, tmp_path):
     second = jobs.run_job(spark, str(tmp_path), tail, vis, as_of, run_id="r2", **common)
     assert second.status == "SUCCESS", second.ledger.first()["errors"]
     assert second.predictions.count() == 5 * 31
-    assert spark.read.parquet(f"{tmp_path}/raw_weather/run=r2").count() == weather.count()
-    assert [r["status"] for r in ledgers.latest_runs(spark, f"{tmp_path}/runs").collect()] == ["SUCCESS", "SUCCESS"]
+    assert versions.read_layer(spark, f"{tmp_path}/raw_weather", "r2").count() == weather.count()
+    # nothing new: every entity has the day before this one
+    current = weather.groupBy("city").agg(F.max("date").alias("d")).agg(F.min("d")).first()[0] + dt.timedelta(days=1)
+    third = jobs.run_job(spark, str(tmp_path), None, None, dt.datetime.combine(current, dt.time()), run_id="r3", **common)
+    assert third.status == "SUCCESS", third.ledger.first()["errors"]
+    assert versions.manifest(spark, f"{tmp_path}/daily", "r3") == versions.manifest(spark, f"{tmp_path}/daily", "r2")
+    stale = jobs.run_job(spark, str(tmp_path), None, None, as_of + dt.timedelta(days=5), run_id="r4", **common)
+    assert stale.status == "FAILED" and "not current" in stale.ledger.first()["errors"]
+    assert [r["status"] for r in ledgers.latest_runs(spark, f"{tmp_path}/runs").collect()] == ["FAILED", "SUCCESS", "SUCCESS", "SUCCESS"]
 
 
 def test_refused_run_is_no_base(spark, sf, tmp_path):
