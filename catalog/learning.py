@@ -9,6 +9,7 @@ from catalog.registry import big, block, query
 from daypanel.operators import evaluate, models, timeseries
 from daypanel.functions.columns import small_table
 from daypanel.operators import features as feat
+from daypanel.operators.order_stats import prefix_sums
 
 GRID = [0.01 + 0.01 * i for i in range(80)]
 GRID_SQL = "(SELECT CAST(unnest(generate_series(1, 80)) AS DOUBLE) AS k, unnest([" + ", ".join(f"{t!r}::DOUBLE" for t in GRID) + "]) AS t)"
@@ -159,6 +160,38 @@ def m19(spark, sf):
     return evaluate.bootstrap_intervals(views.scored(spark, sf), 0.4)
 
 
+@query(
+    "m19_bootstrap_properties",
+    f"""@scored|SELECT 1000::BIGINT AS replicates, round(f1, 9) AS f1, round(roc_auc, 9) AS roc_auc, true AS f1_inside, true AS auc_inside, true AS f1_spread_fits, true AS auc_spread_fits
+FROM (SELECT CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) AS f1 FROM (SELECT count(*) FILTER (probability >= 0.4 AND label = 1) AS tp, count(*) FILTER (probability >= 0.4 AND label = 0) AS fp, count(*) FILTER (probability < 0.4 AND label = 1) AS fn FROM scored)),
+  ({AUC_SQL.format(g="", p="", t="")})""",
+)
+def m19_properties(spark, sf):
+    """The sample's own values lie inside the intervals, and the resamples spread about as theory says (delta method, a factor of 1.25)."""
+    scored = views.scored(spark, sf)
+    hit, y = F.col("probability") >= 0.4, F.col("label") == 1
+    counted = scored.agg(*[F.sum(x.cast("long")).cast("double").alias(n) for n, x in (("tp", hit & y), ("fp", hit & ~y), ("fn", ~hit & y), ("p", y), ("q", ~y))])
+    drawn = evaluate.bootstrap_sums(scored, 0.4).agg(
+        F.count(F.lit(1)).alias("replicates"), *[F.percentile(m, F.lit(q)).alias(f"{m}_{n}") for m in ("f1", "auc") for n, q in (("low", 0.025), ("high", 0.975))],
+        F.stddev_samp("f1").alias("f1_sd"), F.stddev_samp("auc").alias("auc_sd"),
+    )
+    sums = prefix_sums(evaluate._score_cells(scored, "label", "probability", []), [], "probability", ("pos", "neg"))
+    # placements: how often a row of one class beats the other; their variances make that of the area
+    over, under = (F.col("neg_before") + F.col("neg") / 2) / F.col("neg_total"), (F.col("pos_total") - F.col("pos_before") - F.col("pos") / 2) / F.col("pos_total")
+    mean = lambda n, v: F.sum(F.col(n) * v) / F.sum(n)
+    area = sums.agg(mean("pos", over).alias("roc_auc"), (mean("pos", over * over) - mean("pos", over) ** 2).alias("v1"), (mean("neg", under * under) - mean("neg", under) ** 2).alias("v0"))
+    tp, errors = F.col("tp"), F.col("fp") + F.col("fn")
+    f1 = 2 * tp / (2 * tp + errors)
+    f1_sd = 2 * F.sqrt(tp * errors * (tp + errors)) / F.pow(2 * tp + errors, 2)
+    auc_sd = F.sqrt(F.col("v1") / F.col("p") + F.col("v0") / F.col("q"))
+    fits = lambda sd, want: (sd < want * 1.25) & (sd > want / 1.25)
+    one = drawn.join(counted).join(area)
+    return one.select(
+        "replicates", F.round(f1, 9).alias("f1"), F.round("roc_auc", 9).alias("roc_auc"), f1.between(F.col("f1_low"), F.col("f1_high")).alias("f1_inside"),
+        F.col("roc_auc").between(F.col("auc_low"), F.col("auc_high")).alias("auc_inside"), fits(F.col("f1_sd"), f1_sd).alias("f1_spread_fits"), fits(F.col("auc_sd"), auc_sd).alias("auc_spread_fits"),
+    )
+
+
 @query(
     "m21_residual_bins",
     """@scored|WITH b AS (SELECT city, min(probability) AS lo, max(probability) AS hi FROM scored GROUP BY city)

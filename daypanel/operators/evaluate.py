@@ -1,12 +1,12 @@
 """Model evaluation on scored rows (label 0/1, probability), as Spark aggregations.
 
 Scored rows have no size bound, so nothing here sorts them: thresholds read an 81-cell
-histogram, ranks come from distinct scores, resampling works on a score histogram.
+histogram, ranks and resamples come from ranges of distinct scores.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from daypanel.constants import DEFAULT_THRESHOLD
 from daypanel.functions.columns import count_where, join_groups
-from daypanel.operators.order_stats import exact_quantiles, prefix_sums
+from daypanel.operators.order_stats import exact_quantiles, prefix_sums, value_ranges
 
 # 80 decision thresholds, 0.01 to 0.80.
 GRID = [0.01 + 0.01 * i for i in range(80)]
@@ -197,44 +197,49 @@ def report_rows(reports: Sequence[DataFrame]) -> DataFrame:
     return table.withColumns({c: F.round(c, 3) for c in rounded if c in table.columns})
 
 
-def bootstrap_intervals(
-    scored: DataFrame, threshold: float, label: str = "label", p: str = "probability",
-    replicates: int = 1000, seed: int = 42, cells: int = 10000,
-) -> DataFrame:
-    """95% intervals of F1 and AUC by Poisson resampling.
+#: Drawn weights that a task holds at a time.
+DRAWS_AT_ONCE = 2_000_000
 
-    A sum of Poisson(1) row weights is Poisson(count), so the weights are drawn per score cell
-    instead of per row. Scores are kept to 1/cells, so the histogram that goes to every
-    replicate has at most ``2 * (cells + 1)`` numbers whatever the number of rows.
+
+def bootstrap_sums(scored: DataFrame, threshold: float, label: str = "label", p: str = "probability", replicates: int = 1000, seed: int = 42) -> DataFrame:
+    """F1 and AUC of each Poisson resample: ``replicate``, ``f1``, ``auc``; resamples without one of the classes have no AUC and are left out.
+
+    A sum of Poisson(1) row weights is Poisson(count), so weights are drawn per distinct score and class. The distinct scores lie in ranges; a
+    task draws all replicates of one range and leaves five numbers for each: weights of both classes, the wins of positives over negatives
+    within the range, and the weights of both classes at or above the threshold. Ranges are then combined in order: a range's
+    positives win over all negatives of the ranges before it. A range is written before it is read, so a task that is lost
+    draws the same again.
     """
-    y, hit = F.col(label).cast("int"), (F.col(p) >= threshold).cast("int")
-    hist = scored.groupBy(F.round(F.col(p) * cells).cast("int").alias("cell"), hit.alias("hit")).agg(
-        F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")
+
+    def resample(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
+        cells = cells.sort_values(p)
+        hit = cells[p].to_numpy() >= threshold
+        counts = cells[["pos", "neg"]].to_numpy(dtype=float)
+        rng, at_once, parts = np.random.default_rng([seed, int(key[0])]), max(1, DRAWS_AT_ONCE // len(cells)), []
+        for first in range(0, replicates, at_once):
+            n = min(at_once, replicates - first)
+            pos, neg = (rng.poisson(counts[:, k], size=(n, len(cells))).astype(float) for k in (0, 1))
+            wins = (pos * (np.cumsum(neg, axis=1) - neg / 2.0)).sum(axis=1)
+            parts.append(pd.DataFrame({
+                "replicate": np.arange(first, first + n), "range": int(key[0]), "pos": pos.sum(axis=1), "neg": neg.sum(axis=1),
+                "wins": wins, "tp": pos[:, hit].sum(axis=1), "fp": neg[:, hit].sum(axis=1),
+            }))
+        return pd.concat(parts)
+
+    ranges = value_ranges(_score_cells(scored, label, p, []), [], p)
+    sums = ranges.groupBy("_range").applyInPandas(resample, "replicate long, range int, pos double, neg double, wins double, tp double, fp double")
+    before = F.coalesce(F.sum("neg").over(W.partitionBy("replicate").orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
+    total = sums.withColumn("wins", F.col("wins") + F.col("pos") * before).groupBy("replicate").agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "wins", "tp", "fp")])
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("pos") - F.col("tp")
+    return total.where((F.col("pos") > 0) & (F.col("neg") > 0)).select(
+        "replicate", (2 * tp / (2 * tp + fp + fn)).alias("f1"), (F.col("wins") / (F.col("pos") * F.col("neg"))).alias("auc")
     )
-    packed = hist.agg(F.sort_array(F.collect_list(F.struct("cell", "hit", "pos", "neg"))).alias("h"))
-    spark = scored.sparkSession
-    draws = spark.range(replicates).withColumn("h", packed.scalar())
-
-    def resample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for replicate, h in zip(batch["id"], batch["h"]):
-                hits = np.array([c["hit"] for c in h])
-                rng = np.random.default_rng([seed, int(replicate)])
-                pos = rng.poisson(np.array([c["pos"] for c in h], dtype=float))
-                neg = rng.poisson(np.array([c["neg"] for c in h], dtype=float))
-                if pos.sum() == 0 or neg.sum() == 0:
-                    continue
-                tp, fp, fn = pos[hits == 1].sum(), neg[hits == 1].sum(), pos[hits == 0].sum()
-                f1 = 2 * tp / (2 * tp + fp + fn)
-                below = np.cumsum(neg) - neg
-                auc = (pos * (below + neg / 2.0)).sum() / (float(pos.sum()) * float(neg.sum()))
-                rows.append((int(replicate), float(f1), float(auc)))
-            yield pd.DataFrame(rows, columns=["replicate", "f1", "auc"])
-
-    results = draws.mapInPandas(resample, "replicate long, f1 double, auc double")
+
+
+def bootstrap_intervals(scored: DataFrame, threshold: float, label: str = "label", p: str = "probability", replicates: int = 1000, seed: int = 42) -> DataFrame:
+    """95% intervals of F1 and AUC by Poisson resampling, on the scores as they are."""
     edges = {"low": 0.025, "high": 0.975}
-    return results.agg(
+    return bootstrap_sums(scored, threshold, label, p, replicates, seed).agg(
         F.count(F.lit(1)).alias("replicates"),
         *[F.percentile(m, F.lit(q)).alias(f"{m}_ci_{n}") for m in ("f1", "auc") for n, q in edges.items()],
     )
