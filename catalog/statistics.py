@@ -223,10 +223,56 @@ def t16(spark, sf):
     return rounded(stats.vif(views.weather(spark, sf), VIF3), 6, "vif")
 
 
-@query("t17_select_features")
+def cell(i: str, j: str) -> str:
+    return f"m[1 + ({i}) * {len(FEATURES)} + ({j})]"
+
+
+# the inverse of the correlation matrix, one pivot at a time; its diagonal are the inflation factors
+VIF_ALL_SQL = (
+    "@complete|WITH RECURSIVE g AS (SELECT 0 AS k, ["
+    + ", ".join("1.0::DOUBLE" if i == j else f"corr({FEATURES[i]}, {FEATURES[j]})" for i in range(len(FEATURES)) for j in range(len(FEATURES)))
+    + f"] AS m FROM complete UNION ALL SELECT k + 1, list_transform(range({len(FEATURES) ** 2}), lambda t: CASE "
+    f"WHEN t // {len(FEATURES)} = k AND t % {len(FEATURES)} = k THEN 1 / {cell('k', 'k')} WHEN t // {len(FEATURES)} = k THEN m[1 + t] / {cell('k', 'k')} WHEN t % {len(FEATURES)} = k THEN -m[1 + t] / {cell('k', 'k')} "
+    f"ELSE m[1 + t] - {cell(f't // {len(FEATURES)}', 'k')} * {cell('k', f't % {len(FEATURES)}')} / {cell('k', 'k')} END) FROM g WHERE k < {len(FEATURES)}), "
+    f"d AS (SELECT unnest([{', '.join(repr(f) for f in FEATURES)}]) AS feature, unnest([{', '.join(cell(str(i), str(i)) for i in range(len(FEATURES)))}]) AS vif FROM g WHERE k = {len(FEATURES)}) "
+    "SELECT feature, round(vif, 5) AS vif, CASE WHEN vif > 50 THEN 'severe' WHEN vif > 10 THEN 'problematic' ELSE 'ok' END AS flag FROM d"
+)
+
+
+@query("t16_vif_all_features", VIF_ALL_SQL)
+def t16_all(spark, sf):
+    return rounded(stats.vif(views.joined(spark, sf), FEATURES), 5, "vif")
+
+
+CHOSEN = [
+    "temperature_2m_max", "temperature_2m_min", "temperature_2m_mean", "apparent_temperature_mean", "temp_range_c", "temp_range_7d", "hdd", "cdd", "wind_speed_10m_max", "wind_gusts_10m_max", "wave_height",
+    "precipitation_sum", "rain_sum", "relative_humidity_2m_mean", "dew_point_2m_mean", "surface_pressure_mean", "shortwave_radiation_sum", "visibility_mean", "visibility_min", "wind_3d_max", "precip_3d_sum",
+    "wave_height_7d_mean", "wave_height_30d_mean", "wind_speed_10m_max_lag1", "precipitation_sum_lag1", "month_sin", "month_cos", "doy_sin", "doy_cos",
+]
+CHOSEN_PAIRS = [(i, j) for i in range(len(CHOSEN) + 1) for j in range(i + 1, len(CHOSEN) + 1)]
+NAMES = [*CHOSEN, "is_risk_day"]
+# each strong pair in order of strength: the weaker correlate of the target goes unless one of the two has gone
+SELECT_SQL = (
+    "@daily|WITH RECURSIVE whole AS (SELECT * FROM daily WHERE " + " AND ".join(f"{f} IS NOT NULL" for f in CHOSEN) + "), c AS (SELECT "
+    + ", ".join(f"CASE WHEN isfinite(corr({NAMES[i]}, {NAMES[j]})) THEN corr({NAMES[i]}, {NAMES[j]}) END AS c_{i}_{j}" for i, j in CHOSEN_PAIRS) + " FROM whole), "
+    f"p AS (SELECT unnest([{', '.join(str(i) for i, _ in CHOSEN_PAIRS)}]) AS i, unnest([{', '.join(str(j) for _, j in CHOSEN_PAIRS)}]) AS j, unnest([{', '.join(f'c_{i}_{j}' for i, j in CHOSEN_PAIRS)}]) AS r FROM c), "
+    f"name AS (SELECT unnest(range({len(NAMES)})) AS i, unnest([{', '.join(repr(f) for f in NAMES)}]) AS feature), "
+    f"strength AS (SELECT n.i, feature, CASE WHEN n.i = {len(CHOSEN)} THEN 1.0::DOUBLE ELSE abs(r) END AS s FROM name n LEFT JOIN p ON p.i = n.i AND p.j = {len(CHOSEN)}), "
+    "strong AS (SELECT p.*, row_number() OVER (ORDER BY abs(r) DESC, p.i, p.j) AS k, a.feature AS fa, b.feature AS fb, coalesce(a.s, 0) AS sa, coalesce(b.s, 0) AS sb "
+    f"FROM p JOIN strength a ON a.i = p.i JOIN strength b ON b.i = p.j WHERE abs(r) > 0.85 AND p.j < {len(CHOSEN)}), "
+    "walk AS (SELECT 0::BIGINT AS k, []::VARCHAR[] AS gone, NULL::VARCHAR AS dropped, NULL::VARCHAR AS reason UNION ALL "
+    "SELECT s.k, CASE WHEN hit THEN list_append(gone, loser) ELSE gone END, CASE WHEN hit THEN loser END, "
+    "CASE WHEN hit THEN '|r|=' || printf('%.2f', abs(r)) || ' with ' || winner || '; weaker target signal (|r_target|=' || printf('%.2f', least(sa, sb)) || ' vs ' || printf('%.2f', greatest(sa, sb)) || ')' END "
+    "FROM (SELECT s.*, w.gone, NOT list_contains(gone, fa) AND NOT list_contains(gone, fb) AS hit, CASE WHEN sa >= sb THEN fb ELSE fa END AS loser, CASE WHEN sa >= sb THEN fa ELSE fb END AS winner "
+    "FROM walk w JOIN strong s ON s.k = w.k + 1) s) "
+    f"SELECT feature, CASE WHEN i = {len(CHOSEN)} THEN 'TARGET' WHEN dropped IS NOT NULL THEN 'DROP' ELSE 'KEEP' END AS decision, round(s, 3) AS corr_with_target, "
+    f"CASE WHEN i = {len(CHOSEN)} THEN 'prediction target' ELSE coalesce(reason, '') END AS reason FROM strength LEFT JOIN (SELECT dropped, reason FROM walk WHERE dropped IS NOT NULL) ON dropped = feature"
+)
+
+
+@query("t17_select_features", SELECT_SQL)
 def t17(spark, sf):
-    chosen = ["temperature_2m_max", "temperature_2m_min", "temp_range_c", "hdd", "cdd", "wind_speed_10m_max", "wind_gusts_10m_max", "wave_height", "month_sin", "doy_sin"]
-    return stats.select_features(views.daily(spark, sf), chosen, "is_risk_day")
+    return stats.select_features(views.daily(spark, sf), CHOSEN, "is_risk_day")
 
 
 @query(

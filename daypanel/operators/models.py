@@ -529,10 +529,12 @@ def prediction_intervals(
                 mass /= k + 1
                 weight = weight + (u >= cumulative).cast("double")
             drawn = base.withColumn("_draw", weight).where(F.col("_draw") > 0)
-            with kept(drawn) as rows:
+            with kept(drawn) as held:
+                n = held.count()
+                rows = held.coalesce(max(1, -(-n // ROWS_PER_TASK)))
                 weighted = balanced_weights(rows, label).withColumn("_weight", F.col("_weight") * F.col("_draw"))
                 stages = preprocess(rows, features, categorical, scale)
-                stages.append(estimator(family, rows.count(), label, **options))
+                stages.append(estimator(family, n, label, **options))
                 return Pipeline(stages=stages).fit(weighted)
 
         refitted = side_by_side([lambda i=i: refit(i) for i in range(refits)])
