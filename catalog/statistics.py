@@ -1,6 +1,6 @@
 """Hypothesis tests, correlation, collinearity and feature selection.
 
-Statistics are compared with SQL; p-values have no SQL form and stand in one rows-only query.
+Statistics are compared with SQL; p-values with tails that SQL integrates numerically.
 """
 
 from __future__ import annotations
@@ -135,7 +135,31 @@ def t10(spark, sf):
     return rounded(stats.adjust_p_values(trend_p(spark, sf)), 12, "p_bh")
 
 
-@query("t18_p_values")
+# Simpson's rule over the tail of each density: Student's t by the angle whose tangent is t over the root of its degrees of freedom,
+# the normal and the chi-square as they are. F with one and n degrees of freedom is the square of a t with n.
+TAILS_SQL = f"""@daily|WITH welch AS (SELECT city, 'welch' AS test, 't' AS kind, abs(m1 - m2) / sqrt(v1 / n1 + v2 / n2) AS x, pow(v1 / n1 + v2 / n2, 2) / (pow(v1 / n1, 2) / (n1 - 1) + pow(v2 / n2, 2) / (n2 - 1)) AS nu FROM ({MOMENTS})),
+d AS (SELECT city, season, {WIND} AS v FROM daily WHERE season IN ('Winter', 'Summer') AND {WIND} IS NOT NULL),
+g AS (SELECT city, v, count(*) AS n, count(*) FILTER (season = 'Winter') AS n1 FROM d GROUP BY city, v),
+k AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY city ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (n + 1) / 2.0::DOUBLE AS mid FROM g),
+s AS (SELECT city, CAST(sum(n1) AS DOUBLE) AS a, CAST(sum(n) - sum(n1) AS DOUBLE) AS b, sum(n1 * mid) AS r1, CAST(sum(n * n * n - n) AS DOUBLE) AS ties FROM k GROUP BY city),
+mann AS (SELECT city, 'mann_whitney', 'z', (abs(r1 - a * (a + 1) / 2 - a * b / 2) - 0.5) / sqrt(a * b / 12 * ((a + b + 1) - ties / ((a + b) * (a + b - 1)))), 0.0 FROM s),
+z AS (SELECT city, season, abs(v - median(v) OVER (PARTITION BY city, season)) AS z FROM d),
+q AS (SELECT city, season, count(*) AS n, avg(z) AS m, var_pop(z) AS v FROM z GROUP BY city, season),
+l AS (SELECT *, sum(n * m) OVER (PARTITION BY city) / sum(n) OVER (PARTITION BY city) AS grand FROM q),
+levene AS (SELECT city, 'levene', 't', sqrt(sum(n * pow(m - grand, 2)) * (sum(n) - 2) / sum(n * v)), CAST(sum(n) - 2 AS DOUBLE) FROM l GROUP BY city),
+y AS (SELECT city, year, CAST(sum(is_risk_day) AS DOUBLE) AS risk_days FROM daily GROUP BY city, year),
+trend AS (SELECT city, 'trend', 't', abs(corr(year, risk_days)) * sqrt((count(*) - 2) / (1 - pow(corr(year, risk_days), 2))), CAST(count(*) - 2 AS DOUBLE) FROM y GROUP BY city),
+c AS (SELECT city, season, count(*) AS o FROM daily GROUP BY ALL),
+f AS (SELECT coalesce(o, 0) AS o, x.t * w.t / CAST((SELECT sum(o) FROM c) AS DOUBLE) AS e, x.city, w.season FROM (SELECT city, sum(o) AS t FROM c GROUP BY city) x CROSS JOIN (SELECT season, sum(o) AS t FROM c GROUP BY season) w LEFT JOIN c ON c.city = x.city AND c.season = w.season),
+chi AS (SELECT 'all', 'chi_square', 'c', sum(pow(o - e, 2) / e), CAST((count(DISTINCT city) - 1) * (count(DISTINCT season) - 1) AS DOUBLE) FROM f),
+tests AS (SELECT * FROM welch UNION ALL SELECT * FROM mann UNION ALL SELECT * FROM levene UNION ALL SELECT * FROM trend UNION ALL SELECT * FROM chi),
+spans AS (SELECT *, CASE kind WHEN 't' THEN atan(x / sqrt(nu)) ELSE x END AS lo, CASE kind WHEN 't' THEN pi() / 2 WHEN 'z' THEN x + 12 ELSE x + 400 END AS hi,
+  CASE kind WHEN 't' THEN ln(2) + lgamma((nu + 1) / 2) - lgamma(nu / 2) - ln(pi()) / 2 WHEN 'z' THEN ln(2) - ln(2 * pi()) / 2 ELSE -nu / 2 * ln(2) - lgamma(nu / 2) END AS front FROM tests),
+steps AS (SELECT city, test, kind, nu, front, (hi - lo) / 20000 AS h, lo + i * (hi - lo) / 20000 AS u, CASE WHEN i IN (0, 20000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS w FROM spans, range(20001) AS r(i))
+SELECT city, test, round(least(sum(w * h / 3 * exp(front + CASE kind WHEN 't' THEN (nu - 1) * ln(greatest(cos(u), 1e-300)) WHEN 'z' THEN -u * u / 2 ELSE (nu / 2 - 1) * ln(u) - u / 2 END)), 1.0), 7) AS p_value FROM steps GROUP BY city, test"""
+
+
+@query("t18_p_values", TAILS_SQL)
 def t18(spark, sf):
     daily = views.daily(spark, sf)
     welch = stats.welch_test(daily, WIND, *seasons(), by=["city"]).select("city", F.lit("welch").alias("test"), "p_value")
@@ -144,7 +168,7 @@ def t18(spark, sf):
     spread = stats.levene(daily, WIND, group, ["city"]).select("city", F.lit("levene").alias("test"), "p_value")
     trend = stats.linear_trend(annual(spark, sf), "year", "risk_days", ["city"]).select("city", F.lit("trend").alias("test"), "p_value")
     chi = stats.chi_square(daily, "city", "season").select(F.lit("all").alias("city"), F.lit("chi_square").alias("test"), "p_value")
-    return welch.unionByName(ranks).unionByName(spread).unionByName(trend).unionByName(chi)
+    return rounded(welch.unionByName(ranks).unionByName(spread).unionByName(trend).unionByName(chi), 7, "p_value")
 
 
 FEATURES = ["temperature_2m_max", "temperature_2m_mean", "apparent_temperature_mean", WIND, "wind_gusts_10m_max", "precipitation_sum", "visibility_mean", "shortwave_radiation_sum"]
