@@ -6,7 +6,8 @@ Gate rows: check_name, status, severity, stage, details (map of text), message.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,22 +16,64 @@ from pyspark.sql import functions as F
 
 from daypanel.constants import REQUIRED_FEATURES, VALUE_BOUNDS, VISIBILITY_FROM, VISIBILITY_MEASURES
 from daypanel.functions.columns import count_where, numeric_columns, present, to_number
+from daypanel.session import scratch_table
 
 ABORT, WARN, FLAG = "ABORT", "WARN", "FLAG"
 EMPTY_MAP = "map<string,string>"
 
 
-def _result(df: DataFrame, name: str, severity: str, stage: str, status: Column, details: dict, message: Column) -> DataFrame:
+def _verdict(name: str, severity: str, stage: str, status: Column, details: dict, message: Column) -> list[Column]:
     pairs = [x for k, v in details.items() for x in (F.lit(k), v.cast("string"))]
     packed = F.create_map(*pairs) if pairs else F.create_map().cast(EMPTY_MAP)
-    return df.select(
-        F.lit(name).alias("check_name"),
-        status.alias("status"),
-        F.lit(severity).alias("severity"),
-        F.lit(stage).alias("stage"),
-        packed.alias("details"),
-        message.alias("message"),
-    )
+    return [
+        F.lit(name).alias("check_name"), status.alias("status"), F.lit(severity).alias("severity"), F.lit(stage).alias("stage"),
+        packed.alias("details"), message.alias("message"),
+    ]
+
+
+def _result(df: DataFrame, *verdict) -> DataFrame:
+    return df.select(*_verdict(*verdict))
+
+
+@dataclass
+class Check:
+    """What a check measures and how it judges.
+
+    ``measures``: name to an aggregate over the rows of an entity and the aggregate that combines entities. ``rows``: the columns of each
+    result row, over the combined measures. ``entity_rows``: the same over the measures of one entity. ``ordered``: the measures
+    read ``_gap`` (days to the entity's next row) or ``_copy`` (the row is the second of its day).
+    """
+
+    measures: dict[str, tuple[Column, Callable]]
+    rows: list[list[Column]] = field(default_factory=list)
+    entity_rows: list[list[Column]] = field(default_factory=list)
+    ordered: bool = False
+
+
+def run_pass(df: DataFrame, checks: Sequence[Check], entity: str = "city", date: str = "date") -> DataFrame:
+    """The result rows of all checks from one pass over the layer.
+
+    The measures of all checks are one aggregation by entity, in the layout of the one window that ordered checks need, and a second one
+    over entities; the verdicts are exploded from its row. Results by entity need the entities' measures twice, so
+    these, a row per entity, are then written.
+    """
+    rows = df
+    if any(c.ordered for c in checks):
+        along = W.partitionBy(entity).orderBy(date)
+        second = (F.lag(date, 1).over(along) == F.col(date)) & ~F.coalesce(F.lag(date, 2).over(along) == F.col(date), F.lit(False))
+        rows = rows.withColumns({"_gap": F.datediff(F.lead(date, 1).over(along), date), "_copy": F.coalesce(second, F.lit(False))})
+    measures = {n: m for c in checks for n, m in c.measures.items()}
+    each = rows.groupBy(entity).agg(*[m.alias(n) for n, (m, _) in measures.items()])
+    by_entity = [r for c in checks for r in c.entity_rows]
+    if by_entity:
+        each = scratch_table(each)
+    explode = lambda found, results: found.select(F.explode(F.array(*[F.struct(*r) for r in results])).alias("_r")).select("_r.*")
+    out = explode(each.agg(*[combine(n).alias(n) for n, (_, combine) in measures.items()]), [r for c in checks for r in c.rows])
+    return out.unionByName(explode(each, by_entity)) if by_entity else out
+
+
+def summed(name: str) -> Column:
+    return F.coalesce(F.sum(name), F.lit(0).cast("long"))
 
 
 def _text(*parts) -> Column:
@@ -54,25 +97,23 @@ def null_ratios(df: DataFrame, keys: Sequence[str] = ("city", "date")) -> DataFr
     return null_audit(df.drop(*keys))
 
 
-def check_null_ratio(df: DataFrame, max_ratio: float = 0.05, keys: Sequence[str] = ("city", "date")) -> DataFrame:
+def null_ratio(df: DataFrame, max_ratio: float = 0.05, keys: Sequence[str] = ("city", "date")) -> Check:
     columns = [c for c in df.columns if c not in keys]
-    counted = df.agg(F.count(F.lit(1)).alias("_rows"), *[count_where(F.col(c).isNull()).alias(c) for c in columns])
-    offender = [
-        F.when(
-            F.col(c) > F.col("_rows") * max_ratio,
-            _text(f"{c}=", F.round(F.col(c) * 100.0 / F.nullif(F.col("_rows"), F.lit(0)), 2)),
-        )
-        for c in columns
-    ]
-    listed = counted.select("_rows", F.array_compact(F.array(*offender)).alias("_bad"))
-    empty, ok = F.col("_rows") == 0, F.size("_bad") == 0
-    return _result(
-        listed, "null_ratio", WARN, "staging",
-        F.when(empty, "FAIL").when(ok, "PASS").otherwise("WARN"),
-        {"threshold_pct": F.lit(max_ratio * 100), "rows_checked": F.col("_rows"), "offenders": F.concat_ws(", ", "_bad")},
-        F.when(empty, _text("table is empty")).when(ok, _text("all columns within the null threshold"))
-        .otherwise(_text(F.size("_bad"), " column(s) exceed it: ", F.concat_ws(", ", "_bad"))),
+    n = F.col("null_rows")
+    offender = [F.when(F.col(f"null_{c}") > n * max_ratio, _text(f"{c}=", F.round(F.col(f"null_{c}") * 100.0 / F.nullif(n, F.lit(0)), 2))) for c in columns]
+    bad = F.array_compact(F.array(*offender)) if offender else F.array().cast("array<string>")
+    empty, ok, listed = n == 0, F.size(bad) == 0, F.concat_ws(", ", bad)
+    verdict = _verdict(
+        "null_ratio", WARN, "staging", F.when(empty, "FAIL").when(ok, "PASS").otherwise("WARN"),
+        {"threshold_pct": F.lit(max_ratio * 100), "rows_checked": n, "offenders": listed},
+        F.when(empty, _text("table is empty")).when(ok, _text("all columns within the null threshold")).otherwise(_text(F.size(bad), " column(s) exceed it: ", listed)),
     )
+    measures = {"null_rows": (F.count(F.lit(1)), summed)} | {f"null_{c}": (count_where(F.col(c).isNull()), summed) for c in columns}
+    return Check(measures, [verdict])
+
+
+def check_null_ratio(df: DataFrame, max_ratio: float = 0.05, keys: Sequence[str] = ("city", "date")) -> DataFrame:
+    return run_pass(df, [null_ratio(df, max_ratio, keys)], keys[0])
 
 
 def date_gaps(df: DataFrame, max_gap: int = 1, entity: str = "city", date: str = "date") -> DataFrame:
@@ -97,20 +138,24 @@ def gap_summary(df: DataFrame, max_gap: int = 1, entity: str = "city", date: str
     return with_gaps.unionByName(without)
 
 
-def check_date_continuity(df: DataFrame, max_gap: int = 3, entity: str = "city", date: str = "date") -> DataFrame:
-    gaps = gap_summary(df, max_gap, entity, date).agg(
-        F.coalesce(F.sum("gap_count"), F.lit(0)).alias("n"),
-        F.coalesce(F.max("max_gap"), F.lit(0)).alias("worst"),
-        count_where(F.col("gap_count") > 0).alias("entities"),
-    )
-    ok = F.col("n") == 0
-    return _result(
-        gaps, "date_continuity", WARN, "staging", F.when(ok, "PASS").otherwise("WARN"),
-        {"max_gap_allowed": F.lit(max_gap), "gaps_found": F.col("n"), "worst_gap_days": F.col("worst"),
-         "entities_with_gaps": F.col("entities")},
-        F.when(ok, _text(f"no gaps > {max_gap} days"))
-        .otherwise(_text(F.col("n"), f" gaps > {max_gap} days (worst: ", F.col("worst"), " days)")),
+def date_continuity(max_gap: int = 3) -> Check:
+    wide = F.col("_gap") > max_gap
+    measures = {
+        "gap_n": (count_where(wide), summed),
+        "gap_worst": (F.coalesce(F.max(F.when(wide, F.col("_gap"))), F.lit(0)), lambda c: F.coalesce(F.max(c), F.lit(0))),
+        "gap_entities": (F.coalesce(F.max(wide.cast("long")), F.lit(0).cast("long")), summed),
+    }
+    n, worst = F.col("gap_n"), F.col("gap_worst")
+    verdict = _verdict(
+        "date_continuity", WARN, "staging", F.when(n == 0, "PASS").otherwise("WARN"),
+        {"max_gap_allowed": F.lit(max_gap), "gaps_found": n, "worst_gap_days": worst, "entities_with_gaps": F.col("gap_entities")},
+        F.when(n == 0, _text(f"no gaps > {max_gap} days")).otherwise(_text(n, f" gaps > {max_gap} days (worst: ", worst, " days)")),
     )
+    return Check(measures, [verdict], ordered=True)
+
+
+def check_date_continuity(df: DataFrame, max_gap: int = 3, entity: str = "city", date: str = "date") -> DataFrame:
+    return run_pass(df, [date_continuity(max_gap)], entity, date)
 
 
 def out_of_range(
@@ -133,20 +178,20 @@ def out_of_range(
     )
 
 
-def check_value_ranges(df: DataFrame, bounds: dict[str, tuple[float, float]] = VALUE_BOUNDS) -> DataFrame:
-    parts = [
-        count_where((F.col(c) < bounds[c][0]) | (F.col(c) > bounds[c][1])).alias(c) for c in present(df, bounds)
-    ]
-    counted = df.agg(*parts)
-    total = reduce(lambda a, b: a + b, [F.col(c) for c in counted.columns], F.lit(0).cast("long"))
-    listed = F.concat_ws(
-        ", ", *[F.when(F.col(c) > 0, _text(f"{c}=", F.col(c))) for c in counted.columns]
-    )
-    return _result(
-        counted, "value_ranges", FLAG, "staging", F.when(total == 0, "PASS").otherwise("FLAG"),
-        {"flagged_total": total, "flagged_by_column": listed},
+def value_ranges(df: DataFrame, bounds: dict[str, tuple[float, float]] = VALUE_BOUNDS) -> Check:
+    columns = present(df, bounds)
+    measures = {f"range_{c}": (count_where((F.col(c) < bounds[c][0]) | (F.col(c) > bounds[c][1])), summed) for c in columns}
+    total = reduce(lambda a, b: a + b, [F.col(f"range_{c}") for c in columns], F.lit(0).cast("long"))
+    listed = F.concat_ws(", ", *[F.when(F.col(f"range_{c}") > 0, _text(f"{c}=", F.col(f"range_{c}"))) for c in columns])
+    verdict = _verdict(
+        "value_ranges", FLAG, "staging", F.when(total == 0, "PASS").otherwise("FLAG"), {"flagged_total": total, "flagged_by_column": listed},
         F.when(total == 0, _text("all values within bounds")).otherwise(_text(total, " out-of-range values")),
     )
+    return Check(measures or {"range_none": (F.lit(0).cast("long"), summed)}, [verdict])
+
+
+def check_value_ranges(df: DataFrame, bounds: dict[str, tuple[float, float]] = VALUE_BOUNDS, entity: str = "city") -> DataFrame:
+    return run_pass(df, [value_ranges(df, bounds)], entity)
 
 
 def check_feature_completeness(df: DataFrame, required: Sequence[str] = REQUIRED_FEATURES) -> DataFrame:
@@ -261,14 +306,14 @@ def check_predictions(
 
 
 def run_checks(stage: str, df: DataFrame, as_of: dt.date | None = None, monthly: bool = True, entities: DataFrame | None = None) -> DataFrame:
-    """All gate rows of one stage."""
+    """All gate rows of one stage; staging is read once for its three checks."""
     if stage == "raw":
         if as_of is None:
             raise ValueError("stage 'raw' needs as_of")
         fresh = check_freshness_monthly(df, as_of) if monthly else check_freshness(df, as_of)
         return check_row_count(df).unionByName(fresh)
     if stage == "staging":
-        return check_null_ratio(df).unionByName(check_date_continuity(df)).unionByName(check_value_ranges(df))
+        return run_pass(df, [null_ratio(df), date_continuity(), value_ranges(df)])
     if stage == "analytics":
         return check_feature_completeness(df)
     if stage == "predict":
@@ -371,29 +416,31 @@ def validate_layers(
     raw: DataFrame, staging: DataFrame, daily: DataFrame, monthly: DataFrame, entities: int,
     start: str, end: str, min_rows: int = 1800, max_gap: int = 1, entity: str = "city", date: str = "date",
 ) -> DataFrame:
-    """The validation battery: one row per check with status and detail."""
+    """The validation battery: one row per check with status and detail, from one pass over each layer."""
 
-    def row(df: DataFrame, name: str | Column, passed: Column, detail: Column) -> DataFrame:
+    def row(name: str | Column, passed: Column, detail: Column) -> list[Column]:
         label = name if isinstance(name, Column) else F.lit(name)
-        return df.select(label.alias("check"), F.when(passed, "PASS").otherwise("FAIL").alias("status"),
-                         detail.cast("string").alias("detail"))
-
-    one = lambda df, e: df.agg(e.alias("v"))
-    v = F.col("v")
-    n = F.count(F.lit(1))
-    checks = [row(one(t, n), f"rows in {k}", v > 0, v) for k, t in
-              {"raw": raw, "staging": staging, "daily": daily, "monthly": monthly}.items()]
-    checks.append(row(one(raw, F.count_distinct(entity)), "entity count", v == entities, v))
-    per_entity = staging.groupBy(entity).agg(n.alias("v"))
-    checks.append(row(per_entity, _text("rows of ", F.col(entity)), v >= min_rows, v))
-    checks.append(row(one(staging, F.min(date)), "range start", v <= F.lit(start).cast("date"), v))
-    checks.append(row(one(staging, F.max(date)), "range end", v >= F.lit(end).cast("date"), v))
-    copies = staging.groupBy(entity, date).agg(n.alias("_n")).agg(count_where(F.col("_n") > 1).alias("v"))
-    checks.append(row(copies, "duplicates", v == 0, v))
-    checks.append(row(date_gaps(staging, max_gap, entity, date).agg(n.alias("v")), "date gaps", v == 0, v))
-    checks.append(row(one(monthly, F.count_distinct("high_risk_month")), "both labels", v == 2, v))
-    checks.append(row(one(daily, F.sum("is_risk_day")), "risk days", v > 0, v))
-    return reduce(DataFrame.unionByName, checks)
+        return [label.alias("check"), F.when(passed, "PASS").otherwise("FAIL").alias("status"), detail.cast("string").alias("detail")]
+
+    n = F.col("n_rows")
+    counted = {"n_rows": (F.count(F.lit(1)), summed)}
+    rows_in = lambda layer: row(f"rows in {layer}", n > 0, n)
+    first, last, copies, gaps = (F.col(c) for c in ("first_day", "last_day", "n_copies", "n_gaps"))
+    # labels are 0 and 1
+    labels = F.when(F.col("low_label").isNull(), 0).when(F.col("low_label") == F.col("high_label"), 1).otherwise(2).cast("long")
+    of_raw = Check(counted | {"n_entities": (F.max(F.col(entity).isNotNull().cast("long")), summed)}, [rows_in("raw"), row("entity count", F.col("n_entities") == entities, F.col("n_entities"))])
+    of_staging = Check(
+        counted | {
+            "first_day": (F.min(date), F.min), "last_day": (F.max(date), F.max), "n_copies": (count_where(F.col("_copy")), summed),
+            "n_gaps": (count_where(F.col("_gap") > max_gap), summed),
+        },
+        [rows_in("staging"), row("range start", first <= F.lit(start).cast("date"), first), row("range end", last >= F.lit(end).cast("date"), last), row("duplicates", copies == 0, copies), row("date gaps", gaps == 0, gaps)],
+        [row(_text("rows of ", F.col(entity)), n >= min_rows, n)], ordered=True,
+    )
+    of_daily = Check(counted | {"n_risk": (F.sum("is_risk_day"), F.sum)}, [rows_in("daily"), row("risk days", F.col("n_risk") > 0, F.col("n_risk"))])
+    of_monthly = Check(counted | {"low_label": (F.min("high_risk_month"), F.min), "high_label": (F.max("high_risk_month"), F.max)}, [rows_in("monthly"), row("both labels", labels == 2, labels)])
+    layers = [(raw, of_raw), (staging, of_staging), (daily, of_daily), (monthly, of_monthly)]
+    return reduce(DataFrame.unionByName, [run_pass(df, [check], entity, date) for df, check in layers])
 
 
 def jumps(df: DataFrame, column: str, sigmas: float = 5.0, entity: str = "city", date: str = "date") -> DataFrame:

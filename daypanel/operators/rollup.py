@@ -208,12 +208,10 @@ def null_audit(df: DataFrame, columns: Sequence[str] | None = None, group: Seque
 
 
 def shares(df: DataFrame, label: str, output: str = "n", decimals: int = 1) -> DataFrame:
-    """Rows per label value with their percentage of all rows."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return df.groupBy(label).agg(
-        F.count(F.lit(1)).alias(output),
-        stable_round(F.count(F.lit(1)) * 100.0 / F.any_value(total), decimals).alias("pct"),
-    )
+    """Rows per label value with their percentage of all rows, from one scan: the total is summed over the counts, a row per label."""
+    counted = df.groupBy(label).agg(F.count(F.lit(1)).alias(output))
+    share = F.col(output) * 100.0 / F.sum(output).over(W.partitionBy())
+    return counted.withColumn("pct", stable_round(share, decimals))
 
 
 def describe_with_shape(df: DataFrame, variables: Sequence[str], entity: str = "city") -> DataFrame:
