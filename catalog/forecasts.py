@@ -85,14 +85,11 @@ def j6(spark, sf):
     return out.withColumn("climatology_rate", F.round("climatology_rate", 9))
 
 
-@views.planned
 def daily_table(spark, sf):
     daily = views.daily(spark, sf)
     model = future(spark, sf).withColumn("model_probability", F.col("wind_speed_10m_max") / 100)
-    entities = daily.select("city").distinct()
-    return fc.daily_forecast(
-        entities, START, model, timeseries.climatology(daily), timeseries.global_rate(daily), None, fc.offshore_climatology(daily)
-    )
+    state = fc.day_of_year_state(daily)
+    return fc.daily_forecast(state.entities(), START, model, state.rates(), state.global_rate(), None, state.sea_climate())
 
 
 block(

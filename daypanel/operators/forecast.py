@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +14,8 @@ from daypanel.functions.calendar import rolling_dates
 from daypanel.functions.columns import clip, stable_round, with_null_columns
 from daypanel.functions.hazard import add_sea_risk, calibrated_probability, combined_probability, risk_reason, sea_risk
 from daypanel.operators.features import engineer_all_features
-from daypanel.operators.timeseries import climatology_lookup
+from daypanel.operators.timeseries import climatology_lookup, smooth_rates
+from daypanel.session import scratch_table
 
 
 def forecast_features(
@@ -55,6 +57,39 @@ def offshore_climatology(
     )
 
 
+@dataclass
+class DayOfYearState:
+    """What the forecast table needs of the past: a written row per (entity, day of year), from one aggregation over the daily layer."""
+
+    days: DataFrame
+    entity: str = "city"
+
+    def entities(self) -> DataFrame:
+        return self.days.select(self.entity).distinct()
+
+    def rates(self, half_window: int = 7) -> DataFrame:
+        raw = self.days.select(self.entity, "day_of_year", F.try_divide(F.col("label_sum"), F.col("label_n")).alias("_raw"))
+        return smooth_rates(raw, half_window, self.entity)
+
+    def global_rate(self) -> Column:
+        return self.days.agg(F.try_divide(F.sum("label_sum"), F.sum("label_n"))).scalar()
+
+    def sea_climate(self) -> DataFrame:
+        return self.days.where("wave_n > 0").select(self.entity, "day_of_year", "offshore_sea_probability", "offshore_wave_height_m")
+
+
+def day_of_year_state(daily: DataFrame, label: str = "is_risk_day", entity: str = "city", date: str = "date") -> DayOfYearState:
+    """Reads the layer once. Its rates, overall rate, sea climate and entities equal those of the functions that read the layer itself."""
+    rows = daily.select(entity, date, F.col(label).cast("double").alias("_label"), "wave_height")
+    sea = sea_risk(rows.drop("_label"))["offshore_sea_probability"]
+    known = F.col("wave_height").isNotNull()
+    days = rows.withColumn("_sea", F.when(known, sea)).groupBy(entity, F.dayofyear(date).alias("day_of_year")).agg(
+        F.sum("_label").alias("label_sum"), F.count("_label").alias("label_n"), F.count("wave_height").alias("wave_n"),
+        stable_round(F.avg("_sea"), 4).alias("offshore_sea_probability"), stable_round(F.avg("wave_height"), 2).alias("offshore_wave_height_m"),
+    )
+    return DayOfYearState(scratch_table(days), entity)
+
+
 def scaffold(entities: DataFrame, start: dt.date, days_ahead: int = 30, entity: str = "city") -> DataFrame:
     """Every entity with every day of the window; a generator, not a join."""
     return entities.select(entity).distinct().withColumn("date", rolling_dates(F.lit(start), days_ahead))

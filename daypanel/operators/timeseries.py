@@ -135,6 +135,11 @@ def climatology(
     366 + 2 * half_window rows and no self-join.
     """
     rates = df.groupBy(entity, F.dayofyear(date).alias("day_of_year")).agg(F.avg(label).alias("_raw"))
+    return smooth_rates(rates, half_window, entity)
+
+
+def smooth_rates(rates: DataFrame, half_window: int = 7, entity: str = "city") -> DataFrame:
+    """The climatology of given rates: ``entity``, ``day_of_year``, ``_raw``."""
     slots = rates.select(entity).distinct().select(
         entity, F.explode(F.sequence(F.lit(1), F.lit(366))).alias("day_of_year")
     )

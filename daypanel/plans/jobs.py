@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from daypanel.constants import HISTORY_START
 from daypanel.operators import models, quality
 from daypanel.operators.clean import caps_table
-from daypanel.operators.forecast import daily_forecast, forecast_features, offshore_climatology, offshore_rows, summarise_window
+from daypanel.operators.forecast import daily_forecast, day_of_year_state, forecast_features, offshore_rows, summarise_window
 from daypanel.operators.rollup import latest_dates, monthly_summary
-from daypanel.operators.timeseries import climatology, global_rate
 from daypanel.plans.increments import changed_features
 from daypanel.plans.layers import analytics_daily, clean_to_staging, preset_layers
 from daypanel.session import scratch_table
@@ -139,17 +138,18 @@ def run_job(
         counts["rows_analytics"] = daily.count()
         gate("analytics", daily)
         if train:
-            rates = store(climatology(daily), "climatology")
+            past = day_of_year_state(daily)
+            rates = store(past.rates(), "climatology")
             selection = models.train_and_select(daily, features, candidates, options=options)
             if predict:
                 scored = None
                 if forecast is not None:
                     future = forecast_features(staging, forecast, fetch, selection.features, lookback_days)
                     scored = models.score_with(selection.model, future, "model_probability")
-                entities = daily.select("city").distinct()
+                entities = past.entities()
                 live = offshore_rows(marine) if marine is not None else None
                 predictions = store(
-                    daily_forecast(entities, day, scored, rates, global_rate(daily), live, offshore_climatology(daily), threshold=selection.threshold),
+                    daily_forecast(entities, day, scored, rates, past.global_rate(), live, past.sea_climate(), threshold=selection.threshold),
                     "predictions",
                 )
                 summary = summarise_window(predictions)

@@ -52,3 +52,17 @@ def test_validation_of_layers(spark, tmp_path):
     }
     none = {r.check: r.status for r in quality.validate_layers(df.limit(0), df.limit(0), df, df, 3, "2024-01-02", "2024-01-11").collect()}
     assert none["rows in raw"] == "FAIL" and none["range start"] == "FAIL" and none["duplicates"] == "PASS"
+
+
+def test_forecast_state_equals_what_reads_the_layer(spark, sf):
+    from catalog import views
+    from daypanel.operators import forecast, timeseries
+
+    daily = views.daily(spark, sf)
+    state = forecast.day_of_year_state(daily)
+    rows = lambda df: {tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.select(*sorted(df.columns)).collect()}
+    assert rows(state.rates()) == rows(timeseries.climatology(daily))
+    assert rows(state.sea_climate()) == rows(forecast.offshore_climatology(daily))
+    assert rows(state.entities()) == rows(daily.select("city").distinct())
+    one = spark.range(1).select(state.global_rate().alias("a"), timeseries.global_rate(daily).alias("b")).first()
+    assert abs(one.a - one.b) < 1e-12
