@@ -158,7 +158,7 @@ def build(docs: DataFrame, shown: Column | None = None) -> Manifest:
     same = F.col("_shown").eqNullSafe(F.col("text"))
     digest, other = leaf(*map(F.col, FIELDS)), leaf(*map(F.col, FIELDS[:-1]), F.col("_shown"))
     hashed = fields.select("doc_id", "source", digest.alias("digest"), F.when(~same, other).alias("_other"), F.monotonically_increasing_id().alias("_tie"))
-    placed = range_places(cut(hashed), [F.col("doc_id").asc_nulls_first(), "digest", "_other", "_tie"], ["source"])
+    placed = range_places(cut(hashed), [F.col("doc_id").asc_nulls_first(), F.substring("digest", 1, 12), "_tie"], ["source"])
     placed = cut(placed.select("doc_id", "source", F.coalesce("_other", "digest").alias("shown"), "digest", "place", "group_rows"))
     sources = cut(range_places(placed.select("source").distinct(), [F.col("source").asc_nulls_first()]).select(F.col("source").alias("name"), F.col("place").alias("tree"), F.col("group_rows").alias("n_trees")))
     leaves = cut(placed.join(sources.drop("n_trees"), F.col("source").eqNullSafe(F.col("name"))).drop("name"))

@@ -129,7 +129,7 @@ def test_passages_in_differing_surroundings(spark, n, words_each, joint):
 
 def test_lines_edge_rows(documents, empty):
     rows = dedup_lines(documents)
-    assert rows.columns == ["doc_id", "text", "source", "node", "n", "count", "n_removed", "chars_removed"]
+    assert rows.columns == ["doc_id", "text", "source", "node", "n", "key", "count", "n_removed", "chars_removed"]
     assert rows.count() == documents.count() and dedup_lines(empty).count() == 0
     assert {r.doc_id for r in rows.where("n_removed > 0").collect()} == {2}
 
