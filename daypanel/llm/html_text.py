@@ -29,7 +29,8 @@ CHROME_WORDS = frozenset(
 )
 MAIN_TAGS = frozenset(("article", "main"))
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)", re.S)
+_SPECIAL = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"(?:^|[\s\"'])(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 #: One attribute: its name and, where it has one, its value.
 _NAMED = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
@@ -74,6 +75,35 @@ def _hidden(attributes: str) -> bool:
     return False
 
 
+class _TagEnds:
+    """Ends of tags of a page. A quote that leads to one that never closes is remembered, so a page is read once however many tags stay open."""
+
+    def __init__(self, page: str):
+        self.page, self.dead = page, set()
+        self.last = {q: page.rfind(q) for q in "\"'"}
+        self.seen = (0, -1)  # nothing special lies between the two
+
+    def special(self, at: int) -> int:
+        """The next quote or end of a tag from ``at``; the page's length if there is none."""
+        start, found = self.seen
+        if not start <= at <= found:
+            m = _SPECIAL.search(self.page, at)
+            self.seen = start, found = at, m.start() if m else len(self.page)
+        return found
+
+    def end(self, at: int) -> int | None:
+        """Where the attributes from ``at`` end, None if one of their quotes never closes."""
+        quotes = []
+        at = self.special(at)
+        while at < len(self.page) and self.page[at] != ">":
+            quotes.append(at)
+            if at in self.dead or at == self.last[self.page[at]]:
+                self.dead.update(quotes)
+                return None
+            at = self.special(self.page.index(self.page[at], at + 1) + 1)
+        return at
+
+
 def blocks_of(page: str | None) -> list[tuple[str, int, int, int, int, int]]:
     """Flat text blocks in page order: text, words, words in links, whether outside the article, inside one, a heading.
 
@@ -124,15 +154,20 @@ def blocks_of(page: str | None) -> list[tuple[str, int, int, int, int, int]]:
         return tag
 
     page = page or ""
-    at = 0
-    while (m := _TOKEN.search(page, at)) is not None:
+    at = look = 0
+    ends = _TagEnds(page)
+    while (m := _TOKEN.search(page, look)) is not None:
+        look = m.end()
+        end = look if m[2] is None else ends.end(look)
+        if end is None:
+            continue
         take(page[at : m.start()])
-        at = m.end()
+        at = look = end if m[2] is None else min(end + 1, len(page))
         if m[2] is None:
             if m[0].startswith("<![CDATA["):
                 take(html.escape(m[0][9:].removesuffix("]]>")))
             continue
-        tag, attributes = m[2].lower(), m[3]
+        tag, attributes = m[2].lower(), page[m.end() : end]
         if tag in BLOCK_TAGS:
             flush()
         if m[1]:
@@ -142,8 +177,8 @@ def blocks_of(page: str | None) -> list[tuple[str, int, int, int, int, int]]:
             continue
         if tag in _RAW_END:
             if not attributes.rstrip().endswith("/"):
-                end = _RAW_END[tag].search(page, at)
-                at = end.end() if end else len(page)
+                raw_end = _RAW_END[tag].search(page, at)
+                at = look = raw_end.end() if raw_end else len(page)
             continue
         if tag in VOID_TAGS or attributes.rstrip().endswith("/"):
             continue

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -280,3 +281,12 @@ def test_mix(spark, documents, empty):
 def test_shingles_are_the_words():
     assert len(shingles("a b c d e f")) == 2 and len(shingles("A b\x85 c")) == 1 and not len(shingles(" \x0b"))
     assert (shingles("ONE two three four Five") == shingles("one TWO three four five")).all() and (shingles("É") != shingles("é")).all()
+
+
+def test_megabytes_of_open_tags_are_read_once():
+    began = time.monotonic()
+    for page in ("<b " * 350_000 + '"', "<b \"'" * 200_000 + "'", "<b '<b \"" * 130_000, "<p " * 350_000):
+        blocks_of(page)
+    assert time.monotonic() - began < 10
+    assert [b[0] for b in blocks_of("<p>one <b 'two</p><p title='>'>three")] == ["one '>three"]
+    assert [b[0] for b in blocks_of("<p>one <b \"two</p><p title='>'>three</p>")] == ['one <b "two', "three"]
