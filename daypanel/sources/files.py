@@ -2,40 +2,76 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daypanel.constants import VISIBILITY_MEASURES
-from daypanel.functions.columns import nan_to_null, to_number
+from daypanel.functions.columns import nan_to_null, small_table, to_number
 from daypanel.operators.clean import latest_by_key, upsert
 from daypanel.operators.rollup import hours_to_days
+from daypanel.session import scratch_table
 from daypanel.sources.schemas import FORECAST, VISIBILITY_DAILY, WEATHER_DAILY
 
 
+#: Files whose headers are sent to every task; beyond it lines and headers are shuffled by file.
+BROADCAST_FILES = 100_000
+
+
+def header_names(header: str) -> list[str]:
+    """Column names of a header line; empty names and repeats get their position, as Spark's own reader does it."""
+    cells = next(csv.reader([header.removeprefix("\ufeff")]), [])
+    folded = [c.casefold() for c in cells]
+    return [f"_c{k}" if not c else f"{c}{k}" if folded.count(c.casefold()) > 1 else c for k, c in enumerate(cells)]
+
+
 def read_csv(spark: SparkSession, path: str | Sequence[str], pattern: str | None = None) -> DataFrame:
     """Header CSV as text columns, each file read by its own header; types follow by ``conform``.
 
-    Files of one pattern may differ in columns, so they are grouped by header first: only the
-    first line of each file is looked at for that.
+    The files are scanned once: their lines are written to the scratch folder with the file and place that each came from. The header
+    of a file is its first line, found by an aggregation and joined back to the file's other lines, which are cut into
+    cells and mapped to columns by position. Only the distinct headers reach the driver, never paths, so their number
+    follows the layouts, not the files. Names that differ in case alone are one column. Blank lines are
+    skipped, missing cells are null, and cells beyond the header are dropped. ``_file`` is the path of the file; a value may not hold a line break.
     """
     reader = spark.read.option("pathGlobFilter", pattern) if pattern else spark.read
-    lines = reader.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
-    numbered = lines.where(F.col("file_block_start") == 0).withColumn("_n", F.monotonically_increasing_id())
-    first_line = numbered.groupBy("file_path").agg(F.min_by("value", "_n").alias("header"))
-    groups = first_line.groupBy("header").agg(F.collect_list("file_path").alias("files")).collect()
-    parts = [
-        spark.read.option("header", True).csv(sorted(g["files"])).withColumn("_file", F.col("_metadata.file_path"))
-        for g in groups
-    ]
-    if not parts:
+    lines = reader.text(path if isinstance(path, str) else list(path))
+    lines = scratch_table(
+        lines.select("value", F.col("_metadata.file_path").alias("_file"), (F.col("_metadata.file_block_start") == 0).alias("_top"), F.monotonically_increasing_id().alias("_n"))
+        .where(F.trim("value") != "")
+    )
+    # lines of a block keep their order in _n; blocks of a file may lie anywhere
+    first = scratch_table(lines.where("_top").groupBy("_file").agg(F.min(F.struct("_n", "value")).alias("first")).select("_file", "first._n", "first.value"))
+    headers = sorted(r["value"] for r in first.select("value").distinct().collect())
+    if not headers:
         raise FileNotFoundError(f"no files for {path} {pattern or ''}")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
-    return out
+    layouts = [header_names(h) for h in headers]
+    width = max(map(len, layouts))
+    # column -> per layout the place of its cell, none where the layout lacks it
+    places: dict[str, list[int | None]] = {}
+    spelled: dict[str, str] = {}
+    for k, names in enumerate(layouts):
+        for place, name in enumerate(names):
+            spelled.setdefault(name.casefold(), name)
+            places.setdefault(name.casefold(), [None] * len(layouts))[k] = place
+    numbered = small_table(spark, list(zip(headers, range(len(headers)))), "value string, _layout int")
+    files = first.join(numbered, "value").select("_file", F.col("_n").alias("_first"), "_layout")
+    if first.count() <= BROADCAST_FILES:
+        files = F.broadcast(files)
+    cells = F.from_csv("value", ", ".join(f"c{k} string" for k in range(width)))
+    rows = lines.join(files, "_file").where("_n <> _first").select("_file", "_layout", cells.alias("cells"))
+    rows = rows.select("_file", "_layout", F.array(*(F.col(f"cells.c{k}") for k in range(width))).alias("cells"))
+    return rows.select(*(_cell(at).alias(spelled[name]) for name, at in places.items()), "_file")
+
+
+def _cell(at: list[int | None]) -> Column:
+    """The cell of a column: ``at`` has its place in each layout."""
+    if len(set(at)) == 1:
+        return F.get("cells", F.lit(at[0]))
+    return F.get("cells", F.get(F.array(*(F.lit(k).cast("int") for k in at)), F.col("_layout")))
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -46,6 +46,50 @@ def test_csv_by_pattern(spark, raw):
     assert report["a_historical_1.csv"] == 2
 
 
+def test_csv_cells_by_header(spark, tmp_path):
+    write(tmp_path / "a.csv", '\ufeffcity,date,"wind, max",\n\na,2024-01-01,"1,5",x\n  \na,2024-01-02\n')
+    write(tmp_path / "b.csv", "Date,CITY,extra,extra\r\n2024-01-03,b,1,2,3\r\n")
+    write(tmp_path / "c.csv", "city,date\n")
+    write(tmp_path / "d.csv", "")
+    rows = files.read_csv(spark, str(tmp_path), "*.csv")
+    assert {c.casefold() for c in rows.columns} == {"city", "date", "wind, max", "_c3", "extra2", "extra3", "_file"}
+    got = {r["date"]: r for r in rows.toDF(*(c.casefold() for c in rows.columns)).collect()}
+    assert set(got) == {"2024-01-01", "2024-01-02", "2024-01-03"}
+    assert (got["2024-01-01"]["wind, max"], got["2024-01-01"]["_c3"], got["2024-01-01"]["extra2"]) == ("1,5", "x", None)
+    assert (got["2024-01-02"]["city"], got["2024-01-02"]["wind, max"]) == ("a", None)
+    assert (got["2024-01-03"]["city"], got["2024-01-03"]["extra2"], got["2024-01-03"]["extra3"]) == ("b", "1", "2")
+    assert got["2024-01-03"]["_file"].endswith("/b.csv")
+    with pytest.raises(FileNotFoundError):
+        files.read_csv(spark, str(tmp_path), "*.tsv")
+
+
+def test_csv_of_many_files_is_scanned_once(spark, tmp_path, monkeypatch):
+    for k in range(1500):
+        write(tmp_path / f"f{k}.csv", f"city,date,m{k % 3}\nc{k},2024-01-01,{k}\nc{k},2024-01-02,{k + 1}\n")
+    written = []
+    monkeypatch.setattr(files, "scratch_table", lambda df, table=files.scratch_table: written.append(plan(df)) or table(df))
+    rows = files.read_csv(spark, str(tmp_path), "f*.csv")
+    assert [p.count("FileScan text") for p in written] == [1, 0] and "FileScan text" not in plan(rows)
+    assert len(plan(rows)) < 20_000  # follows the layouts, not the files
+    assert rows.selectExpr("count(*)", "count(distinct city)", "sum(m0)", "count(m1)").first()[:] == (3000, 1500, float(sum(2 * k + 1 for k in range(0, 1500, 3))), 1000)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_csv_larger_than_a_block(spark, tmp_path):
+    write(tmp_path / "big.csv", "city,n\n" + "".join(f"c{k % 7},{k}\n" for k in range(60_000)))
+    write(tmp_path / "small.csv", "n,city\n60000,c\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        rows = files.read_csv(spark, str(tmp_path))
+        assert rows.selectExpr("count(*)", "sum(cast(n as bigint))", "count(distinct city)").first()[:] == (60_001, 60_000 * 60_001 // 2, 8)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_combined_file_counts_when_alone(spark, tmp_path):
     write(tmp_path / "all_cities_historical_1.csv", "city,date,wind_speed_10m_max\nz,2024-01-01,99\n")
     assert files.load_weather(spark, str(tmp_path)).first()["city"] == "z"
