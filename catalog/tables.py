@@ -1,17 +1,22 @@
 """Sources and sinks that can be asked of the given tables.
 
-File formats, ledgers and layer tables need files of their own and are covered by the tests.
+Files and ledgers are written from the views to the scratch folder first; layer tables are covered by the tests.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from catalog import views
+from catalog.gates import RANGE_SQL, TIGHT
 from catalog.registry import big, query
 from daypanel.constants import WEATHER_MEASURES
 from daypanel.operators import clean
+from daypanel.session import scratch_path
 from daypanel.sources import files, ledgers, payload, tables
+from daypanel.sources.schemas import QUALITY_FLAGS, WEATHER_DAILY
 
 S1_COLUMNS = ["temperature_2m_max", "wind_speed_10m_max", "precipitation_sum"]
 
@@ -121,3 +126,62 @@ def s21(spark, sf):
 def s24(spark, sf):
     report = files.file_report(spark, [f"{sf}/lineitem.parquet", f"{sf}/orders.parquet"], "parquet")
     return report.select("file_name", "rows")
+
+
+@query(
+    "s4_csv_layouts",
+    "@weather|SELECT city, date, temperature_2m_max, wind_speed_10m_max, CASE WHEN year(date) % 2 = 0 THEN precipitation_sum END AS precipitation_sum FROM weather",
+)
+def s4(spark, sf):
+    """Days written as CSV in two layouts, which differ in columns and their order, and read back by header."""
+    rows, path = views.weather(spark, sf), scratch_path(spark)
+    even = F.pmod(F.year("date"), F.lit(2)) == 0
+    rows.where(even).select("city", "date", "temperature_2m_max", "wind_speed_10m_max", "precipitation_sum").write.option("header", True).csv(path)
+    rows.where(~even).select("wind_speed_10m_max", "date", F.lit("x, y").alias("unlisted"), "city", "temperature_2m_max").write.option("header", True).mode("append").csv(path)
+    read = files.conform(files.read_csv(spark, path, "*.csv"), WEATHER_DAILY)
+    return read.select("city", "date", "temperature_2m_max", "wind_speed_10m_max", "precipitation_sum")
+
+
+@query(
+    "s18_run_ledger",
+    "@weather|SELECT strftime(date, '%Y-%m') AS run_id, CASE WHEN max(wind_speed_10m_max) > 50 THEN 'success' ELSE 'failed' END AS status, count(*) AS rows_ingested, "
+    "CASE WHEN max(wind_speed_10m_max) > 50 THEN 0 ELSE 2000 END AS error_chars, CAST(0 AS BIGINT) AS warnings_count FROM weather GROUP BY 1",
+)
+def s18(spark, sf):
+    """One run per month, recorded as failed first; runs of windy months are repeated with success, which replaces the record."""
+    months = views.weather(spark, sf).groupBy(F.date_format("date", "yyyy-MM").alias("run_id")).agg(
+        F.count("*").alias("rows_ingested"), F.max("wind_speed_10m_max").alias("wind"), F.min("date").cast("timestamp").alias("start_time")
+    )
+    path = scratch_path(spark)
+    failed = months.withColumns({"status": F.lit("failed"), "end_time": F.col("start_time"), "errors": F.repeat(F.col("run_id"), F.lit(400))})
+    done = months.where("wind > 50").withColumns({"status": F.lit("success"), "end_time": F.expr("start_time + interval 1 hour")})
+    for rows in (failed, done):
+        ledgers.record_run(ledgers.run_rows(rows), path)
+    return ledgers.runs(spark, path).select("run_id", "status", "rows_ingested", F.length("errors").alias("error_chars"), "warnings_count")
+
+
+@query("s19_flag_sink", f"@weather|SELECT city, date, column_name, value, reason, TIMESTAMP '2024-01-01 00:00:00' AS flagged_at FROM ({RANGE_SQL}) UNION ALL SELECT city, date, column_name, value, reason, TIMESTAMP '2024-01-02 00:00:00' FROM ({RANGE_SQL})")
+def s19(spark, sf):
+    """Two appends to the flag table, read back."""
+    path = scratch_path(spark)
+    for day in (1, 2):
+        ledgers.record_flags(views.weather(spark, sf), path, dt.datetime(2024, 1, day), TIGHT)
+    return ledgers.read_ledger(spark, path, QUALITY_FLAGS).withColumn("flagged_at", F.col("flagged_at").cast("timestamp_ntz"))
+
+
+@query(
+    "s22_schema_listing",
+    "SELECT CAST(row_number() OVER () AS INTEGER) AS position, column_name, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS data_type FROM (DESCRIBE lineitem)",
+)
+def s22(spark, sf):
+    return tables.schema_listing(spark.read.parquet(f"{sf}/lineitem.parquet"))
+
+
+@query(
+    "s23_schema_difference",
+    "SELECT column_name, 'left' AS only_in FROM (DESCRIBE documents) WHERE column_name NOT IN (SELECT column_name FROM (DESCRIBE pages)) "
+    "UNION ALL SELECT column_name, 'right' FROM (DESCRIBE pages) WHERE column_name NOT IN (SELECT column_name FROM (DESCRIBE documents))",
+)
+def s23(spark, sf):
+    left, right = (spark.read.parquet(f"{sf}/{name}.parquet") for name in ("documents", "pages"))
+    return tables.schema_difference(left, right)

@@ -46,6 +46,14 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return target
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared checkpoint folder; only a local session may fall back to a temporary folder."""
+    local = spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster")
+    unset = not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined()
+    fallback = tempfile.mkdtemp(prefix="checkpoints-") if unset and local else None
+    return f"{ensure_checkpoint_dir(spark, fallback).rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def scratch_table(df: DataFrame) -> DataFrame:
     """The rows of ``df``, written once to the shared checkpoint folder and read from there.
 
@@ -53,10 +61,6 @@ def scratch_table(df: DataFrame) -> DataFrame:
     compute twice. The folder is scratch: its owner clears it after a job. A local session may
     fall back to a temporary folder; a cluster must name one that every executor can reach.
     """
-    spark = df.sparkSession
-    local = spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster")
-    unset = not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined()
-    fallback = tempfile.mkdtemp(prefix="checkpoints-") if unset and local else None
-    path = f"{ensure_checkpoint_dir(spark, fallback).rstrip('/')}/{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daypanel.constants import VALUE_BOUNDS
 from daypanel.operators.clean import latest_by_key
 from daypanel.operators.quality import out_of_range
 from daypanel.sources.schemas import FETCH_LOG, QUALITY_FLAGS, RUNS
@@ -44,12 +45,20 @@ def pending(requested: DataFrame, ledger: DataFrame) -> DataFrame:
     return requested.join(ledger.select(*FETCH_KEYS), FETCH_KEYS, "left_anti")
 
 
+RUN_DEFAULTS = {"rows_ingested": 0, "rows_cleaned": 0, "rows_analytics": 0, "predictions_for": "", "errors": "", "warnings_count": 0}
+
+
+def run_rows(df: DataFrame) -> DataFrame:
+    """Ledger rows from a frame of run values: absent columns by default or null, error text cut to its first 2,000 characters."""
+    value = lambda name: F.col(name) if name in df.columns else F.lit(RUN_DEFAULTS.get(name))
+    typed = df.select(*(value(f.name).cast(f.dataType).alias(f.name) for f in RUNS.fields))
+    return typed.withColumn("errors", F.substring("errors", 1, 2000))
+
+
 def run_row(spark: SparkSession, **values) -> DataFrame:
-    """One ledger row; error text keeps its first 2,000 characters."""
-    defaults = {"rows_ingested": 0, "rows_cleaned": 0, "rows_analytics": 0, "predictions_for": "", "errors": "", "warnings_count": 0}
-    filled = {**defaults, **values}
-    row = spark.createDataFrame([tuple(filled.get(n) for n in RUNS.fieldNames())], RUNS)
-    return row.withColumn("errors", F.substring("errors", 1, 2000))
+    """One ledger row."""
+    filled = {**RUN_DEFAULTS, **values}
+    return run_rows(spark.createDataFrame([tuple(filled.get(n) for n in RUNS.fieldNames())], RUNS))
 
 
 def record_run(row: DataFrame, path: str) -> None:
@@ -65,13 +74,13 @@ def latest_runs(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
     return runs(spark, path).orderBy(F.col("start_time").desc(), "run_id").limit(n)
 
 
-def flag_rows(df: DataFrame, flagged_at: dt.datetime) -> DataFrame:
+def flag_rows(df: DataFrame, flagged_at: dt.datetime, bounds: dict[str, tuple[float, float]] = VALUE_BOUNDS) -> DataFrame:
     """Out-of-range values in the shape of the flag table."""
-    return out_of_range(df).withColumn("flagged_at", F.lit(flagged_at)).select(*QUALITY_FLAGS.fieldNames())
+    return out_of_range(df, bounds).withColumn("flagged_at", F.lit(flagged_at)).select(*QUALITY_FLAGS.fieldNames())
 
 
-def record_flags(df: DataFrame, path: str, flagged_at: dt.datetime) -> None:
-    flag_rows(df, flagged_at).write.mode("append").parquet(path)
+def record_flags(df: DataFrame, path: str, flagged_at: dt.datetime, bounds: dict[str, tuple[float, float]] = VALUE_BOUNDS) -> None:
+    flag_rows(df, flagged_at, bounds).write.mode("append").parquet(path)
 
 
 def flag_summary(flags: DataFrame, n: int | None = None) -> DataFrame:
