@@ -46,16 +46,30 @@ KNOWN_PREFIX = r"^(AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abprs]-|sk_li
 TREES, DEPTH, SEED = 40, 10, 5
 
 
-def _matches(w: Column, pattern: str) -> Column:
-    """The matches of a pattern in a word with what stands before and after each, ``BESIDE`` characters at most."""
-    found, between = F.regexp_extract_all(w, F.lit(pattern), F.lit(0)), F.split(w, pattern, -1)
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, whatever the number of its uses."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-    def row(core: Column, k: Column) -> Column:
-        lead = F.right(F.concat(F.coalesce(F.get(found, k - 1), F.lit("")), F.get(between, k)), F.lit(BESIDE))
-        tail = F.left(F.concat(F.get(between, k + 1), F.coalesce(F.get(found, k + 1), F.lit(""))), F.lit(BESIDE))
-        return F.struct(core.alias("core"), lead.alias("lead"), tail.alias("tail"))
 
-    return F.transform(found, row)
+def _matches(w: Column, pattern: str, rank: int) -> Column:
+    """The matches of a pattern in a word, with their rank and place and with what stands before and after each, ``BESIDE`` characters at most."""
+
+    def rows(x: Column) -> Column:
+        found, between = x["found"], x["between"]
+
+        def row(core: Column, k: Column) -> Column:
+            lead = F.right(F.concat(F.coalesce(F.get(found, k - 1), F.lit("")), F.get(between, k)), F.lit(BESIDE))
+            tail = F.left(F.concat(F.get(between, k + 1), F.coalesce(F.get(found, k + 1), F.lit(""))), F.lit(BESIDE))
+            return F.struct(core.alias("core"), F.lit(rank).alias("rank"), k.alias("k"), lead.alias("lead"), tail.alias("tail"))
+
+        return F.transform(found, row)
+
+    return _bound(F.struct(F.regexp_extract_all(w, F.lit(pattern), F.lit(0)).alias("found"), F.split(w, pattern, -1).alias("between")), rows)
+
+
+def _once(matches: Column) -> Column:
+    """All matches of rank 0, and of the others each text once and only where no rank 0 has it: sorted by text, a repeat follows its equal."""
+    return _bound(F.array_sort(matches), lambda rows: F.filter(rows, lambda m, k: (m["rank"] == 0) | (k == 0) | (m["core"] != F.get(rows, k - 1)["core"])))
 
 
 def candidates(docs: DataFrame, path: str) -> DataFrame:
@@ -72,14 +86,9 @@ def candidates(docs: DataFrame, path: str) -> DataFrame:
 
     found = rows.select("doc_id", "path", F.explode(F.filter(F.transform("words", row), lambda x: x.isNotNull())).alias("x"))
     w = F.col("x.word")
-    found = found.withColumns({
-        "runs": _matches(w, RUN),
-        "more": F.concat(*(_matches(w, p) for p in (PREFIXED, QUOTED_VALUE, VALUE, LOGIN)), F.when(F.col("x.before").rlike(AFTER_NAME), _matches(w, ALONE)).otherwise(F.expr("array()"))),
-    })
-    # each text of a word once; runs in front
-    known = F.transform("runs", lambda r: r["core"])
-    more = F.filter("more", lambda m, k: ~F.array_contains(known, m["core"]) & (F.array_position(F.transform("more", lambda r: r["core"]), m["core"]) == k + 1))
-    found = found.select("doc_id", "path", "x.word_no", "x.before", "x.after", F.explode(F.concat("runs", more)).alias("y"))
+    every = [_matches(w, p, k) for k, p in enumerate((RUN, PREFIXED, QUOTED_VALUE, VALUE, LOGIN))]
+    alone = F.when(F.col("x.before").rlike(AFTER_NAME), _matches(w, ALONE, len(every))).otherwise(F.expr("array()"))
+    found = found.select("doc_id", "path", "x.word_no", "x.before", "x.after", F.explode(_once(F.concat(*every, alone))).alias("y"))
     word, after = F.concat("y.lead", "y.core", "y.tail"), F.concat_ws(" ", "y.tail", "after")
     return found.select("doc_id", "word_no", "y.core", word.alias("word"), "before", after.alias("after"), "path")
 

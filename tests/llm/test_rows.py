@@ -158,6 +158,23 @@ def test_secret_words_are_whole(spark, forest):
     assert [(r.doc_id, r.word_no, r.is_secret) for r in got] == [(None, 30_000, True)] * 2
 
 
+@pytest.mark.parametrize("piece", ['{"api_key":"b7db7aa4a5fcc78305%05d","n":1},', "k%05dA1b2C3d4e5F6", "u://n:p4ss!w0rd#%05d@h/"])
+def test_secret_scan_of_a_long_word(spark, forest, piece):
+    import time
+
+    times = 1_000_000 // len(piece % 0)
+    docs = spark.createDataFrame([(1, "".join(piece % k for k in range(times)), "s")], "doc_id long, text string, source string")
+    began = time.time()
+    found = scan(docs, model=forest).count()
+    assert found >= (1 if piece.startswith("k") else times) and time.time() - began < 60
+
+
+def test_secret_candidates_once_each(spark):
+    word = "token=abcdefgh1jkl;token=abcdefgh1jkl;token=ab$defgh1jkl;token=ab$defgh1jkl"
+    got = candidates(spark.createDataFrame([(1, word, "s")], "doc_id long, text string, source string"), "source").collect()
+    assert sorted(r.core for r in got) == ["ab$defgh1jkl", "abcdefgh1jkl", "abcdefgh1jkl"] and all(r.core in r.word for r in got)
+
+
 def test_forest_on_findings_it_did_not_see(spark):
     rows = findings(spark).dropDuplicates(["word"]).selectExpr("*", "pmod(xxhash64(word), 4) as part").cache()
     from pyspark.ml.feature import VectorAssembler
