@@ -23,6 +23,8 @@ BESIDE = 80
 #: The run at the end of a word: the body of a labelled finding.
 CORE = r"([A-Za-z0-9+/_\-]{12,}={0,2})[^A-Za-z0-9]*$"
 MIXED = r"[0-9]|(AKIA|ASIA)[A-Z2-7]{16}|[a-z][A-Z].*[a-z][A-Z].*[A-Z]"
+#: A key word and a value in one word, or a login: such a word holds candidates whatever its characters.
+NAMED = r"(?i)(pass|word|wd|phrase|secret|token|key|auth|bearer|credential)[A-Za-z0-9_\-]{0,8}[\"']?[=:]{1,2}[\"']?[^\s\"']|://[^\s:/@]{0,40}:[^\s@\"']{8,}@"
 #: Fixed vocabulary of the features.
 KEY_WORDS = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential|private[_-]?key|client[_-]?secret|signing[_-]?key)"
 INNOCENT_WORDS = r"(?i)(commit|sha(1|256|512)?|md5|etag|checksum|digest|uuid|guid|revision|version|build|order|invoice|phone|card|isbn|file|image|page|session|trace|span|request)"
@@ -81,8 +83,9 @@ def candidates(docs: DataFrame, path: str) -> DataFrame:
         return F.coalesce(F.get("words", k), F.lit(""))
 
     def row(w: Column, i: Column) -> Column:
-        likely = (F.length(w) >= 12) & w.rlike(MIXED)
-        return F.when(likely, F.struct(i.alias("word_no"), w.alias("word"), F.concat_ws(" ", at(i - 3), at(i - 2), at(i - 1)).alias("before"), F.concat_ws(" ", at(i + 1), at(i + 2)).alias("after")))
+        before = F.concat_ws(" ", at(i - 3), at(i - 2), at(i - 1))
+        likely = (F.length(w) >= 12) & (w.rlike(MIXED) | w.rlike(NAMED) | before.rlike(AFTER_NAME))
+        return F.when(likely, F.struct(i.alias("word_no"), w.alias("word"), before.alias("before"), F.concat_ws(" ", at(i + 1), at(i + 2)).alias("after")))
 
     found = rows.select("doc_id", "path", F.explode(F.filter(F.transform("words", row), lambda x: x.isNotNull())).alias("x"))
     w = F.col("x.word")
@@ -161,7 +164,7 @@ def scan(docs: DataFrame, path: str = "source", threshold: float = 0.5, model: R
 
     ``docs`` has ``doc_id``, ``text`` and a column that tells where the text is from. Returns one row per candidate: ``doc_id``, ``word_no`` (0 for the
     first piece between white space), ``masked`` (four characters and the length), ``digest`` (a hash, so that one secret can be followed without showing it),
-    ``probability`` and ``is_secret``. Candidates lie anywhere in a word that holds a digit or changing case: every
+    ``probability`` and ``is_secret``. Candidates lie anywhere in a word that holds a digit, changing case, a key word with its value or a login, or that follows a key word and a sign: every
     run of at least twelve key characters, keys by their issuer's prefix, values of at least twelve characters after a key word and passwords of
     connection strings, whatever marks these hold; they may overlap, and a value that is one run counts once. The forest weighs its length, changes of character class, dictionary cover, placeholders, path and the words beside it.
 

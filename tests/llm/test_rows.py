@@ -152,6 +152,15 @@ def test_secrets_anywhere_in_a_word(spark, forest):
     assert all(secret[k] >= len(want[k][1]) for k in (1, 2, 4))
 
 
+def test_values_of_letters_alone_after_key_words(spark):
+    texts = ["the password = correcthorsebatterystaple is", "token=qwertyuiopasdfghjkl", "ftp://user:correcthorsebattery@host", "an uncharacteristically plain sentence, misunderstandings included"]
+    docs = spark.createDataFrame([(k, t, "s") for k, t in enumerate(texts)], "doc_id long, text string, source string")
+    found = defaultdict(set)
+    for r in candidates(docs, "source").collect():
+        found[r.doc_id].add(r.core)
+    assert "correcthorsebatterystaple" in found[0] and "qwertyuiopasdfghjkl" in found[1] and "correcthorsebattery" in found[2] and 3 not in found
+
+
 def test_secret_words_are_whole(spark, forest):
     text = " ".join(["filler"] * 30_000 + ["password=b7db7aa4a5fcc78305"])
     got = scan(spark.createDataFrame([(None, text, "s")] * 2, "doc_id long, text string, source string"), model=forest).collect()
