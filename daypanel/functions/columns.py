@@ -72,6 +72,20 @@ def count_where(predicate: Column) -> Column:
     return F.coalesce(F.sum(predicate.cast("long")), F.lit(0).cast("long"))
 
 
+def correlation(x: str, y: str, known: bool = False) -> Column:
+    """Pearson correlation over the rows that know both columns; ``known`` promises that all do.
+
+    NaN where one of them is constant, null with fewer than two rows. ``corr`` divides by the variances and raises
+    there. A constant is told by its least and greatest value, for the variance of merged parts may be off zero by a rounding error.
+    """
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    a, b = (F.col(c).cast("double") if known else F.when(both, F.col(c).cast("double")) for c in (x, y))
+    n = F.count(a)
+    constant = (F.min(a) == F.max(a)) | (F.min(b) == F.max(b))
+    r = F.coalesce(F.try_divide(F.covar_pop(a, b), F.sqrt(F.var_pop(a) * F.var_pop(b))), F.lit(float("nan")))
+    return F.when((n > 1) & constant, F.lit(float("nan"))).when(n > 1, r)
+
+
 def with_null_columns(df: DataFrame, columns: Iterable[str], dtype: str = "double") -> DataFrame:
     """Adds the missing columns of the list as typed nulls."""
     have = set(df.columns)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from daypanel.functions.columns import correlation
 from daypanel.operators.clean import scaffold_days
 
 
@@ -28,7 +29,7 @@ def constant_runs(df: DataFrame, column: str, min_run: int = 7, entity: str = "c
 def lag1_autocorrelation(df: DataFrame, column: str, entity: str = "city", date: str = "date") -> DataFrame:
     previous = F.lag(column).over(W.partitionBy(entity).orderBy(date))
     return df.select(entity, F.col(column), previous.alias("_p")).groupBy(entity).agg(
-        F.corr(column, "_p").alias("autocorr_lag1")
+        correlation(column, "_p").alias("autocorr_lag1")
     )
 
 

@@ -192,6 +192,25 @@ def test_corrections_cap_and_share_ranks(spark):
     assert out["a"]["p_bh"] == pytest.approx(0.03) and out["b"]["p_bh"] == pytest.approx(0.03)
 
 
+def test_correlations_with_a_constant_feature(spark):
+    rows = [("x", k, float(k), float(k * k % 7), 40.0, float(k % 2)) for k in range(30)] + [("y", 0, 1.0, 2.0, 3.0, None)]
+    df = spark.createDataFrame(rows, "city string, date int, a double, b double, c double, label double").repartition(7)
+    show = lambda out: {(r["feature_1"], r["feature_2"]): r["r"] for r in out.where("city = 'x'").collect()}
+    for got in (show(stats.pearson_long(df, ["a", "b", "c"], ["city"])), show(stats.pearson_long(df, ["a", "b", "c"], ["city"], complete=False)), show(stats.spearman_long(df, ["a", "b", "c"], ["city"]))):
+        assert -1 < got["a", "b"] < 1 and math.isnan(got["a", "c"]) and math.isnan(got["b", "c"])
+    x = df.where("city = 'x'")
+    labels = {r["feature"]: r["r"] for r in stats.label_correlations(x, "label", ["a", "c"]).collect()}
+    assert labels["a"] == pytest.approx(statistics.correlation([float(k) for k in range(30)], [float(k % 2) for k in range(30)])) and math.isnan(labels["c"])
+    vif = {r["feature"]: r["vif"] for r in stats.vif(x, ["a", "b", "c"]).collect()}
+    assert vif["c"] == float("inf") and 1 <= vif["a"] < 2
+    chosen = {r["feature"]: (r["decision"], r["corr_with_target"]) for r in stats.select_features(x, ["a", "c"], "label").collect()}
+    assert chosen["c"] == ("KEEP", None) and chosen["a"][0] == "KEEP"
+    trend = stats.linear_trend(x, "a", "c", ["city"]).first()
+    assert trend["slope"] == 0 and math.isnan(trend["r_value"])
+    assert math.isnan(timeseries.lag1_autocorrelation(x, "c").first()["autocorr_lag1"])
+    assert stats.pearson_long(df.where("city = 'y'"), ["a", "b"]).first()["r"] is None
+
+
 def test_vif_of_equal_columns_is_infinite(spark):
     df = spark.createDataFrame([(float(i), float(i), float((i * 7) % 11)) for i in range(20)], "a double, b double, c double")
     got = {r["feature"]: r for r in stats.vif(df, ["a", "b", "c"]).collect()}
