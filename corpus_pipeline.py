@@ -41,7 +41,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Rows are told apart by id and a hash of the text: a repeated id loses no other text, rows that repeat both are
     one document. A null id stays only where its group has no other.
     """
-    classes = cut(jaccard_classes(docs))
+    classes = cut(jaccard_classes(docs, count_links=False))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first")
     kept = classes.where("group is not null").groupBy("group").agg(first).select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_key").alias("kept_key"))
     rows = packed(docs).select("row", F.col("doc_id").cast("long").alias("kept_id"), F.xxhash64("text").alias("kept_key"))

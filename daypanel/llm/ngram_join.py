@@ -7,6 +7,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +25,8 @@ COUNTERS, PER_ROW = 1 << 22, 1 << 16
 BROADCAST_ROWS = 200_000
 #: Most rounds of pairing with the class of most links; what they leave is paired in full.
 HUB_ROUNDS = 3
+#: N-grams of the sets of a block, about; links of a component are counted by pairs of its blocks.
+BLOCK_GRAMS = 1 << 17
 _ROWS = 200_000
 
 
@@ -140,6 +143,42 @@ def _fragments(words: int):
     return run
 
 
+def _whole(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist()):
+                grams = shingles(text, words)
+                if len(grams) and _class_of(grams) == node:
+                    yield pa.RecordBatch.from_arrays([_longs([node]), pa.array([grams.view(np.int64)], pa.list_(pa.int64()))], ["node", "grams"])
+
+    return run
+
+
+def _block_links(percent: int):
+    """Per set of two blocks of a component the number of sets of the other block (or of its own, if both are the same) that it links with."""
+
+    def run(key: tuple, sets: pd.DataFrame) -> pd.DataFrame:
+        _, i, j = key
+        size = sets["grams"].map(len).to_numpy()
+        codes = np.unique(np.concatenate(sets["grams"].to_numpy()), return_inverse=True)[1]
+        starts = np.concatenate([[0], np.cumsum(size)])
+        block, links = sets["block"].to_numpy(), np.zeros(len(sets), dtype=np.int64)
+        others = np.flatnonzero(block == j)
+        held = np.concatenate([codes[starts[k] : starts[k + 1]] for k in others]) if len(others) else codes[:0]
+        first = np.concatenate([[0], np.cumsum(size[others])[:-1]])
+        for k in np.flatnonzero(block == i) if len(others) else ():
+            has = np.zeros(codes.max() + 1, dtype=np.int64)
+            has[codes[starts[k] : starts[k + 1]]] = 1
+            both = np.add.reduceat(has[held], first)
+            linked = (100 * both >= percent * (size[k] + size[others] - both)) & (others != k)
+            links[k] += linked.sum()
+            if i != j:
+                links[others] += linked
+        return pd.DataFrame({"node": sets["node"], "n_links": links})
+
+    return run
+
+
 def _folded(parity: Column, words: Column) -> Column:
     """A bitmap of ``words`` or twice as many words, as one of ``words``."""
     halves = F.zip_with(F.slice(parity, F.lit(1), words), F.slice(parity, words + 1, words), lambda x, y: x.bitwiseXOR(y))
@@ -158,12 +197,12 @@ def _similar_size(percent: int, n: str, m: str) -> Column:
     return F.col(n).isNotNull() & F.col(m).isNotNull() & (F.lit(percent) * F.greatest(n, m) <= 100 * F.least(n, m))
 
 
-def jaccard_classes(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
+def jaccard_classes(docs: DataFrame, words: int = 5, percent: int = 75, count_links: bool = True) -> DataFrame:
     """Classes of documents linked by n-gram sets with ``100 * intersection >= percent * union``.
 
     Takes columns ``doc_id`` and ``text`` and returns per row ``doc_id``, ``n_shingles``, ``component_id``
-    (the smallest ``doc_id`` reachable by links), ``n_links`` (the verified links of its set to other sets,
-    at least one per set that has any partner), ``group`` (a number of the component, null without a set) and ``text_key`` (xxhash64 of the text).
+    (the smallest ``doc_id`` reachable by links), ``n_links`` (how many other sets its set links with;
+    left out without ``count_links``), ``group`` (a number of the component, null without a set) and ``text_key`` (xxhash64 of the text).
 
     All distinct n-grams have one global order, the rare ones first: by the count of the counter that a part of their 64-bit hash
     names, summed over all documents, and then by the hash. Equal
@@ -176,7 +215,9 @@ def jaccard_classes(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
     Groups aren't expanded into all pairs. The classes of an n-gram are first paired with their
     neighbour in size; then, while that finds links and an n-gram still holds several components, with its class of most links; in
     the end only classes still in different components meet pairwise, under the bounds of size, of the n-grams
-    that follow the shared one in the order (a linked pair holds them at its first shared n-gram) and of a folded bitmap. A pair of classes in one component needs no test: the result is the same.
+    that follow the shared one in the order (a linked pair holds them at its first shared n-gram) and of a folded bitmap. A pair of classes in one component needs no test for the components. Links are between classes of one
+    component, so they are counted there: a component whose pairs weren't all verified is dealt into blocks of classes by a hash, and each
+    pair of blocks is compared in one task, which returns a number per class and no pairs.
 
     Empty, blank or null texts have no set and are linked with nothing; texts under ``words`` words
     are one n-gram. Repeated rows come back as often as they came. Rows with a null ``doc_id`` are
@@ -263,10 +304,26 @@ def jaccard_classes(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
     comps = components(links, comps)
 
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    if count_links:
+        inside = classes.select("node", "n", "rep").join(comps, "node")
+        sizes = inside.groupBy("comp").agg(F.count("*").alias("sets"), F.sum("n").alias("grams"))
+        tested = links.join(comps.withColumnRenamed("node", "a"), "a").groupBy("comp").agg(F.count("*").alias("tested"))
+        untested = sizes.join(tested, "comp").where("tested < sets * (sets - 1) div 2").select("comp", F.expr(f"(grams + {BLOCK_GRAMS} - 1) div {BLOCK_GRAMS}").alias("blocks"))
+        block = F.pmod(F.xxhash64("node"), "blocks").alias("block")
+        members = cut(inside.join(untested, "comp").select("node", "comp", "blocks", block, F.col("rep.doc_id").alias("rep_id"), F.col("rep.key").alias("rep_key")))
+        nodes = F.broadcast(members) if members.count() <= BROADCAST_ROWS else members
+        texts = docs.join(nodes, (F.col("key") == F.col("rep_key")) & F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("node", "text")
+        # rows that repeat id and text are one set
+        sets = texts.mapInArrow(_whole(words), "node long, grams array<long>").groupBy("node").agg(F.first("grams").alias("grams"))
+        dealt = sets.join(members, "node").select("node", "comp", "block", "grams", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+        dealt = dealt.select("node", "comp", "block", "grams", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+        counted = dealt.groupBy("comp", "i", "j").applyInPandas(_block_links(percent), "node long, n_links long").groupBy("node").agg(F.sum("n_links").alias("counted"))
+        degree = degree.join(counted, "node", "left").select("node", F.coalesce("counted", "n_links").alias("n_links"))
     labelled = classes.select("node", "doc_id").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")).join(degree, "node", "left")
     least = labelled.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     named = cut(labelled.join(least, "comp").select("node", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("comp").alias("group")))
     rows = found.where("n is not null").select("doc_id", F.col("n").alias("n_shingles"), "node", F.col("key").alias("text_key"))
-    return rows.join(named, "node", "left").select(
+    out = rows.join(named, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "group", "text_key"
     )
+    return out if count_links else out.drop("n_links")

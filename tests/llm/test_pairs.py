@@ -6,6 +6,7 @@ from collections import defaultdict
 import pytest
 from plain_words import words
 
+from daypanel.llm import ngram_join
 from daypanel.llm.components import components
 from daypanel.llm.decontaminate import align, leaks, passages_of, words_of
 from daypanel.llm.line_dedup import chunks, dedup_lines
@@ -68,6 +69,26 @@ def test_group_of_near_copies(spark):
     same(jaccard_classes(df).select("doc_id", "n_shingles", "component_id").collect(), brute(rows))
 
 
+def links_of(rows):
+    """Per row the number of other sets that its set links with."""
+    sets = [frozenset(s) for s in shingle_sets(rows).values()]
+    other = {s: sum(1 for t in set(sets) if t and t != s and 100 * len(s & t) >= 75 * len(s | t)) if s else 0 for s in set(sets)}
+    return [(rows[k][0], other[s]) for k, s in enumerate(sets)]
+
+
+@pytest.mark.parametrize("block", [ngram_join.BLOCK_GRAMS, 700])
+def test_all_links_are_counted(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", block)
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(400)}" for _ in range(90)]
+    rows = [(k, edited(base, rng, rng.choice([0.0, 0.01, 0.02, 0.04]))) for k in range(60)]
+    chain = [f"c{k}" for k in range(90)]
+    rows += [(100 + k, " ".join(chain[3 * k : 3 * k + 50])) for k in range(12)]
+    rows += [(200, "one two"), (201, ""), (202, None), (1, rows[1][1]), (203, rows[5][1]), (None, rows[6][1])]
+    got = jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    same(got.select("doc_id", "n_links").collect(), links_of(rows))
+
+
 def test_no_documents(empty):
     assert jaccard_classes(empty).collect() == []
 
