@@ -518,10 +518,12 @@ def prediction_intervals(
     redraws the same sample. Weights are the Poisson(1) quantiles of the hash value.
     """
     categorical = [c for c in ("city", "season") if c in features]
-    needed = [c for c in dict.fromkeys([*keys, *features, label])]
-    with kept(train.select(*needed)) as base:
+    needed = dict.fromkeys([*keys, *features])
+    # both parts are written first and the scores of each refit as well: each of its jobs would carry the plan of the rows, which the driver keeps
+    base, unseen = scratch_table(train.select(*dict.fromkeys([*needed, label]))), scratch_table(test.select(*needed))
+    with kept(base) as base:
 
-        def refit(i: int) -> PipelineModel:
+        def refit(i: int) -> DataFrame:
             u = F.pmod(F.xxhash64(F.lit(seed), F.lit(i), *keys), F.lit(1 << 30)) / float(1 << 30)
             cumulative, mass, weight = 0.0, 0.36787944117144233, F.lit(0.0)
             for k in range(13):  # beyond 12 the tail is below the resolution of the hash
@@ -535,10 +537,11 @@ def prediction_intervals(
                 weighted = balanced_weights(rows, label).withColumn("_weight", F.col("_weight") * F.col("_draw"))
                 stages = preprocess(rows, features, categorical, scale)
                 stages.append(estimator(family, n, label, **options))
-                return Pipeline(stages=stages).fit(weighted)
+                model = Pipeline(stages=stages).fit(weighted)
+            return scratch_table(score(model, unseen, "_p").select(*keys, "_p"))
 
-        refitted = side_by_side([lambda i=i: refit(i) for i in range(refits)])
-    scored = reduce(lambda a, b: a.unionByName(b), [score(m, test, "_p").select(*keys, "_p") for m in refitted])
+        scores = side_by_side([lambda i=i: refit(i) for i in range(refits)])
+    scored = reduce(lambda a, b: a.unionByName(b), scores)
     return scored.groupBy(*keys).agg(
         F.percentile("_p", F.lit(0.025)).alias("ci_low"), F.percentile("_p", F.lit(0.975)).alias("ci_high")
     )

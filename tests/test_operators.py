@@ -328,3 +328,21 @@ def test_months_without_rows_are_listed_on_request(spark):
     df = small_table(spark, [("a", D(2024, 1, 5), 1.0), ("a", D(2024, 3, 5), 2.0)], "city string, date date, v double")
     out = rollup.monthly_features(df, ["v"], [Rule("v", 1.5)], 1, fill_months=True)
     assert [(r["month_end"].month, r["total_days"], r["high_risk_month"]) for r in out.orderBy("month_end").collect()] == [(1, 1, 0), (2, 0, 0), (3, 1, 1)]
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def labelled_days(spark, n=240):
+    rows = [(c, D(2024, 1, 1) + dt.timedelta(days=k), float((k * 37 + j) % 50), (k * 7 + j) % 3 // 2) for k in range(n) for j, c in enumerate(["a", "b"])]
+    return spark.createDataFrame(rows, f"city string, date date, wind double, {models.TARGET} int")
+
+
+def test_intervals_do_not_carry_the_plan_of_their_rows(spark):
+    rows = labelled_days(spark).join(spark.createDataFrame([("a", 1), ("b", 2)], "city string, k int"), "city")
+    train, test = rows.where("date < '2024-06-01'"), rows.where("date >= '2024-06-01'")
+    out = models.prediction_intervals(train, test, "logistic", ["city", "wind"], True, refits=3)
+    assert "Join" in plan(test) and "Join" not in plan(out) and "UDF" not in plan(out)
+    got = out.collect()
+    assert len(got) == test.count() and all(0 <= r["ci_low"] <= r["ci_high"] <= 1 for r in got)
