@@ -10,6 +10,7 @@ from daypanel.operators import evaluate, models, timeseries
 from daypanel.functions.columns import small_table, stable_round
 from daypanel.operators import features as feat
 from daypanel.operators.order_stats import prefix_sums
+from daypanel.session import scratch_table
 
 GRID = [0.01 + 0.01 * i for i in range(80)]
 GRID_SQL = "(SELECT CAST(unnest(generate_series(1, 80)) AS DOUBLE) AS k, unnest([" + ", ".join(f"{t!r}::DOUBLE" for t in GRID) + "]) AS t)"
@@ -231,6 +232,11 @@ def rows_for_models(spark, sf):
     return rows.select("city", "date", *wanted, "wave_height", models.TARGET)
 
 
+def written_rows(spark, sf):
+    """The rows for models, written once: preparation and fits read them many times, each time through every join and window before them."""
+    return scratch_table(rows_for_models(spark, sf))
+
+
 NUMERIC = [f for f in FEATURES if f not in ("city", "season")]
 CATEGORIES = {"city": sorted(views.REGIONS), "season": ["Autumn", "Spring", "Summer", "Winter"]}
 SLOTS = [*NUMERIC, *[f"{c}_{v}" for c, values in CATEGORIES.items() for v in values[1:]]]
@@ -252,14 +258,14 @@ def m1(spark, sf):
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
 
-    rows = rows_for_models(spark, sf)
+    rows = written_rows(spark, sf)
     stages = models.preprocess(rows, FEATURES, ["city", "season"], True)
     out = Pipeline(stages=stages).fit(rows).transform(rows).withColumn("_v", vector_to_array("features"))
     return out.select("city", "date", *[(stable_round(F.col("_v")[i], 5) + 0.0).alias(f"slot_{i}") for i in range(len(SLOTS))])
 
 
 def _trained(spark, sf, family: str, scale: bool):
-    train, test = models.split_by_year(rows_for_models(spark, sf), 2001)
+    train, test = models.split_by_year(written_rows(spark, sf), 2001)
     model = models.fit(train, family, FEATURES, scale)
     return models.score(model, test).select("city", "date", models.TARGET, "probability")
 
@@ -278,7 +284,7 @@ def m2_certificate(spark, sf):
     from pyspark.ml import PipelineModel
     from pyspark.ml.functions import vector_to_array
 
-    train, _ = models.split_by_year(rows_for_models(spark, sf), 2001)
+    train, _ = models.split_by_year(written_rows(spark, sf), 2001)
     model = models.fit(train, "logistic", FEATURES, True)
     weights, intercept, penalty = model.stages[-1].coefficients.toArray().tolist(), model.stages[-1].intercept, model.stages[-1].getRegParam()
     ready = models.balanced_weights(PipelineModel(model.stages[:-1]).transform(train)).select(vector_to_array("features").alias("x"), models.TARGET, "_weight")
@@ -303,14 +309,14 @@ def m4(spark, sf):
 
 @query("m5_calibrated_logistic")
 def m5(spark, sf):
-    train, test = models.split_by_year(rows_for_models(spark, sf), 2001)
+    train, test = models.split_by_year(written_rows(spark, sf), 2001)
     model = models.fit_calibrated(train, "logistic", FEATURES, True)
     return model.score(test).select("city", "date", models.TARGET, "probability")
 
 
 @query("m11_m13_train_and_select")
 def m11(spark, sf):
-    return models.train_and_select(rows_for_models(spark, sf), FEATURES, year=2001).report
+    return models.train_and_select(written_rows(spark, sf), FEATURES, year=2001).report
 
 
 @query(
@@ -319,7 +325,7 @@ def m11(spark, sf):
     f"'threshold of the stored report' AS validation_note, TIMESTAMP '2001-11-10 00:00:00' AS trained_at, count(*) AS trained_rows, avg(CAST({models.TARGET} AS DOUBLE)) AS positive_rate FROM model_rows_all",
 )
 def m14(spark, sf):
-    rows = rows_for_models(spark, sf)
+    rows = written_rows(spark, sf)
     report = small_table(spark, [("Climatology", 0.1, False), ("LogisticRegression", 0.3, True)], "model string, threshold double, selected boolean")
     picked = models.train_preferred(rows, report, features=FEATURES)
     import datetime as dt
@@ -329,7 +335,7 @@ def m14(spark, sf):
 
 @query("m20_prediction_intervals")
 def m20(spark, sf):
-    train, test = models.split_by_year(rows_for_models(spark, sf), 2001)
+    train, test = models.split_by_year(written_rows(spark, sf), 2001)
     return models.prediction_intervals(train, test, "logistic", FEATURES, True)
 
 
@@ -339,7 +345,7 @@ def m20(spark, sf):
 )
 def m20_properties(spark, sf):
     """The intervals of ``m20``: in order, within 0 and 1, and around the point prediction with a slack of a tenth."""
-    train, test = models.split_by_year(rows_for_models(spark, sf), 2001)
+    train, test = models.split_by_year(written_rows(spark, sf), 2001)
     point = models.score(models.fit(train, "logistic", FEATURES, True), test, "_point").select("city", "date", "_point")
     got = models.prediction_intervals(train, test, "logistic", FEATURES, True).join(point, ["city", "date"])
     low, high, p = F.col("ci_low"), F.col("ci_high"), F.col("_point")
@@ -348,7 +354,7 @@ def m20_properties(spark, sf):
 
 @query("m22_coefficients")
 def m22(spark, sf):
-    rows = rows_for_models(spark, sf)
+    rows = written_rows(spark, sf)
     return models.coefficient_table(models.fit(rows, "logistic", FEATURES, True), rows)
 
 

@@ -346,3 +346,11 @@ def test_intervals_do_not_carry_the_plan_of_their_rows(spark):
     assert "Join" in plan(test) and "Join" not in plan(out) and "UDF" not in plan(out)
     got = out.collect()
     assert len(got) == test.count() and all(0 <= r["ci_low"] <= r["ci_high"] <= 1 for r in got)
+
+
+def test_rows_for_models_are_written_once(spark, sf):
+    from catalog import learning
+
+    rows = learning.written_rows(spark, sf)
+    assert "Join" in plan(learning.rows_for_models(spark, sf)) and "Join" not in plan(rows)
+    assert rows.exceptAll(learning.rows_for_models(spark, sf)).isEmpty() and "Join" not in plan(learning.m1(spark, sf))
