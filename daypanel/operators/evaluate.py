@@ -199,6 +199,8 @@ def report_rows(reports: Sequence[DataFrame]) -> DataFrame:
 
 #: Drawn weights that a task holds at a time.
 DRAWS_AT_ONCE = 2_000_000
+#: Distinct scores of a range, about: a task holds the whole of one, so many scores are dealt to more ranges, not to larger ones.
+SCORES_PER_RANGE = 50_000
 
 
 def bootstrap_sums(scored: DataFrame, threshold: float, label: str = "label", p: str = "probability", replicates: int = 1000, seed: int = 42) -> DataFrame:
@@ -226,7 +228,9 @@ def bootstrap_sums(scored: DataFrame, threshold: float, label: str = "label", p:
             }))
         return pd.concat(parts)
 
-    ranges = value_ranges(_score_cells(scored, label, p, []), [], p)
+    cells = _score_cells(scored, label, p, [])
+    n = cells.count()
+    ranges = value_ranges(cells, [], p, -(-n // SCORES_PER_RANGE) if n > SCORES_PER_RANGE else None)
     sums = ranges.groupBy("_range").applyInPandas(resample, "replicate long, range int, pos double, neg double, wins double, tp double, fp double")
     before = F.coalesce(F.sum("neg").over(W.partitionBy("replicate").orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
     total = sums.withColumn("wins", F.col("wins") + F.col("pos") * before).groupBy("replicate").agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "wins", "tp", "fp")])

@@ -22,10 +22,11 @@ def value_counts(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     return df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("n"))
 
 
-def value_ranges(cells: DataFrame, group: Sequence[str], value: str) -> DataFrame:
-    """The rows, one per (group, value), written in ranges of both, with the number of their range in ``_range``."""
+def value_ranges(cells: DataFrame, group: Sequence[str], value: str, parts: int | None = None) -> DataFrame:
+    """The rows, one per (group, value), written in ranges of both, with the number of their range in ``_range``; ``parts`` fixes the number of ranges."""
     by = [*[F.col(g).asc_nulls_first() for g in group], F.col(value).asc()]
-    return scratch_table(cells.repartitionByRange(*by).withColumn("_range", F.spark_partition_id()))
+    dealt = cells.repartitionByRange(parts, *by) if parts else cells.repartitionByRange(*by)
+    return scratch_table(dealt.withColumn("_range", F.spark_partition_id()))
 
 
 def prefix_sums(cells: DataFrame, group: Sequence[str], value: str, measures: Sequence[str] = ("n",)) -> DataFrame:

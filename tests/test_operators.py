@@ -354,3 +354,16 @@ def test_rows_for_models_are_written_once(spark, sf):
     rows = learning.written_rows(spark, sf)
     assert "Join" in plan(learning.rows_for_models(spark, sf)) and "Join" not in plan(rows)
     assert rows.exceptAll(learning.rows_for_models(spark, sf)).isEmpty() and "Join" not in plan(learning.m1(spark, sf))
+
+
+def test_bootstrap_ranges_are_bounded(spark, monkeypatch):
+    scored = spark.range(4000).selectExpr("cast(id % 3 = 0 as int) as label", "(id * 7919 % 4000) / 4000 as probability")
+    held = []
+    deal = evaluate.value_ranges
+    monkeypatch.setattr(evaluate, "value_ranges", lambda *a: held.append(deal(*a)) or held[-1])
+    monkeypatch.setattr(evaluate, "SCORES_PER_RANGE", 500)
+    got = evaluate.bootstrap_sums(scored, 0.4, replicates=200).agg(F.count("*").alias("n"), F.avg("auc").alias("auc"), F.avg("f1").alias("f1")).first()
+    sizes = [r["count"] for r in held[0].groupBy("_range").count().collect()]
+    assert sum(sizes) == 4000 and len(sizes) == 8 and max(sizes) <= 1000
+    tp, fp, fn = (scored.where(w).count() for w in ("label = 1 and probability >= 0.4", "label = 0 and probability >= 0.4", "label = 1 and probability < 0.4"))
+    assert got["n"] == 200 and got["f1"] == pytest.approx(2 * tp / (2 * tp + fp + fn), abs=0.01) and got["auc"] == pytest.approx(evaluate.roc_auc(scored).first()[0], abs=0.01)
