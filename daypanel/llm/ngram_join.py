@@ -23,8 +23,8 @@ PARITY, FOLDED = 32, 8
 COUNTERS, PER_ROW = 1 << 22, 1 << 16
 #: Most classes whose ids are broadcast to find their texts; beyond it the texts are shuffled.
 BROADCAST_ROWS = 200_000
-#: Most rounds of pairing with the class of most links; what they leave is paired in full.
-HUB_ROUNDS = 3
+#: How many times as many classes of an n-gram each round pairs with its others as the round before.
+RANKS = 8
 #: N-grams of the sets of a block, about; links of a component are counted by pairs of its blocks.
 BLOCK_GRAMS = 1 << 17
 _ROWS = 200_000
@@ -213,9 +213,12 @@ def jaccard_classes(docs: DataFrame, words: int = 5, percent: int = 75, count_li
     by itself, and the partial counts are summed per pair.
 
     Groups aren't expanded into all pairs. The classes of an n-gram are first paired with their
-    neighbour in size; then, while that finds links and an n-gram still holds several components, with its class of most links; in
-    the end only classes still in different components meet pairwise, under the bounds of size, of the n-grams
-    that follow the shared one in the order (a linked pair holds them at its first shared n-gram) and of a folded bitmap. A pair of classes in one component needs no test for the components. Links are between classes of one
+    neighbour in size. In n-grams that still hold several components the classes are then ranked by how many others they meet in all
+    their n-grams, and rounds pair the first of each n-gram, then the next 7, the next 56 and so on, with all that rank after them in it and
+    are still in another component, under the bounds of size, of the n-grams
+    that follow the shared one in the order (a linked pair holds them at its first shared n-gram) and of a folded bitmap. Every round merges the components that it links, so
+    that the many links of a group need no test; the rounds end when each class has met all others or no n-gram holds several components. What still grows with the square of
+    a group are pairs that pass the bounds and don't link. A pair of classes in one component needs no test for the components. Links are between classes of one
     component, so they are counted there: a component whose pairs weren't all verified is dealt into blocks of classes by a hash, and each
     pair of blocks is compared in one task, which returns a number per class and no pairs.
 
@@ -247,7 +250,11 @@ def jaccard_classes(docs: DataFrame, words: int = 5, percent: int = 75, count_li
 
     def verified(candidates: DataFrame) -> DataFrame:
         """The pairs ``a`` < ``b`` among the candidates that link."""
-        sides = [classes.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("parity").alias(f"parity_{s}")) for s in "ab"]
+        candidates = cut(candidates)
+        known = classes
+        if 2 * candidates.count() <= BROADCAST_ROWS:  # else about all classes are needed
+            known = classes.join(F.broadcast(candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "node", "left_semi")
+        sides = [known.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("parity").alias(f"parity_{s}")) for s in "ab"]
         size = F.least(F.size("parity_a"), F.size("parity_b"))  # sets of similar size are one doubling apart at most
         differ = F.aggregate(F.zip_with(_folded(F.col("parity_a"), size), _folded(F.col("parity_b"), size), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
         # linked sets differ in at most (100 - percent) / (100 + percent) of n_a + n_b n-grams, and in no fewer than in bits
@@ -269,39 +276,38 @@ def jaccard_classes(docs: DataFrame, words: int = 5, percent: int = 75, count_li
         total = counted.groupBy("a", "b").agg(F.sum("overlap").alias("overlap"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
         return total.where(F.expr(f"100 * overlap >= {percent} * (n_a + n_b - overlap)")).select("a", "b")
 
-    def open_rows(comps: DataFrame) -> DataFrame:
+    def opened(rows: DataFrame, comps: DataFrame) -> DataFrame:
         """The rows of n-grams that still hold several components."""
-        rows = shared.select("gram", "n", "position", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        rows = rows.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         several = rows.groupBy("gram").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most").select("gram")
         return rows.join(several, "gram")
 
     links = cut(verified(shared.where("before is not null").select(*pairs("before", "node")).distinct()))
     comps = components(links)
-    known, rounds = links.count(), 0
-    while rounds < HUB_ROUNDS:
-        opened = cut(open_rows(comps))
-        if opened.isEmpty():
-            break
-        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
-        hubs = opened.join(degree, "node").groupBy("gram").agg(F.max(F.struct("degree", "node", "n", "comp")).alias("hub"))
-        to_hub = opened.join(hubs, "gram").where("comp <> hub.comp").where(_similar_size(percent, "n", "hub.n")).select(*pairs("node", "hub.node")).distinct()
-        links = cut(links.unionByName(verified(to_hub)).distinct())
-        before, known, rounds = known, links.count(), rounds + 1
-        if known == before:
-            break
-        comps = components(links, comps)
+    rows = cut(opened(shared.select("node", "gram", "n", "position"), comps))
+    # how many rows of others a class meets in its n-grams: most for the least edited of a group of near copies
+    meets = rows.join(rows.groupBy("gram").agg(F.count("*").alias("held")), "gram").groupBy("node").agg(F.sum("held").alias("meets"))
     fold = [F.expr(f"aggregate(filter(parity, (x, i) -> i % {FOLDED} = {k}), 0L, (s, x) -> s ^ x)").alias(f"p{k}") for k in range(FOLDED)]
-    rows = cut(open_rows(comps).join(classes.select("node", *fold), "node"))
-    x, y = rows.alias("x"), rows.alias("y")
-    differ = _differ([(F.col(f"x.p{k}"), F.col(f"y.p{k}")) for k in range(FOLDED)])
-    apart = x.join(
-        y,
-        (F.col("x.gram") == F.col("y.gram")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & _similar_size(percent, "x.n", "y.n")
-        & (F.least(F.expr("x.n - x.position"), F.expr("y.n - y.position")) * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent)
-        & (differ * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)),
-    )
-    links = cut(links.unionByName(verified(apart.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())).distinct())
-    comps = components(links, comps)
+    met = classes.join(meets, "node").select("node", "meets", *fold)
+    rank = F.row_number().over(Window.partitionBy("gram").orderBy(F.desc("meets"), "node")).alias("rank")
+    rows = cut(rows.join(met, "node").select("*", rank).drop("meets"))
+    last = 1
+    while not rows.isEmpty():
+        x, y = rows.where(F.col("rank") <= last).alias("x"), rows.alias("y")
+        differ = _differ([(F.col(f"x.p{k}"), F.col(f"y.p{k}")) for k in range(FOLDED)])
+        apart = x.join(
+            y,
+            (F.col("x.gram") == F.col("y.gram")) & (F.col("x.rank") < F.col("y.rank")) & (F.col("x.comp") != F.col("y.comp")) & _similar_size(percent, "x.n", "y.n")
+            & (F.least(F.expr("x.n - x.position"), F.expr("y.n - y.position")) * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent)
+            & (differ * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)),
+        )
+        more = cut(verified(apart.select(*pairs("x.node", "y.node")).distinct()))
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            comps = components(links, comps)
+        # the first ranks have met all others of their n-grams
+        rows = cut(opened(rows.where(F.col("rank") > last).drop("comp"), comps))
+        last *= RANKS
 
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     if count_links:

@@ -89,6 +89,31 @@ def test_all_links_are_counted(spark, monkeypatch, block):
     same(got.select("doc_id", "n_links").collect(), links_of(rows))
 
 
+def tested_pairs(spark, monkeypatch, rows):
+    """The groups of the rows and the number of pairs whose overlap was counted."""
+    tested, kept = [], ngram_join.cut
+
+    def cut(df):
+        out = kept(df)
+        if df.columns == ["a", "b", "n_a", "n_b"]:
+            tested.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "cut", cut)
+    got = jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string"), count_links=False).select("doc_id", "n_shingles", "component_id").collect()
+    monkeypatch.setattr(ngram_join, "cut", kept)
+    return got, sum(tested)
+
+
+def test_pairs_of_a_group_of_near_copies(spark, monkeypatch):
+    rng = random.Random(7)
+    base = [f"w{rng.randrange(400)}" for _ in range(150)]
+    rows = [(k, edited(base, rng, 0.015)) for k in range(320)]
+    got, tested = tested_pairs(spark, monkeypatch, rows)
+    same(got, brute(rows))
+    assert tested <= 4 * len(rows)
+
+
 def test_no_documents(empty):
     assert jaccard_classes(empty).collect() == []
 
