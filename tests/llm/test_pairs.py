@@ -89,7 +89,7 @@ def test_all_links_are_counted(spark, monkeypatch, block):
     same(got.select("doc_id", "n_links").collect(), links_of(rows))
 
 
-def tested_pairs(spark, monkeypatch, rows):
+def pairs_counted(spark, monkeypatch, rows):
     """The groups of the rows and the number of pairs whose overlap was counted."""
     tested, kept = [], ngram_join.cut
 
@@ -109,7 +109,7 @@ def test_pairs_of_a_group_of_near_copies(spark, monkeypatch):
     rng = random.Random(7)
     base = [f"w{rng.randrange(400)}" for _ in range(150)]
     rows = [(k, edited(base, rng, 0.015)) for k in range(320)]
-    got, tested = tested_pairs(spark, monkeypatch, rows)
+    got, tested = pairs_counted(spark, monkeypatch, rows)
     same(got, brute(rows))
     assert tested <= 4 * len(rows)
 
