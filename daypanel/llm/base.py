@@ -20,6 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 #: The rows of a frame, written as a table to the shared checkpoint folder and read from there.
 cut = scratch_table
 
+#: Tasks that a table of known size is dealt to at least, and narrow rows of each beyond them.
+TASKS, TASK_ROWS = 12, 20_000
+
+
+def gathered(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in no more partitions than about ``rows`` rows need, so that a small table isn't written as a file per shuffle partition."""
+    return df.coalesce(TASKS + rows // TASK_ROWS)
+
 
 def n_words(text: Column | str) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

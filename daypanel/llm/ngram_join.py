@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daypanel.llm.base import cut, shingles
+from daypanel.llm.base import cut, gathered, shingles
 from daypanel.llm.components import components
 
 #: Parts that the global n-gram order is cut into.
@@ -27,6 +27,8 @@ BROADCAST_ROWS = 200_000
 RANKS = 8
 #: N-grams of the sets of a block, about; links of a component are counted by pairs of its blocks.
 BLOCK_GRAMS = 1 << 17
+#: Rows of numbers that a fragment of a set counts for when tasks are dealt.
+WIDE = 10
 _ROWS = 200_000
 
 
@@ -96,7 +98,7 @@ def _order(found: DataFrame) -> np.ndarray:
     """Per counter how many n-grams of all documents it has met; ``COUNTERS`` numbers whatever the input's size."""
     counts = np.zeros(COUNTERS, dtype=np.uint32)
     packed = found.where("part is not null").select("part", "counts").repartition("part").mapInArrow(_totals, "part int, counts binary")
-    for row in packed.toLocalIterator():
+    for row in packed.collect():  # 64 rows; an iterator would run a job per partition
         counts[row.part * PER_ROW : (row.part + 1) * PER_ROW] = np.frombuffer(zlib.decompress(row.counts), dtype=np.uint32)
     return counts
 
@@ -248,33 +250,36 @@ def jaccard_classes(docs: DataFrame, words: int = 5, percent: int = 75, count_li
     def pairs(x: str, y: str) -> list[Column]:
         return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
-    def verified(candidates: DataFrame) -> DataFrame:
-        """The pairs ``a`` < ``b`` among the candidates that link."""
-        candidates = cut(candidates)
+    def verified(candidates: DataFrame, about: int) -> DataFrame:
+        """The pairs ``a`` < ``b`` among the candidates that link, written; ``about`` is the number of rows that the candidates were made of."""
+        candidates = cut(gathered(candidates, about))
+        tested = candidates.count()
         known = classes
-        if 2 * candidates.count() <= BROADCAST_ROWS:  # else about all classes are needed
+        if 2 * tested <= BROADCAST_ROWS:  # else about all classes are needed
             known = classes.join(F.broadcast(candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "node", "left_semi")
         sides = [known.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("parity").alias(f"parity_{s}")) for s in "ab"]
         size = F.least(F.size("parity_a"), F.size("parity_b"))  # sets of similar size are one doubling apart at most
         differ = F.aggregate(F.zip_with(_folded(F.col("parity_a"), size), _folded(F.col("parity_b"), size), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
         # linked sets differ in at most (100 - percent) / (100 + percent) of n_a + n_b n-grams, and in no fewer than in bits
         left = candidates.join(sides[0], "a").join(sides[1], "b").where(differ * (100 + percent) <= F.expr("n_a + n_b") * (100 - percent))
-        left = cut(left.select("a", "b", "n_a", "n_b"))
+        left = cut(gathered(left.select("a", "b", "n_a", "n_b"), tested))
         if left.isEmpty():
             return left.select("a", "b")
         nodes = left.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes.select("node", "rep"), "node")
         nodes = cut(nodes.select("node", F.col("rep.doc_id").alias("rep_id"), F.col("rep.key").alias("rep_key")))
-        if nodes.count() <= BROADCAST_ROWS:
+        sets = nodes.count()
+        if sets <= BROADCAST_ROWS:
             nodes = F.broadcast(nodes)
         texts = docs.join(nodes, (F.col("key") == F.col("rep_key")) & F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("node", "text")
         parts = texts.mapInArrow(_fragments(words), "node long, fragment int, part array<long>")
-        parts = cut(parts.groupBy("node", "fragment").agg(F.first("part").alias("part")))
+        parts = cut(gathered(parts.groupBy("node", "fragment").agg(F.first("part").alias("part")), WIDE * FRAGMENTS * sets))
         each = left.select("a", "b", "n_a", "n_b", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("fragment"))
         each = each.join(parts.select(F.col("node").alias("a"), "fragment", F.col("part").alias("part_a")), ["a", "fragment"])
         each = each.join(parts.select(F.col("node").alias("b"), "fragment", F.col("part").alias("part_b")), ["b", "fragment"])
         counted = each.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("part_a", "part_b")).alias("overlap"))
         total = counted.groupBy("a", "b").agg(F.sum("overlap").alias("overlap"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
-        return total.where(F.expr(f"100 * overlap >= {percent} * (n_a + n_b - overlap)")).select("a", "b")
+        total = total.where(F.expr(f"100 * overlap >= {percent} * (n_a + n_b - overlap)"))
+        return cut(gathered(total.select("a", "b"), FRAGMENTS * tested))
 
     def opened(rows: DataFrame, comps: DataFrame) -> DataFrame:
         """The rows of n-grams that still hold several components."""
@@ -282,17 +287,18 @@ def jaccard_classes(docs: DataFrame, words: int = 5, percent: int = 75, count_li
         several = rows.groupBy("gram").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most").select("gram")
         return rows.join(several, "gram")
 
-    links = cut(verified(shared.where("before is not null").select(*pairs("before", "node")).distinct()))
+    held = shared.count()
+    links = verified(shared.where("before is not null").select(*pairs("before", "node")).distinct(), held)
     comps = components(links)
-    rows = cut(opened(shared.select("node", "gram", "n", "position"), comps))
+    rows = cut(gathered(opened(shared.select("node", "gram", "n", "position"), comps), held))
     # how many rows of others a class meets in its n-grams: most for the least edited of a group of near copies
     meets = rows.join(rows.groupBy("gram").agg(F.count("*").alias("held")), "gram").groupBy("node").agg(F.sum("held").alias("meets"))
     fold = [F.expr(f"aggregate(filter(parity, (x, i) -> i % {FOLDED} = {k}), 0L, (s, x) -> s ^ x)").alias(f"p{k}") for k in range(FOLDED)]
     met = classes.join(meets, "node").select("node", "meets", *fold)
     rank = F.row_number().over(Window.partitionBy("gram").orderBy(F.desc("meets"), "node")).alias("rank")
-    rows = cut(rows.join(met, "node").select("*", rank).drop("meets"))
+    rows = cut(gathered(rows.join(met, "node").select("*", rank).drop("meets"), held))
     last = 1
-    while not rows.isEmpty():
+    while held := rows.count():
         x, y = rows.where(F.col("rank") <= last).alias("x"), rows.alias("y")
         differ = _differ([(F.col(f"x.p{k}"), F.col(f"y.p{k}")) for k in range(FOLDED)])
         apart = x.join(
@@ -301,12 +307,12 @@ def jaccard_classes(docs: DataFrame, words: int = 5, percent: int = 75, count_li
             & (F.least(F.expr("x.n - x.position"), F.expr("y.n - y.position")) * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent)
             & (differ * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)),
         )
-        more = cut(verified(apart.select(*pairs("x.node", "y.node")).distinct()))
+        more = verified(apart.select(*pairs("x.node", "y.node")).distinct(), held)
         if not more.isEmpty():
             links = links.unionByName(more)
-            comps = components(links, comps)
+            comps = components(more, comps)
         # the first ranks have met all others of their n-grams
-        rows = cut(opened(rows.where(F.col("rank") > last).drop("comp"), comps))
+        rows = cut(gathered(opened(rows.where(F.col("rank") > last).drop("comp"), comps), held))
         last *= RANKS
 
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))

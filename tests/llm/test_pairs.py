@@ -6,6 +6,7 @@ from collections import defaultdict
 import pytest
 from plain_words import words
 
+from daypanel.llm import components as components_module
 from daypanel.llm import ngram_join
 from daypanel.llm.components import components
 from daypanel.llm.decontaminate import align, leaks, passages_of, words_of
@@ -124,6 +125,50 @@ def test_components_of_a_path(spark):
     assert got == {k: 1 for k in range(1, 41)} | {100: 100, 101: 100}
 
 
+def test_rounds_of_a_path_of_shuffled_names(spark, monkeypatch):
+    path = random.Random(4).sample(range(10**6), 600)
+    tables, kept = [], components_module.cut
+    monkeypatch.setattr(components_module, "cut", lambda df: tables.append(df) or kept(df))
+    got = components(spark.createDataFrame(list(zip(path, path[1:])), "a long, b long")).collect()
+    assert {r.node: r.comp for r in got} == dict.fromkeys(path, min(path))
+    assert len(tables) <= 14
+
+
+def test_components_from_an_earlier_call(spark):
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    start = components(frame([(2, 3), (3, 4), (7, 8), (20, 21)]))
+    got = {r.node: r.comp for r in components(frame([(8, 4), (1, 30), (21, 22), (5, 5), (3, 2)]), start).collect()}
+    assert got == {2: 2, 3: 2, 4: 2, 7: 2, 8: 2, 1: 1, 30: 1, 20: 20, 21: 20, 22: 20}
+    again = {r.node: r.comp for r in components(frame([(2, 4)]), start).collect()}
+    assert again == {2: 2, 3: 2, 4: 2, 7: 7, 8: 7, 20: 20, 21: 20}
+
+
+def test_few_pairs_are_few_files(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(400)}" for _ in range(100)]
+    rows = [(k, edited(base, rng, 0.01)) for k in range(60)]
+    files, kept = [], ngram_join.cut
+
+    def cut(df):
+        out = kept(df)
+        if df.columns[:2] == ["a", "b"]:
+            files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "cut", cut)
+    settings = {"spark.sql.shuffle.partitions": "100", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string"), count_links=False).select("doc_id", "n_shingles", "component_id").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    same(got, brute(rows))
+    assert files and max(files) <= 12
+
+
 PARAGRAPH = "The first sentence of this passage is here. A second one follows it with more words. Then a third closes what many pages share in full."
 
 
